@@ -1,0 +1,99 @@
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from entityframe.functions.numbering import number_rows
+
+
+def brute(rows, group, order):
+    key = lambda r, names: tuple((r[n] is not None, 0 if r[n] is None else r[n]) for n in names)
+    out, seen = [], {}
+    for row in sorted(rows, key=lambda r: key(r, [*group, *order])):
+        g = key(row, group)
+        seen[g] = seen.get(g, 0) + 1
+        out.append((*(row[n] for n in (*group, *order)), seen[g]))
+    return sorted(out, key=repr)
+
+
+def test_matches_a_single_window_over_a_whole_table(spark, data):
+    orders = spark.read.parquet(f"{data}/orders.parquet").select("o_orderkey", "o_totalprice")
+    got = number_rows(orders, ["o_orderkey"], buckets=13).orderBy("o_orderkey").collect()
+    assert [r.position for r in got] == list(range(1, len(got) + 1))
+
+
+def test_hot_group_is_cut_into_many_buckets(spark):
+    rng = random.Random(1)
+    rows = [
+        {"g": "hot" if i % 3 == 0 else rng.choice("abcdefgh"), "k": i * 7919 % 3001, "d": float(i)}
+        for i in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "g string, k int, d double")
+    got = number_rows(df, ["k", "d"], ["g"], buckets=40)
+    assert sorted(((r.g, r.k, r.d, r.position) for r in got.collect()), key=repr) == brute(
+        rows, ["g"], ["k", "d"]
+    )
+
+
+def test_nulls_sort_first_in_groups_and_keys(spark):
+    rng = random.Random(2)
+    rows = [
+        {
+            "g": rng.choice([None, 1, 2]),
+            "k": rng.choice([None, "", "x", "yé", "z"]),
+            "i": i,
+        }
+        for i in range(900)
+    ]
+    df = spark.createDataFrame(rows, "g bigint, k string, i int")
+    got = number_rows(df, ["k", "i"], ["g"], buckets=25).collect()
+    assert sorted(((r.g, r.k, r.i, r.position) for r in got), key=repr) == brute(
+        rows, ["g"], ["k", "i"]
+    )
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_timestamps_dates_and_decimals_are_order_keys(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.range(0, 500).select(
+            F.timestamp_seconds(1_729_900_000 + F.col("id") * 61).alias("ts"),
+            F.expr("date_add(date'1960-01-01', cast(id as int))").alias("d"),
+            (F.col("id") / 7).cast("decimal(12,4)").alias("m"),
+            F.expr("timestamp_ntz'1950-01-01 00:00:00' + make_dt_interval(0, 0, cast(id as int))").alias("n"),
+            F.col("id"),
+        )
+        for key in ("ts", "d", "m", "n"):
+            got = number_rows(df, [key], buckets=20)
+            assert got.where("position <> id + 1").count() == 0, key
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_weighted_rows_start_after_the_copies_before_them(spark):
+    df = spark.createDataFrame([(k % 5, k, 1 + k % 4) for k in range(400)], "g int, k int, n int")
+    got = number_rows(df, ["k"], ["g"], weight="n", buckets=30).collect()
+    expected, seen = {}, {}
+    for k in range(400):
+        expected[k] = seen.get(k % 5, 0) + 1
+        seen[k % 5] = expected[k] + k % 4
+    assert {r.k: r.position for r in got} == expected
+
+
+def test_a_tie_fails_instead_of_giving_an_arbitrary_position(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,)], "k int")
+    with pytest.raises(Exception, match="order key k is not unique"):
+        number_rows(df, ["k"]).collect()
+
+
+def test_empty_input(spark):
+    assert number_rows(spark.createDataFrame([], "k int"), ["k"]).collect() == []
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(i, i % 2) for i in range(50)], "`a.b` int, `_bucket` int")
+    got = number_rows(df, ["a.b"], ["_bucket"], buckets=5)
+    assert got.columns == ["a.b", "_bucket", "position"]
+    assert got.where("position <> `a.b` div 2 + 1").count() == 0
