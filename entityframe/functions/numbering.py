@@ -43,6 +43,11 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def whole_div(col: Column, by: int) -> Column:
+    """Integer division; a quotient of doubles would lose digits at large positions."""
+    return F.call_function("div", col, F.lit(by))
+
+
 def _sort_key(col: Column, dtype: T.DataType) -> tuple[Column, T.DataType]:
     """A form of a sort column that survives being written as text in UTC or any zone."""
     if isinstance(dtype, T.TimestampType):
@@ -176,8 +181,9 @@ def number_rows(
         local = F.sum(size).over(window.rowsBetween(Window.unboundedPreceding, 0)) - size + 1
     else:
         local = F.row_number().over(window).cast("bigint")
-    order_key = F.struct(*map(column, order_by))
-    tied = (F.row_number().over(window) > 1) & F.lag(order_key).over(window).eqNullSafe(order_key)
+    tied = F.row_number().over(window) > 1
+    for name in order_by:  # column by column, so that no copy of the key is shuffled
+        tied = tied & F.lag(column(name)).over(window).eqNullSafe(column(name))
     position = F.when(
         tied, F.raise_error(F.lit(f"order key {', '.join(order_by)} is not unique")).cast("bigint")
     ).otherwise(local)

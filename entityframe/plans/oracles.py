@@ -122,7 +122,8 @@ ORACLES: dict[str, str] = {
         select 'order' as path, cast(max(n) as integer) as max_size from sized
         union all select 'order.line', cast(coalesce(max(lines), 0) as integer) from sized""",
     "flatten_structs": _INVOICES
-    + f"""select o_orderkey, part_no, o_orderstatus, o_totalprice, o_orderdate, {_REF} from inv""",
+    + f"""select o_orderkey, o_orderstatus, o_totalprice, o_orderdate, {_REF} from inv
+        where part_no = 0""",
     "flatten_additive": _INVOICES
     + f"""select o_orderkey, part_no, customer_ref_nation_name as nested_nation,
         coalesce(n, 0) as nested_lines, {_REF} from inv""",

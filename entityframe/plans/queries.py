@@ -22,6 +22,7 @@ from entityframe.plans.records import (
     LINE_FIELDS,
     LINES_PER_PART,
     accounts,
+    invoice_headers,
     invoices,
     nest,
     table,
@@ -134,6 +135,7 @@ def _landed_invoices(spark: SparkSession, sf_dir: str, purpose: str) -> EntityRe
         COMPANY,
         ["o_orderkey", "part_no"],
         page_size=PAGE_SIZE,
+        derived=True,
     )
     return EntityReader(spark).options(
         path=root, companyId=COMPANY, entity="invoice", expandArrays=True
@@ -232,7 +234,7 @@ def profile_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten(invoices(spark, sf_dir).drop("line"), keep_nested=False)
+    return flatten(invoice_headers(spark, sf_dir), keep_nested=False)
 
 
 def flatten_additive(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityframe.functions.numbering import column, fresh_name, number_rows
+from entityframe.functions.numbering import column, fresh_name, number_rows, whole_div
+from entityframe.sources.landing import stage
 
 LINE_FIELDS = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 LINES_PER_PART = 100
@@ -21,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def largest_group(rows: DataFrame, key: str) -> int:
+    """Rows of the most frequent key: a count that is combined before it is shuffled."""
+    return rows.groupBy(column(key)).count().agg(F.max("count")).first()[0] or 0
+
+
 def nest(
     rows: DataFrame,
     key: str,
@@ -28,20 +34,23 @@ def nest(
     into: str,
     part_size: int,
     unique_by: list[str] | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """``key``, ``part_no`` and an array of structs of ``fields``, sorted by ``unique_by``.
 
-    The size of the largest group is counted first (a partially aggregated
-    count). Up to ``part_size`` the groups are collected as they are; beyond
-    it they are cut by exact position, however large the largest is. Without
-    ``unique_by`` members are sorted by all fields and may have exact copies.
+    Groups proven to hold up to ``part_size`` members are collected as they
+    are; otherwise they are cut by exact position, however large the largest
+    is. The proof is ``at_most``, a bound the caller already has, or else a
+    count. Without ``unique_by`` members are sorted by all fields and may have
+    exact copies.
     """
-    largest = rows.groupBy(column(key)).count().agg(F.max("count")).first()[0] or 0
-    order = unique_by or fields
-    if largest <= part_size:
+    if at_most is None or at_most > part_size:
+        at_most = largest_group(rows, key)
+    if at_most <= part_size:
         # Structs compare field by field, so the sort fields go first.
+        order = unique_by or fields
         lead = [*order, *(f for f in fields if f not in order)]
-        members = F.array_sort(F.collect_list(F.struct(*map(column, lead))))
+        members = F.sort_array(F.collect_list(F.struct(*map(column, lead))))
         if lead != fields:
             members = _pick(members, fields)
         return rows.groupBy(column(key)).agg(members.alias(into)).select(
@@ -50,9 +59,9 @@ def nest(
     if unique_by is None:
         return _nest_copies(rows, key, fields, into, part_size)
     position = fresh_name(rows, "_position")
-    numbered = number_rows(rows, unique_by, [key], into=position)
-    part = F.floor((column(position) - 1) / part_size).cast("bigint")
-    members = F.array_sort(F.collect_list(F.struct(column(position), *map(column, fields))))
+    numbered = number_rows(stage(rows, f"nest-{into}"), unique_by, [key], into=position)
+    part = whole_div(column(position) - 1, part_size)
+    members = F.sort_array(F.collect_list(F.struct(column(position), *map(column, fields))))
     return numbered.groupBy(column(key), part.alias("part_no")).agg(
         _pick(members, fields).alias(into)
     )
@@ -61,7 +70,9 @@ def nest(
 def _nest_copies(rows, key, fields, into, part_size) -> DataFrame:
     """Copies are counted before the shuffle and only written out inside their own part."""
     distinct = rows.groupBy(column(key), *map(column, fields)).agg(F.count(F.lit(1)).alias("_copies"))
-    placed = number_rows(distinct, fields, [key], weight="_copies", into="_start")
+    placed = number_rows(
+        stage(distinct, f"nest-{into}"), fields, [key], weight="_copies", into="_start"
+    )
     first, last = F.col("_start") - 1, F.col("_start") + F.col("_copies") - 2
     pieces = placed.select(
         column(key),
@@ -69,14 +80,12 @@ def _nest_copies(rows, key, fields, into, part_size) -> DataFrame:
         first.alias("_first"),
         last.alias("_last"),
         F.explode(
-            F.sequence(
-                F.floor(first / part_size).cast("bigint"), F.floor(last / part_size).cast("bigint")
-            )
+            F.sequence(whole_div(first, part_size), whole_div(last, part_size))
         ).alias("part_no"),
     )
     begin = F.greatest(F.col("_first"), F.col("part_no") * part_size)
     end = F.least(F.col("_last"), (F.col("part_no") + 1) * part_size - 1)
-    members = F.array_sort(
+    members = F.sort_array(
         F.collect_list(
             F.struct(begin.alias("_at"), (end - begin + 1).cast("int").alias("_n"), *map(column, fields))
         )
@@ -94,27 +103,25 @@ def _pick(members, fields: list[str]):
     return F.transform(members, lambda m: F.struct(*(m.getField(f).alias(f) for f in fields)))
 
 
-def order_lines(spark: SparkSession, sf_dir: str, part_size: int = LINES_PER_PART) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_FIELDS)
-    return nest(lines, "l_orderkey", LINE_FIELDS, "line", part_size)
+def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_FIELDS)
 
 
-def invoices(spark: SparkSession, sf_dir: str, part_size: int = LINES_PER_PART) -> DataFrame:
-    """One record per order (part): header, ``customer_ref`` with its nation, and ``line``.
+def order_lines(spark: SparkSession, sf_dir: str, part_size: int, at_most: int) -> DataFrame:
+    rows = _line_rows(spark, sf_dir)
+    return nest(rows, "l_orderkey", LINE_FIELDS, "line", part_size, at_most=at_most)
 
-    ``line`` is null for an order without lines.
-    """
+
+def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per order, with ``customer_ref`` and its nation, without lines."""
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
-    lines = order_lines(spark, sf_dir, part_size)
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
         .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
-        .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
         .select(
             "o_orderkey",
-            F.coalesce("part_no", F.lit(0)).alias("part_no"),
             "o_orderstatus",
             "o_totalprice",
             "o_orderdate",
@@ -125,11 +132,29 @@ def invoices(spark: SparkSession, sf_dir: str, part_size: int = LINES_PER_PART)
                     F.col("n_nationkey").alias("value"), F.col("n_name").alias("name")
                 ).alias("nation"),
             ).alias("customer_ref"),
-            "line",
         )
     )
 
 
+def invoices(spark: SparkSession, sf_dir: str, part_size: int = LINES_PER_PART) -> DataFrame:
+    """One record per order (part): header, ``customer_ref`` with its nation, and ``line``.
+
+    ``line`` is null for an order without lines.
+    """
+    headers = invoice_headers(spark, sf_dir)
+    at_most = largest_group(_line_rows(spark, sf_dir), "l_orderkey")
+    lines = order_lines(spark, sf_dir, part_size, at_most)
+    return headers.join(lines, headers.o_orderkey == lines.l_orderkey, "left").select(
+        "o_orderkey",
+        F.coalesce("part_no", F.lit(0)).alias("part_no"),
+        "o_orderstatus",
+        "o_totalprice",
+        "o_orderdate",
+        "customer_ref",
+        "line",
+    )
+
+
 def accounts(
     spark: SparkSession,
     sf_dir: str,
@@ -138,11 +163,13 @@ def accounts(
 ) -> DataFrame:
     """One record per customer (part) with orders: ``order`` elements that hold ``line`` arrays."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = order_lines(spark, sf_dir, line_part_size).withColumnRenamed("part_no", "line_part")
+    most_lines = largest_group(_line_rows(spark, sf_dir), "l_orderkey")
+    most_parts = max(1, -(-most_lines // line_part_size))
+    lines = order_lines(spark, sf_dir, line_part_size, most_lines)
     joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
         F.col("o_custkey").alias("c_custkey"),
         "o_orderkey",
-        F.coalesce("line_part", F.lit(0)).alias("line_part"),
+        F.coalesce("part_no", F.lit(0)).alias("line_part"),
         "line",
     )
     return nest(
@@ -152,4 +179,5 @@ def accounts(
         "order",
         part_size,
         unique_by=["o_orderkey", "line_part"],
+        at_most=largest_group(orders, "o_custkey") * most_parts,
     )

@@ -92,6 +92,8 @@ class EntityPages(DataSource):
         return SHORT_NAME
 
     def _parsed(self) -> ScanOptions:
+        if "schema" in self.options:
+            raise OptionError("state a schema with .schema(...), not as an option")
         options = ScanOptions.from_options(self.options)
         if not options.path or options.company_id is None:
             raise OptionError("path and companyId are required")

@@ -43,6 +43,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/entityframe/{purpose}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For a derived frame that is read several times: its joins and aggregates
+    run once, later passes read only the columns they use, and a lost executor
+    costs no more than its own tasks.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def tenant_path(root: str, entity: str, env: str, company_id: str) -> str:
     return f"{root.rstrip('/')}/{entity}/env={env}/company_id={company_id}"
 
@@ -61,16 +73,21 @@ def write_landing(
     page_size: int = PAGE_SIZE,
     batch_size: int = BATCH_SIZE,
     batches_per_file: int = BATCHES_PER_FILE,
+    derived: bool = False,
 ) -> None:
     """Land ``records`` as pages, for one company or, given a column, for each of its values.
 
     Each company is paged on its own. The records are shuffled once, to number
     them; no file holds more than ``batches_per_file`` batches. Pages a company
-    already had are replaced, so a repeated run changes nothing.
+    already had are replaced, so a repeated run changes nothing. ``derived``
+    says that ``records`` are the result of joins or aggregates, which are then
+    staged: numbering reads its keys more than once.
     """
     clash = {"company_id", "env", "position", "batch_no", *PAGE_COLUMNS} & set(records.columns)
     if clash:
         raise OptionError(f"record fields clash with landing columns: {', '.join(sorted(clash))}")
+    if derived:
+        records = stage(records, f"stage-{entity}")
     env = "production" if production else "sandbox"
     company = company_id if isinstance(company_id, Column) else F.lit(company_id)
     group_by = ["company_id"] if isinstance(company_id, Column) else []

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityframe.functions.numbering import number_rows
+from entityframe.functions.numbering import number_rows, whole_div
 from entityframe.operators.flatten import first_rows
 from entityframe.options import BATCH_SIZE, PAGE_SIZE
 
@@ -64,9 +64,9 @@ def assign_pages(
     numbered = number_rows(df, order_by, group_by, into="position", buckets=buckets)
     before = F.col("position") - 1
     return (
-        numbered.withColumn("page_no", F.floor(before / page_size).cast("bigint"))
+        numbered.withColumn("page_no", whole_div(before, page_size))
         .withColumn("pos_in_page", before - F.col("page_no") * page_size)
-        .withColumn("batch_no", F.floor(F.col("page_no") / batch_size).cast("bigint"))
+        .withColumn("batch_no", whole_div(F.col("page_no"), batch_size))
     )
 
 
