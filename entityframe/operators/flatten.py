@@ -7,7 +7,7 @@ filters and column pruning still reach the scan through the flat names.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
@@ -28,34 +28,82 @@ from entityframe.functions.typing import convert, converted_type
 from entityframe.options import FieldPath, OptionError, ScanOptions, as_path
 
 
-def _largest_sizes(schema: T.StructType) -> list[tuple[FieldPath, Column]]:
-    """For each array path, the largest size one row has there."""
-    found: list[tuple[FieldPath, Column]] = []
-
-    def visit(dtype, path, value, lift):
-        # lift turns an expression over the current value into one over the row
-        if isinstance(dtype, T.StructType):
-            for f in dtype.fields:
-                visit(
-                    f.dataType,
-                    (*path, f.name),
-                    lambda v, value=value, name=f.name: value(v).getField(name),
-                    lift,
-                )
-        elif isinstance(dtype, T.ArrayType):
-            found.append((path, lift(lambda v: F.array_size(value(v)))))
-            inner = dtype.elementType
-            visit(
-                inner,
-                (*path, ELEMENT) if isinstance(inner, T.ArrayType) else path,
-                lambda v: v,
-                lambda f: lift(lambda v: F.array_max(F.transform(value(v), lambda x: f(x)))),
-            )
-
-    for f in schema.fields:
-        root = column(f.name)
-        visit(f.dataType, (f.name,), lambda v: v, lambda g, root=root: g(root))
-    return found
+Measure = tuple[FieldPath, Callable[[Column], Column]]
+
+# Cheapest to read first; an array is counted through one of these instead of whole elements.
+_NARROW = [
+    T.BooleanType,
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.DateType,
+    T.FloatType,
+    T.LongType,
+    T.DoubleType,
+    T.TimestampType,
+    T.TimestampNTZType,
+    T.DecimalType,
+    T.StringType,
+]
+
+
+def _length(array: Column, dtype: T.ArrayType) -> Column:
+    """Array size, read from one narrow leaf of its elements where there is one."""
+    element = dtype.elementType
+    if isinstance(element, T.StructType):
+        leaves = [f for f in element.fields if type(f.dataType) in _NARROW]
+        if leaves:
+            leaf = min(leaves, key=lambda f: _NARROW.index(type(f.dataType)))
+            return F.array_size(array.getField(leaf.name))
+    return F.array_size(array)
+
+
+def _measures(dtype: T.DataType, path: FieldPath) -> list[Measure]:
+    """Array paths in a value of ``dtype``, each with its size in terms of the value."""
+    if isinstance(dtype, T.StructType):
+        return [
+            (p, lambda v, g=g, name=f.name: g(v.getField(name)))
+            for f in dtype.fields
+            for p, g in _measures(f.dataType, (*path, f.name))
+        ]
+    if isinstance(dtype, T.ArrayType):
+        return [(path, lambda v: _length(v, dtype)), *_element_measures(dtype.elementType, path)]
+    return []
+
+
+def _element_measures(dtype: T.DataType, path: FieldPath) -> list[Measure]:
+    """The same for arrays inside the elements of an array, in terms of that array: the largest.
+
+    Fields are taken from the array of structs as a whole, outside any lambda,
+    so that the scan is pruned to them.
+    """
+    if isinstance(dtype, T.StructType):
+        return [
+            (p, lambda a, g=g, name=f.name: g(a.getField(name)))
+            for f in dtype.fields
+            for p, g in _element_measures_of(f.dataType, (*path, f.name))
+        ]
+    return _element_measures_of(dtype, (*path, ELEMENT))
+
+
+def _element_measures_of(dtype: T.DataType, path: FieldPath) -> list[Measure]:
+    if isinstance(dtype, T.StructType):
+        return _element_measures(dtype, path)
+    if isinstance(dtype, T.ArrayType):
+        return [
+            (p, lambda a, g=g: F.array_max(F.transform(a, lambda item: g(item))))
+            for p, g in _measures(dtype, path)
+        ]
+    return []
+
+
+def largest_sizes(schema: T.StructType) -> list[tuple[FieldPath, Column]]:
+    """For each array path of the schema, the largest size one row has there."""
+    return [
+        (path, measure(column(f.name)))
+        for f in schema.fields
+        for path, measure in _measures(f.dataType, (f.name,))
+    ]
 
 
 def array_profile(df: DataFrame) -> DataFrame:
@@ -64,7 +112,7 @@ def array_profile(df: DataFrame) -> DataFrame:
     An array inside array elements gets the largest size over all elements; one
     that is always empty or null gets 0.
     """
-    sizes = _largest_sizes(df.schema)
+    sizes = largest_sizes(df.schema)
     entries = [
         F.struct(
             F.lit(".".join(path)).alias("path"),
@@ -87,7 +135,7 @@ def first_rows(df: DataFrame, order_by, count: int = 1) -> DataFrame:
 
 def measure_sizes(df: DataFrame) -> dict[FieldPath, int]:
     """Sizes of all arrays over all rows, as one collected row of integers."""
-    sizes = _largest_sizes(df.schema)
+    sizes = largest_sizes(df.schema)
     if not sizes:
         return {}
     row = df.agg(*(F.max(size).alias(f"s{i}") for i, (_, size) in enumerate(sizes))).first()

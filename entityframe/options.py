@@ -112,6 +112,7 @@ class ScanOptions:
     page_size: int = PAGE_SIZE
     batch_size: int = BATCH_SIZE
     max_flat_columns: int = MAX_FLAT_COLUMNS
+    file_format: str = "parquet"
     ignored: tuple[str, ...] = field(default=(), compare=False)
 
     @property
@@ -151,6 +152,7 @@ class ScanOptions:
         read("arraySizes", "array_sizes", parse_sizes)
         read("schema", "schema", parse_schema)
         read("dates", "dates", lambda value: str(value).lower())
+        read("fileFormat", "file_format", lambda value: str(value).lower())
         if "decimaltype" in given:
             values["decimal_type"] = parse_decimal(given.pop("decimaltype"))
             values["decimal_forced"] = True
@@ -163,6 +165,8 @@ class ScanOptions:
         )
         if values.get("dates", "epoch_millis") not in ("epoch_millis", "native"):
             raise OptionError(f"dates must be epoch_millis or native, not {values['dates']!r}")
+        if values.get("file_format", "parquet") not in ("parquet", "json"):
+            raise OptionError(f"fileFormat must be parquet or json, not {values['file_format']!r}")
         # Sign-in options are accepted and unused: landed pages need no token.
         sign_in = {
             "accesstoken",

@@ -36,6 +36,17 @@ _THREE_LINES = ", ".join(
 _LINE_CELLS = """select o_orderkey, part_no, i as line_index, line[i + 1].l_partkey as l_partkey
   from inv, unnest(range(({size}))) as r(i) where line[i + 1] is not null"""
 
+_SOURCES = [
+    ("customer_ref_value", "customer_ref.value", "customer_ref_value"),
+    ("customer_ref_name", "customer_ref.name", "customer_ref_name"),
+    ("customer_ref_nation_value", "customer_ref.nation.value", "customer_ref_nation_value"),
+    ("customer_ref_nation_name", "customer_ref.nation.name", "customer_ref_nation_name"),
+] + [
+    (f"line_{i}_{f}", f"line[{i}].{f}", f"line[{i + 1}].{f}")
+    for i in range(2)
+    for f in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+]
+
 _PAGED = """with p as (
   select o_orderkey, row_number() over (order by o_orderkey) as position from orders)
 """
@@ -73,6 +84,9 @@ ORACLES: dict[str, str] = {
     "format_load": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
         epoch_us(o_orderdate) // 1000 as o_orderdate, o_orderpriority from orders""",
     "format_load_expanded": _INVOICES
+    + f"""select o_orderkey, part_no, {_REF}, line[1].l_partkey as line_0_l_partkey,
+        line[2].l_extendedprice as line_1_l_extendedprice from inv""",
+    "json_load_expanded": _INVOICES
     + f"""select o_orderkey, part_no, {_REF}, line[1].l_partkey as line_0_l_partkey,
         line[2].l_extendedprice as line_1_l_extendedprice from inv""",
     "reader_load_expanded": _INVOICES
@@ -161,19 +175,10 @@ ORACLES: dict[str, str] = {
     "flatten_default_options": _INVOICES
     + f"""select o_orderkey, part_no, o_orderstatus, o_totalprice, o_orderdate, {_REF},
         cast(n as integer) as line_size from inv""",
-    "flat_lineage": _values(
-        [
-            ("customer_ref_value", "customer_ref.value"),
-            ("customer_ref_name", "customer_ref.name"),
-            ("customer_ref_nation_value", "customer_ref.nation.value"),
-            ("customer_ref_nation_name", "customer_ref.nation.name"),
-            ("line_0_l_linenumber", "line[0].l_linenumber"),
-            ("line_0_l_partkey", "line[0].l_partkey"),
-            ("line_0_l_suppkey", "line[0].l_suppkey"),
-            ("line_0_l_extendedprice", "line[0].l_extendedprice"),
-            ("line_0_l_quantity", "line[0].l_quantity"),
-        ],
-        "flat_name, source_path",
+    "flat_lineage": _INVOICES
+    + " union all ".join(
+        f"select '{name}' as flat_name, '{path}' as source_path, count({value}) as filled from inv"
+        for name, path, value in _SOURCES
     ),
     "flatten_null_parent": """select o_orderkey,
         case when o_orderkey % 3 <> 0 then o_custkey end as ref_value,

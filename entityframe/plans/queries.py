@@ -29,7 +29,7 @@ from entityframe.plans.records import (
 )
 from entityframe.sources import format as entity_format
 from entityframe.sources import paging
-from entityframe.sources.landing import shared_dir, write_landing
+from entityframe.sources.landing import shared_dir, tenant_path, write_landing
 from entityframe.sources.reader import EntityReader
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,11 +162,32 @@ def reader_load_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def json_load_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices landed as JSON lines: inferred over all records, parsed, expanded."""
+    root = shared_dir(spark, "json_load_expanded")
+    where = tenant_path(root, "invoice", "production", COMPANY)
+    invoices(spark, sf_dir).drop("o_orderdate").write.json(where)
+    loaded = (
+        EntityReader(spark)
+        .options(path=root, companyId=COMPANY, entity="invoice", production=True)
+        .options(fileFormat="json", expandArrays=True, arraySizes={"line": 2})
+        .load()
+    )
+    return loaded.select(
+        "o_orderkey", "part_no", *REF, "line_0_l_partkey", "line_1_l_extendedprice"
+    )
+
+
 # --- schema inference ----------------------------------------------------------------------
 
 
 def _schema_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame(schema_paths(schema), "path string, type string")
+    """A schema as rows: as many as it has leaves, however large the input was."""
+    rows = [
+        F.struct(F.lit(path).alias("path"), F.lit(dtype).alias("type"))
+        for path, dtype in schema_paths(schema)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def infer_invoice_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,12 +357,19 @@ def flatten_default_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = flatten(
-        invoices(spark, sf_dir),
-        expand_arrays=True,
-        array_sizes={"line": 1},
-    )
-    return spark.createDataFrame(lineage(flat), "flat_name string, source_path string")
+    """Where each flat column comes from, and in how many records it has a value."""
+    flat = flatten(invoices(spark, sf_dir), expand_arrays=True, array_sizes={"line": 2})
+    sources = lineage(flat)
+    filled = flat.agg(*(F.count(name).alias(name) for name, _ in sources))
+    rows = [
+        F.struct(
+            F.lit(name).alias("flat_name"),
+            F.lit(path).alias("source_path"),
+            F.col(name).alias("filled"),
+        )
+        for name, path in sources
+    ]
+    return filled.select(F.inline(F.array(*rows)))
 
 
 def flatten_null_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "format_load": format_load,
     "format_load_expanded": format_load_expanded,
     "reader_load_expanded": reader_load_expanded,
+    "json_load_expanded": json_load_expanded,
     "infer_schema": infer_invoice_schema,
     "infer_array_union": infer_array_union,
     "infer_nulls": infer_nulls,

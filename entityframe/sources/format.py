@@ -95,6 +95,8 @@ class EntityPages(DataSource):
         if "schema" in self.options:
             raise OptionError("state a schema with .schema(...), not as an option")
         options = ScanOptions.from_options(self.options)
+        if options.file_format != "parquet":
+            raise OptionError("the registered format reads Parquet pages")
         if not options.path or options.company_id is None:
             raise OptionError("path and companyId are required")
         return options

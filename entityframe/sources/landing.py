@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityframe.functions.numbering import column
-from entityframe.operators.flatten import _largest_sizes
+from entityframe.operators.flatten import largest_sizes
 from entityframe.options import BATCH_SIZE, PAGE_SIZE, OptionError
 from entityframe.sources.paging import assign_pages
 
@@ -128,7 +128,7 @@ def _tenants(spark, root, entity, env, schema, company_id) -> DataFrame:
 def _write_manifest(landed, root, entity, schema, page_size, batch_size, order_by) -> None:
     """One row per company: counts and array widths, from one pass over the arrays alone."""
     first = (F.col("page_no") == 0) & (F.col("pos_in_page") == 0)
-    sizes = _largest_sizes(schema)
+    sizes = largest_sizes(schema)
     totals = landed.groupBy("env", "company_id").agg(
         F.count(F.lit(1)).alias("records"),
         *(F.max(size).alias(f"max{i}") for i, (_, size) in enumerate(sizes)),

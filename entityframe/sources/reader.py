@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityframe.operators.flatten import flatten
+from entityframe.operators.infer import infer_schema, parse_records
 from entityframe.options import OptionError, ScanOptions
 from entityframe.sources.landing import (
     PAGE_COLUMNS,
@@ -23,6 +24,9 @@ from entityframe.sources.landing import (
 class EntityReader:
     """Builds one load the way ``spark.read`` does.
 
+    Pages are Parquet written by ``write_landing`` or, with ``fileFormat`` set
+    to ``json``, files of one JSON record per line as an API exporter leaves them.
+
     >>> EntityReader(spark).option("path", root).option("companyId", "001") \\
     ...     .option("entity", "invoice").option("expandArrays", True).load()
     """
@@ -56,25 +60,41 @@ class EntityReader:
         return options.path, options.entity, options.environment, options.company_id
 
     def record_schema(self) -> T.StructType:
-        """The stated schema, else the landed one; only a few bytes are read either way."""
+        """The stated schema, else the landed one, else (JSON) the one all records have together."""
         if self.scan_options.schema is not None:
             return self.scan_options.schema
+        if self.scan_options.file_format == "json":
+            return infer_schema(self._json_lines(), "value")
+        return T.StructType.fromJson(json.loads(self._manifest()["schema"]))
+
+    def _manifest(self):
+        where = manifest_path(*self._tenant())
+        try:
+            return self._spark.read.schema("schema string").json(where).first()
+        except AnalysisException as error:
+            raise self._nothing_landed() from error
+
+    def _nothing_landed(self) -> OptionError:
+        return OptionError(
+            f"no pages of {self.scan_options.table_name} are landed; "
+            "give an explicit schema to read an empty entity"
+        )
+
+    def _json_lines(self) -> DataFrame:
         try:
-            row = self._spark.read.schema("schema string").json(manifest_path(*self._tenant())).first()
+            return self._spark.read.text(tenant_path(*self._tenant()))
         except AnalysisException as error:
-            raise OptionError(
-                f"no pages of {self.scan_options.table_name} are landed; "
-                "give an explicit schema to read an empty entity"
-            ) from error
-        return T.StructType.fromJson(json.loads(row["schema"]))
+            raise self._nothing_landed() from error
 
     def pages(self) -> DataFrame:
-        """Landed records as they are, with ``page_no`` and ``pos_in_page``.
+        """Landed records as they are, with ``page_no`` and ``pos_in_page`` where they were paged.
 
         Only the company's own directory is listed; ``env`` and ``company_id``
         are dropped, as they are constants of the load.
         """
         root, entity, env, company_id = self._tenant()
+        if self.scan_options.file_format == "json":
+            return parse_records(self._json_lines(), "value", self.record_schema())
         return (
             self._spark.read.schema(landed_schema(self.record_schema()))
             .option("basePath", f"{root.rstrip('/')}/{entity}")

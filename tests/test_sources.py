@@ -238,3 +238,25 @@ def test_manifest_states_what_was_landed(spark, invoices):
     assert manifest["page_size"] == 100 and manifest["batch_size"] == 2
     assert manifest["order_by"] == "o_orderkey,part_no"
     assert {tuple(e["path"]) for e in json.loads(manifest["max_sizes"])} == {("line",), ("log", "e")}
+
+
+# --- JSON pages ----------------------------------------------------------------------------
+
+
+def test_json_lines_are_inferred_over_all_records(spark):
+    root = shared_dir(spark, "json")
+    lines = ['{"id": 1, "ref": null}', '{"id": 2, "ref": {"v": 5}, "tags": ["a", "b"]}', '{"id": 3, "tags": []}']
+    for company, rows in (("01", lines), ("1", lines[:1])):
+        spark.createDataFrame([(x,) for x in rows], "value string").repartition(2).write.text(
+            f"{root}/item/env=sandbox/company_id={company}"
+        )
+    load = lambda company, **more: reader(
+        spark, root, company, fileFormat="json", expandArrays=True, keepNested=False, **more
+    ).load()
+    got = load("01")
+    assert got.columns == ["id", "ref_v", "tags_0", "tags_1"]
+    assert sorted(map(tuple, got.collect())) == [(1, None, None, None), (2, 5, "a", "b"), (3, None, None, None)]
+    assert load("1").columns == ["id", "ref"]
+    assert load("1", schema="id bigint, ref struct<v: int>").columns == ["id", "ref_v"]
+    with pytest.raises(OptionError, match="2:item"):
+        load("2")
