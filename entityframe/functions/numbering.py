@@ -166,6 +166,9 @@ def number_rows(
     ``order_by`` must be unique inside a group; a tie fails the query, because
     its rows would have no fixed position. With ``weight``, a row stands for
     that many equal rows and gets the position of the first of them.
+
+    The sort columns of ``df`` are read three times beside the numbered rows
+    themselves. That is cheap for a scan; stage the result of a join first.
     """
     order_by, group_by = list(order_by), list(group_by)
     if not order_by:

@@ -113,6 +113,7 @@ class ScanOptions:
     batch_size: int = BATCH_SIZE
     max_flat_columns: int = MAX_FLAT_COLUMNS
     file_format: str = "parquet"
+    sample_rows: int | str = "all"
     ignored: tuple[str, ...] = field(default=(), compare=False)
 
     @property
@@ -152,6 +153,11 @@ class ScanOptions:
         read("arraySizes", "array_sizes", parse_sizes)
         read("schema", "schema", parse_schema)
         read("dates", "dates", lambda value: str(value).lower())
+        read(
+            "sampleRows",
+            "sample_rows",
+            lambda value: "all" if str(value).lower() == "all" else parse_count("sampleRows", value),
+        )
         read("fileFormat", "file_format", lambda value: str(value).lower())
         if "decimaltype" in given:
             values["decimal_type"] = parse_decimal(given.pop("decimaltype"))

@@ -87,7 +87,9 @@ ORACLES: dict[str, str] = {
     + f"""select o_orderkey, part_no, {_REF}, line[1].l_partkey as line_0_l_partkey,
         line[2].l_extendedprice as line_1_l_extendedprice from inv""",
     "json_load_expanded": _INVOICES
-    + f"""select o_orderkey, part_no, {_REF}, line[1].l_partkey as line_0_l_partkey,
+    + """select o_orderkey, part_no, customer_ref_value, customer_ref_name,
+        cast(customer_ref_nation_value as bigint) as customer_ref_nation_value,
+        customer_ref_nation_name, line[1].l_partkey as line_0_l_partkey,
         line[2].l_extendedprice as line_1_l_extendedprice from inv""",
     "reader_load_expanded": _INVOICES
     + f"""select o_orderkey, part_no, o_orderdate, {_REF},

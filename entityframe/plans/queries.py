@@ -29,7 +29,7 @@ from entityframe.plans.records import (
 )
 from entityframe.sources import format as entity_format
 from entityframe.sources import paging
-from entityframe.sources.landing import shared_dir, tenant_path, write_landing
+from entityframe.sources.landing import shared_dir, stage, tenant_path, write_landing
 from entityframe.sources.reader import EntityReader
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -284,7 +284,7 @@ def _line_cells(spark: SparkSession, sf_dir: str, sizes: str) -> DataFrame:
         F.transform("line", lambda x: F.struct(x["l_partkey"].alias("l_partkey"))).alias("line"),
     )
     flat = flatten(
-        narrow,
+        stage(narrow, "line-cells"),  # read twice: for the widths, then for the cells
         expand_arrays=True,
         array_sizes=sizes,
         order_by=("o_orderkey", "part_no"),

@@ -139,12 +139,15 @@ def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def invoices(spark: SparkSession, sf_dir: str, part_size: int = LINES_PER_PART) -> DataFrame:
     """One record per order (part): header, ``customer_ref`` with its nation, and ``line``.
 
-    ``line`` is null for an order without lines.
+    ``line`` is null for an order without lines. Lines are already partitioned
+    on the order key and grow with the data, so they are merged, not broadcast.
     """
     headers = invoice_headers(spark, sf_dir)
     at_most = largest_group(_line_rows(spark, sf_dir), "l_orderkey")
     lines = order_lines(spark, sf_dir, part_size, at_most)
-    return headers.join(lines, headers.o_orderkey == lines.l_orderkey, "left").select(
+    return headers.join(
+        lines.hint("merge"), headers.o_orderkey == lines.l_orderkey, "left"
+    ).select(
         "o_orderkey",
         F.coalesce("part_no", F.lit(0)).alias("part_no"),
         "o_orderstatus",
@@ -166,7 +169,9 @@ def accounts(
     most_lines = largest_group(_line_rows(spark, sf_dir), "l_orderkey")
     most_parts = max(1, -(-most_lines // line_part_size))
     lines = order_lines(spark, sf_dir, line_part_size, most_lines)
-    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
+    joined = orders.join(
+        lines.hint("merge"), orders.o_orderkey == lines.l_orderkey, "left"
+    ).select(
         F.col("o_custkey").alias("c_custkey"),
         "o_orderkey",
         F.coalesce("part_no", F.lit(0)).alias("line_part"),

@@ -89,40 +89,31 @@ def write_landing(
     if derived:
         records = stage(records, f"stage-{entity}")
     env = "production" if production else "sandbox"
-    company = company_id if isinstance(company_id, Column) else F.lit(company_id)
-    group_by = ["company_id"] if isinstance(company_id, Column) else []
-    paged = assign_pages(
-        records.withColumn("company_id", company.cast("string")),
-        order_by,
-        page_size,
-        batch_size,
-        group_by,
-    )
-    (
-        paged.select(
+    base = f"{root.rstrip('/')}/{entity}"
+    if isinstance(company_id, Column):
+        records_of = records.withColumn("company_id", company_id.cast("string"))
+        paged = assign_pages(records_of, order_by, page_size, batch_size, ["company_id"])
+        rows = paged.select(
             *map(column, records.columns), *PAGE_COLUMNS, F.lit(env).alias("env"), "company_id"
+        ).sortWithinPartitions("env", "company_id", *PAGE_COLUMNS)
+        writer = rows.write.partitionBy("env", "company_id").option(
+            "partitionOverwriteMode", "dynamic"
         )
-        .sortWithinPartitions("env", "company_id", *PAGE_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", page_size * batch_size * batches_per_file)
-        .partitionBy("env", "company_id")
-        .parquet(f"{root.rstrip('/')}/{entity}")
-    )
-    written = _tenants(records.sparkSession, root, entity, env, records.schema, company_id)
-    _write_manifest(written, root, entity, records.schema, page_size, batch_size, order_by)
-
-
-def _tenants(spark, root, entity, env, schema, company_id) -> DataFrame:
-    base = f"{root.rstrip('/')}/{entity}"
-    path = (
-        f"{base}/env={env}"
-        if isinstance(company_id, Column)
-        else tenant_path(root, entity, env, company_id)
-    )
-    return (
-        spark.read.schema(landed_schema(schema)).option("basePath", base).parquet(path)
+        target, written = base, f"{base}/env={env}"
+    else:
+        # Numbering leaves each task's rows in page order, and there is one directory to write.
+        paged = assign_pages(records, order_by, page_size, batch_size)
+        writer = paged.select(*map(column, records.columns), *PAGE_COLUMNS).write
+        target = written = tenant_path(root, entity, env, company_id)
+    writer.mode("overwrite").option(
+        "maxRecordsPerFile", page_size * batch_size * batches_per_file
+    ).parquet(target)
+    landed = (
+        records.sparkSession.read.schema(landed_schema(records.schema))
+        .option("basePath", base)
+        .parquet(written)
     )
+    _write_manifest(landed, root, entity, records.schema, page_size, batch_size, order_by)
 
 
 def _write_manifest(landed, root, entity, schema, page_size, batch_size, order_by) -> None:

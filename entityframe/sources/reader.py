@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 import re
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entityframe.functions.paths import array_paths
 from entityframe.operators.flatten import flatten
 from entityframe.operators.infer import infer_schema, parse_records
 from entityframe.options import OptionError, ScanOptions
@@ -17,6 +19,7 @@ from entityframe.sources.landing import (
     PAGE_COLUMNS,
     landed_schema,
     manifest_path,
+    sizes_from_manifest,
     tenant_path,
 )
 
@@ -64,13 +67,26 @@ class EntityReader:
         if self.scan_options.schema is not None:
             return self.scan_options.schema
         if self.scan_options.file_format == "json":
-            return infer_schema(self._json_lines(), "value")
+            return self._infer_json()
         return T.StructType.fromJson(json.loads(self._manifest()["schema"]))
 
+    def _infer_json(self) -> T.StructType:
+        options, lines = self.scan_options, self._json_lines()
+        if options.sample_rows == "all":
+            return infer_schema(lines, "value")
+        # Number keys sort as numbers, any other as text.
+        record = F.parse_json("value")
+        keys = {
+            f"k{i}{kind}": F.try_variant_get(record, f"$[{json.dumps(name)}]", dtype)
+            for i, name in enumerate(options.order_by)
+            for kind, dtype in (("n", "decimal(38,10)"), ("t", "string"))
+        }
+        return infer_schema(lines.withColumns(keys), "value", options.sample_rows, list(keys))
+
     def _manifest(self):
-        where = manifest_path(*self._tenant())
+        fields = "schema string, order_by string, max_sizes string, first_sizes string"
         try:
-            return self._spark.read.schema("schema string").json(where).first()
+            return self._spark.read.schema(fields).json(manifest_path(*self._tenant())).first()
         except AnalysisException as error:
             raise self._nothing_landed() from error
 
@@ -82,7 +98,8 @@ class EntityReader:
 
     def _json_lines(self) -> DataFrame:
         try:
-            return self._spark.read.text(tenant_path(*self._tenant()))
+            lines = self._spark.read.text(tenant_path(*self._tenant()))
+            return lines.where(F.trim("value") != "")
         except AnalysisException as error:
             raise self._nothing_landed() from error
 
@@ -103,7 +120,23 @@ class EntityReader:
         )
 
     def load(self) -> DataFrame:
-        return flatten(self.pages().drop(*PAGE_COLUMNS), self.scan_options)
+        records = self.pages().drop(*PAGE_COLUMNS)
+        return flatten(records, self._with_landed_sizes(records))
+
+    def _with_landed_sizes(self, records: DataFrame) -> ScanOptions:
+        """Widths were counted when the pages were landed, so no load has to count them again."""
+        options = self.scan_options
+        policy = options.array_sizes
+        if not (options.expand_structs and options.expand_arrays and isinstance(policy, str)):
+            return options
+        paths = array_paths(records.schema)
+        if options.file_format != "parquet" or not paths:
+            return options
+        manifest = self._manifest()
+        if policy == "first" and options.order_by and ",".join(options.order_by) != manifest["order_by"]:
+            return options
+        landed = sizes_from_manifest(manifest[f"{policy}_sizes"])
+        return replace(options, array_sizes={path: landed.get(path, 0) for path in paths})
 
     def load_view(self) -> str:
         """Register the load as a temporary view and return the view's name."""

@@ -124,6 +124,28 @@ def test_reader_flattens(spark, landed):
     assert first.columns == ["id", "v", "tags_0"]
 
 
+def test_widths_come_from_the_landing_without_a_job(spark, landed):
+    spark.sparkContext.setJobGroup("widths", "")
+    load = reader(spark, landed, expandArrays=True)
+    ids = spark.sparkContext.statusTracker().getJobIdsForGroup
+    load.load()
+    tasks = sum(
+        spark.sparkContext.statusTracker().getStageInfo(stage).numTasks
+        for job in ids("widths")
+        for stage in spark.sparkContext.statusTracker().getJobInfo(job).stageIds
+    )
+    assert tasks <= 4  # manifest lookups only
+
+
+def test_first_by_another_key_is_looked_up(spark, landed):
+    options = dict(expandArrays=True, arraySizes="first", keepNested=False)
+    assert reader(spark, landed, **options).load().columns == ["id", "v", "tags_0"]
+    by_tags = reader(spark, landed, orderBy="tags,id", **options).load()
+    assert by_tags.columns == ["id", "v", "tags_0"]
+    company7 = reader(spark, landed, "007", **options).load()
+    assert company7.columns == ["id", "v", "tags"]
+
+
 def test_explicit_schema_fills_missing_fields(spark, landed):
     df = reader(spark, landed).schema("id bigint, memo string").load()
     assert df.columns == ["id", "memo"]
@@ -260,3 +282,27 @@ def test_json_lines_are_inferred_over_all_records(spark):
     assert load("1", schema="id bigint, ref struct<v: int>").columns == ["id", "ref_v"]
     with pytest.raises(OptionError, match="2:item"):
         load("2")
+
+
+def test_json_null_and_blank_lines_do_not_end_the_read(spark):
+    root = shared_dir(spark, "json-null")
+    rows = ['{"id": 1}', "null", "", '{"id": 2}']
+    spark.createDataFrame([(x,) for x in rows], "value string").coalesce(1).write.text(
+        f"{root}/item/env=sandbox/company_id=1"
+    )
+    got = reader(spark, root, "1", fileFormat="json").load()
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1,), (2,), (None,)]
+
+
+def test_json_schema_from_the_first_records_by_key(spark):
+    root = shared_dir(spark, "json-first")
+    rows = ['{"id": 10, "x": 1}', '{"id": 9, "y": 2}', '{"id": 11, "z": 3}']
+    spark.createDataFrame([(x,) for x in rows], "value string").write.text(
+        f"{root}/item/env=sandbox/company_id=1"
+    )
+    load = lambda **more: reader(spark, root, "1", fileFormat="json", **more).load()
+    assert load(sampleRows=1, orderBy="id").columns == ["id", "y"]
+    assert load(sampleRows=2, orderBy="id").columns == ["id", "x", "y"]
+    assert load().columns == ["id", "x", "y", "z"]
+    with pytest.raises(OptionError, match="orderBy"):
+        load(sampleRows=1)
