@@ -24,6 +24,7 @@ from entityframe.plans.records import (
     accounts,
     invoice_headers,
     invoices,
+    large_orders,
     nest,
     table,
 )
@@ -406,7 +407,8 @@ def coerce_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.col("l_shipdate").alias("at"), F.col("l_partkey").alias("part")
     )
-    shipments = nest(lines, "l_orderkey", ["at", "part"], "shipment", LINES_PER_PART)
+    large = large_orders(spark, sf_dir, LINES_PER_PART)
+    shipments = nest(lines, "l_orderkey", ["at", "part"], "shipment", LINES_PER_PART, large=large)
     orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     records = orders.join(shipments, orders.o_orderkey == shipments.l_orderkey, "left").select(

@@ -16,15 +16,27 @@ from entityframe.sources.landing import stage
 LINE_FIELDS = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 LINES_PER_PART = 100
 ORDERS_PER_PART = 100
+MAX_LARGE_KEYS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def largest_group(rows: DataFrame, key: str) -> int:
-    """Rows of the most frequent key: a count that is combined before it is shuffled."""
-    return rows.groupBy(column(key)).count().agg(F.max("count")).first()[0] or 0
+def group_sizes(rows: DataFrame, key: str) -> DataFrame:
+    """``key`` and ``members``: a count that is combined before it is shuffled."""
+    return rows.groupBy(column(key)).agg(F.count(F.lit(1)).alias("members"))
+
+
+def large_keys(sizes: DataFrame, key: str, part_size: int) -> list | None:
+    """Keys with more members than one part holds; None if too many to name in a filter."""
+    large = sizes.where(F.col("members") > part_size)
+    found = large.count()
+    if found == 0:
+        return []
+    if found > MAX_LARGE_KEYS:
+        return None
+    return [row[0] for row in large.select(column(key)).collect()]
 
 
 def nest(
@@ -34,32 +46,50 @@ def nest(
     into: str,
     part_size: int,
     unique_by: list[str] | None = None,
-    at_most: int | None = None,
+    large: list | None = (),
+    derived: bool = False,
 ) -> DataFrame:
     """``key``, ``part_no`` and an array of structs of ``fields``, sorted by ``unique_by``.
 
-    Groups proven to hold up to ``part_size`` members are collected as they
-    are; otherwise they are cut by exact position, however large the largest
-    is. The proof is ``at_most``, a bound the caller already has, or else a
-    count. Without ``unique_by`` members are sorted by all fields and may have
-    exact copies.
+    ``large`` is the answer of ``large_keys``. Groups outside it are known to
+    fit into one part and are collected in one shuffle. The others are cut by
+    exact position, however large they are. Without ``unique_by`` members are
+    sorted by all fields and may have exact copies. ``derived`` rows (the
+    result of joins) are staged if they have to be read more than once.
     """
-    if at_most is None or at_most > part_size:
-        at_most = largest_group(rows, key)
-    if at_most <= part_size:
-        # Structs compare field by field, so the sort fields go first.
-        order = unique_by or fields
-        lead = [*order, *(f for f in fields if f not in order)]
-        members = F.sort_array(F.collect_list(F.struct(*map(column, lead))))
-        if lead != fields:
-            members = _pick(members, fields)
-        return rows.groupBy(column(key)).agg(members.alias(into)).select(
-            column(key), F.lit(0).cast("bigint").alias("part_no"), column(into)
-        )
+    if large is not None and not large:
+        return _nest_whole(rows, key, fields, into, unique_by)
+    if derived:
+        rows = stage(rows, f"nest-{into}")
+    if large is None:
+        return _nest_parts(rows, key, fields, into, part_size, unique_by)
+    named = [value for value in large if value is not None]
+    is_large = F.coalesce(column(key).isin(named), F.lit(False)) if named else F.lit(False)
+    if None in large:
+        is_large = is_large | column(key).isNull()
+    whole = _nest_whole(rows.where(~is_large), key, fields, into, unique_by)
+    return whole.unionByName(
+        _nest_parts(rows.where(is_large), key, fields, into, part_size, unique_by)
+    )
+
+
+def _nest_whole(rows, key, fields, into, unique_by) -> DataFrame:
+    # Structs compare field by field, so the sort fields go first.
+    order = unique_by or fields
+    lead = [*order, *(f for f in fields if f not in order)]
+    members = F.sort_array(F.collect_list(F.struct(*map(column, lead))))
+    if lead != fields:
+        members = _pick(members, fields)
+    return rows.groupBy(column(key)).agg(members.alias(into)).select(
+        column(key), F.lit(0).cast("bigint").alias("part_no"), column(into)
+    )
+
+
+def _nest_parts(rows, key, fields, into, part_size, unique_by) -> DataFrame:
     if unique_by is None:
         return _nest_copies(rows, key, fields, into, part_size)
     position = fresh_name(rows, "_position")
-    numbered = number_rows(stage(rows, f"nest-{into}"), unique_by, [key], into=position)
+    numbered = number_rows(rows, unique_by, [key], into=position)
     part = whole_div(column(position) - 1, part_size)
     members = F.sort_array(F.collect_list(F.struct(column(position), *map(column, fields))))
     return numbered.groupBy(column(key), part.alias("part_no")).agg(
@@ -107,9 +137,13 @@ def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_FIELDS)
 
 
-def order_lines(spark: SparkSession, sf_dir: str, part_size: int, at_most: int) -> DataFrame:
+def large_orders(spark: SparkSession, sf_dir: str, part_size: int) -> list | None:
+    return large_keys(group_sizes(_line_rows(spark, sf_dir), "l_orderkey"), "l_orderkey", part_size)
+
+
+def order_lines(spark: SparkSession, sf_dir: str, part_size: int, large: list | None) -> DataFrame:
     rows = _line_rows(spark, sf_dir)
-    return nest(rows, "l_orderkey", LINE_FIELDS, "line", part_size, at_most=at_most)
+    return nest(rows, "l_orderkey", LINE_FIELDS, "line", part_size, large=large)
 
 
 def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,8 +177,7 @@ def invoices(spark: SparkSession, sf_dir: str, part_size: int = LINES_PER_PART)
     on the order key and grow with the data, so they are merged, not broadcast.
     """
     headers = invoice_headers(spark, sf_dir)
-    at_most = largest_group(_line_rows(spark, sf_dir), "l_orderkey")
-    lines = order_lines(spark, sf_dir, part_size, at_most)
+    lines = order_lines(spark, sf_dir, part_size, large_orders(spark, sf_dir, part_size))
     return headers.join(
         lines.hint("merge"), headers.o_orderkey == lines.l_orderkey, "left"
     ).select(
@@ -165,18 +198,28 @@ def accounts(
     line_part_size: int = LINES_PER_PART,
 ) -> DataFrame:
     """One record per customer (part) with orders: ``order`` elements that hold ``line`` arrays."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    most_lines = largest_group(_line_rows(spark, sf_dir), "l_orderkey")
-    most_parts = max(1, -(-most_lines // line_part_size))
-    lines = order_lines(spark, sf_dir, line_part_size, most_lines)
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("c_custkey")
+    )
+    long_orders = large_orders(spark, sf_dir, line_part_size)
+    lines = order_lines(spark, sf_dir, line_part_size, long_orders)
     joined = orders.join(
         lines.hint("merge"), orders.o_orderkey == lines.l_orderkey, "left"
     ).select(
-        F.col("o_custkey").alias("c_custkey"),
+        "c_custkey",
         "o_orderkey",
         F.coalesce("part_no", F.lit(0)).alias("line_part"),
         "line",
     )
+    sizes = group_sizes(orders, "c_custkey")
+    if long_orders != []:  # an order counts once for each of its parts
+        counts = group_sizes(_line_rows(spark, sf_dir), "l_orderkey")
+        parts = F.greatest(F.lit(1), F.ceil(F.coalesce("members", F.lit(0)) / line_part_size))
+        sizes = (
+            orders.join(counts, orders.o_orderkey == counts.l_orderkey, "left")
+            .groupBy("c_custkey")
+            .agg(F.sum(parts).alias("members"))
+        )
     return nest(
         joined,
         "c_custkey",
@@ -184,5 +227,6 @@ def accounts(
         "order",
         part_size,
         unique_by=["o_orderkey", "line_part"],
-        at_most=largest_group(orders, "o_custkey") * most_parts,
+        large=large_keys(sizes, "c_custkey", part_size),
+        derived=True,
     )

@@ -26,24 +26,52 @@ def expected_parts(rows, part_size):
     }
 
 
+def large_of(df, part_size):
+    return records.large_keys(records.group_sizes(df, "k"), "k", part_size)
+
+
+@pytest.mark.parametrize("most_named", [0, 3, 10_000])
 @pytest.mark.parametrize("part_size", [1, 7, 64, 5000])
-def test_groups_with_copies_are_cut_into_whole_parts(spark, part_size):
+def test_groups_with_copies_are_cut_into_whole_parts(spark, monkeypatch, part_size, most_named):
+    monkeypatch.setattr(records, "MAX_LARGE_KEYS", most_named)
     rows, df = hot_rows(spark)
-    got = records.nest(df, "k", FIELDS, "members", part_size).collect()
+    large = large_of(df, part_size)
+    if part_size == 64:
+        assert large == ([1] if most_named else None)
+    got = records.nest(df, "k", FIELDS, "members", part_size, large=large).collect()
     assert {(r.k, r.part_no): [tuple(m) for m in r.members] for r in got} == expected_parts(
         rows, part_size
     )
     assert len(got) == len({(r.k, r.part_no) for r in got})
 
 
+def test_a_large_group_without_a_key(spark):
+    rows = [(None if i % 2 else i, i % 4, float(i % 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, a int, b double")
+    large = large_of(df, 10)
+    assert large == [None]
+    got = records.nest(df, "k", FIELDS, "members", 10, large=large).collect()
+    assert {(r.k, r.part_no): [tuple(m) for m in r.members] for r in got} == expected_parts(rows, 10)
+
+
+@pytest.mark.parametrize("derived", [True, False])
 @pytest.mark.parametrize("part_size", [9, 5000])
-def test_unique_members_keep_array_fields(spark, part_size):
+def test_unique_members_keep_array_fields(spark, part_size, derived):
     df = spark.range(300).select(
         (F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7)).alias("k"),
         "id",
         F.array("id", F.col("id") + 1).alias("items"),
     )
-    got = records.nest(df, "k", ["items", "id"], "members", part_size, unique_by=["id"]).collect()
+    got = records.nest(
+        df,
+        "k",
+        ["items", "id"],
+        "members",
+        part_size,
+        unique_by=["id"],
+        large=large_of(df, part_size),
+        derived=derived,
+    ).collect()
     members = collections.defaultdict(list)
     for r in sorted(got, key=lambda r: (r.k, r.part_no)):
         assert len(r.members) <= part_size
@@ -55,14 +83,6 @@ def test_unique_members_keep_array_fields(spark, part_size):
     assert sum(map(len, members.values())) == 300
 
 
-def test_a_bound_that_is_already_known_starts_no_job(spark):
-    _, df = hot_rows(spark)
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("bounded", "")
-    records.nest(df, "k", FIELDS, "members", 5000, at_most=2000)
-    assert tracker.getJobIdsForGroup("bounded") == []
-
-
 def test_small_parts_lose_no_line(spark, data):
     lines = records.table(spark, data, "lineitem")
     for size in (3, 100):
