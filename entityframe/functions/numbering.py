@@ -54,6 +54,8 @@ def _sort_key(col: Column, dtype: T.DataType) -> tuple[Column, T.DataType]:
         return F.unix_micros(col), T.LongType()
     if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
         return col + F.lit(0).cast(dtype), dtype  # -0.0 and 0.0 are one key
+    if isinstance(dtype, T.StringType) and dtype.collation != "UTF8_BINARY":
+        raise TypeError(f"rows cannot be numbered by a column collated as {dtype.collation}")
     if isinstance(dtype, (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampNTZType)):
         return col, dtype
     raise TypeError(f"rows cannot be numbered by a column of type {dtype.simpleString()}")

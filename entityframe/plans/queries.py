@@ -30,7 +30,13 @@ from entityframe.plans.records import (
 )
 from entityframe.sources import format as entity_format
 from entityframe.sources import paging
-from entityframe.sources.landing import shared_dir, stage, tenant_path, write_landing
+from entityframe.sources.landing import (
+    BATCHES_PER_FILE,
+    shared_dir,
+    stage,
+    tenant_path,
+    write_landing,
+)
 from entityframe.sources.reader import EntityReader
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +59,9 @@ def entity_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce(table(spark, sf_dir, "orders"))
 
 
-def _landed_orders(spark: SparkSession, sf_dir: str, purpose: str) -> EntityReader:
+def _landed_orders(
+    spark: SparkSession, sf_dir: str, purpose: str, batches_per_file: int = BATCHES_PER_FILE
+) -> EntityReader:
     root = shared_dir(spark, purpose)
     write_landing(
         table(spark, sf_dir, "orders"),
@@ -62,7 +70,7 @@ def _landed_orders(spark: SparkSession, sf_dir: str, purpose: str) -> EntityRead
         COMPANY,
         ["o_orderkey"],
         page_size=PAGE_SIZE,
-        batches_per_file=1,
+        batches_per_file=batches_per_file,
     )
     return EntityReader(spark).options(path=root, companyId=COMPANY, entity="orders")
 
@@ -117,7 +125,7 @@ def scan_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def format_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = _landed_orders(spark, sf_dir, "format_load").scan_options
+    landed = _landed_orders(spark, sf_dir, "format_load", batches_per_file=1).scan_options
     entity_format.register(spark)
     return (
         spark.read.format(entity_format.SHORT_NAME)

@@ -7,7 +7,7 @@ group above ``part_size`` members continues in further parts, numbered by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityframe.functions.numbering import column, fresh_name, number_rows, whole_div
@@ -80,7 +80,7 @@ def _nest_whole(rows, key, fields, into, unique_by) -> DataFrame:
     members = F.sort_array(F.collect_list(F.struct(*map(column, lead))))
     if lead != fields:
         members = _pick(members, fields)
-    return rows.groupBy(column(key)).agg(members.alias(into)).select(
+    return _together(rows, column(key)).groupBy(column(key)).agg(members.alias(into)).select(
         column(key), F.lit(0).cast("bigint").alias("part_no"), column(into)
     )
 
@@ -90,11 +90,19 @@ def _nest_parts(rows, key, fields, into, part_size, unique_by) -> DataFrame:
         return _nest_copies(rows, key, fields, into, part_size)
     position = fresh_name(rows, "_position")
     numbered = number_rows(rows, unique_by, [key], into=position)
-    part = whole_div(column(position) - 1, part_size)
+    placed = numbered.withColumn("part_no", whole_div(column(position) - 1, part_size))
     members = F.sort_array(F.collect_list(F.struct(column(position), *map(column, fields))))
-    return numbered.groupBy(column(key), part.alias("part_no")).agg(
-        _pick(members, fields).alias(into)
-    )
+    by = [column(key), F.col("part_no")]
+    return _together(placed, *by).groupBy(*by).agg(_pick(members, fields).alias(into))
+
+
+def _together(rows: DataFrame, *by: Column) -> DataFrame:
+    """Rows of a group in one task before they are collected.
+
+    The same single shuffle, but without collecting on the side of the scan
+    first, which would sort all rows there and make none of them smaller.
+    """
+    return rows.repartition(*by)
 
 
 def _nest_copies(rows, key, fields, into, part_size) -> DataFrame:
@@ -126,7 +134,8 @@ def _nest_copies(rows, key, fields, into, part_size) -> DataFrame:
             lambda m: F.array_repeat(F.struct(*(m.getField(f).alias(f) for f in fields)), m["_n"]),
         )
     )
-    return pieces.groupBy(column(key), F.col("part_no")).agg(written.alias(into))
+    by = [column(key), F.col("part_no")]
+    return _together(pieces, *by).groupBy(*by).agg(written.alias(into))
 
 
 def _pick(members, fields: list[str]):

@@ -96,3 +96,20 @@ def test_odd_column_names(spark):
     got = number_rows(df, ["a.b"], ["_bucket"], buckets=5)
     assert got.columns == ["a.b", "_bucket", "position"]
     assert got.where("position <> `a.b` div 2 + 1").count() == 0
+
+
+def test_special_floats(spark):
+    values = [float("-inf"), -1.5, -0.0, 2.25, 1e300, float("inf"), float("nan"), None]
+    rows = [(v, i) for i in range(40) for v in values]
+    df = spark.createDataFrame(rows, "g double, i int")
+    got = number_rows(df, ["i"], ["g"], buckets=30)
+    assert got.where("position <> i + 1").count() == 0
+    ordered = number_rows(df, ["g", "i"], buckets=30).orderBy("position").select("g").collect()
+    expected = df.orderBy("g", "i").select("g").collect()
+    assert list(map(repr, ordered)) == list(map(repr, expected))
+
+
+def test_collated_keys_are_refused(spark):
+    df = spark.sql("select 'a' collate utf8_lcase as k")
+    with pytest.raises(TypeError, match="UTF8_LCASE"):
+        number_rows(df, ["k"])
