@@ -113,18 +113,36 @@ def write_landing(
         .option("basePath", base)
         .parquet(written)
     )
-    _write_manifest(landed, root, entity, records.schema, page_size, batch_size, order_by)
+    by_company = isinstance(company_id, Column)
+    totals = _totals(landed.groupBy("company_id") if by_company else landed, records.schema)
+    if not by_company:  # one row even for an entity without records
+        totals = totals.withColumn("company_id", F.lit(company_id))
+    manifest = totals.select(
+        F.lit(env).alias("env"),
+        "*",
+        F.lit(records.schema.json()).alias("schema"),
+        F.lit(page_size).alias("page_size"),
+        F.lit(batch_size).alias("batch_size"),
+        F.lit(",".join(order_by)).alias("order_by"),
+    )
+    (
+        manifest.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("env", "company_id")
+        .json(f"{base}/{MANIFEST}")
+    )
 
 
-def _write_manifest(landed, root, entity, schema, page_size, batch_size, order_by) -> None:
-    """One row per company: counts and array widths, from one pass over the arrays alone."""
+def _totals(landed, schema: T.StructType) -> DataFrame:
+    """Record count and array widths, from one pass over the arrays alone."""
     first = (F.col("page_no") == 0) & (F.col("pos_in_page") == 0)
     sizes = largest_sizes(schema)
-    totals = landed.groupBy("env", "company_id").agg(
+    counted = landed.agg(
         F.count(F.lit(1)).alias("records"),
         *(F.max(size).alias(f"max{i}") for i, (_, size) in enumerate(sizes)),
         *(F.max(F.when(first, size)).alias(f"first{i}") for i, (_, size) in enumerate(sizes)),
     )
+    kept = [name for name in ("company_id",) if name in counted.columns]
 
     def widths(policy: str) -> Column:
         entries = [
@@ -136,22 +154,8 @@ def _write_manifest(landed, root, entity, schema, page_size, batch_size, order_b
         ]
         return F.to_json(F.array(*entries)) if entries else F.lit("[]")
 
-    (
-        totals.select(
-            "env",
-            "company_id",
-            "records",
-            widths("max").alias("max_sizes"),
-            widths("first").alias("first_sizes"),
-            F.lit(schema.json()).alias("schema"),
-            F.lit(page_size).alias("page_size"),
-            F.lit(batch_size).alias("batch_size"),
-            F.lit(",".join(order_by)).alias("order_by"),
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("env", "company_id")
-        .json(f"{root.rstrip('/')}/{entity}/{MANIFEST}")
+    return counted.select(
+        *kept, "records", widths("max").alias("max_sizes"), widths("first").alias("first_sizes")
     )
 
 

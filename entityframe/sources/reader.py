@@ -15,6 +15,7 @@ from entityframe.functions.paths import array_paths
 from entityframe.operators.flatten import flatten
 from entityframe.operators.infer import infer_schema, parse_records
 from entityframe.options import OptionError, ScanOptions
+from entityframe.sources import paging
 from entityframe.sources.landing import (
     PAGE_COLUMNS,
     landed_schema,
@@ -86,9 +87,12 @@ class EntityReader:
     def _manifest(self):
         fields = "schema string, order_by string, max_sizes string, first_sizes string"
         try:
-            return self._spark.read.schema(fields).json(manifest_path(*self._tenant())).first()
+            row = self._spark.read.schema(fields).json(manifest_path(*self._tenant())).first()
         except AnalysisException as error:
             raise self._nothing_landed() from error
+        if row is None:
+            raise self._nothing_landed()
+        return row
 
     def _nothing_landed(self) -> OptionError:
         return OptionError(
@@ -138,6 +142,20 @@ class EntityReader:
         landed = sizes_from_manifest(manifest[f"{policy}_sizes"])
         return replace(options, array_sizes={path: landed.get(path, 0) for path in paths})
 
+    def envelope(self) -> DataFrame:
+        """``start_position``, ``max_results`` and ``total_count`` of a full read."""
+        return paging.scan_envelope(self.pages())
+
+    def page_manifest(self) -> DataFrame:
+        """Pages of ``pageSize`` records; counting Parquet records reads file footers only."""
+        return paging.page_manifest(self._spark, self.pages().count(), self.scan_options.page_size)
+
+    def batch_manifest(self) -> DataFrame:
+        options = self.scan_options
+        return paging.batch_manifest(
+            self._spark, self.pages().count(), options.page_size, options.batch_size
+        )
+
     def load_view(self) -> str:
         """Register the load as a temporary view and return the view's name."""
         name = view_name(self.scan_options)

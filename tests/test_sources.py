@@ -114,6 +114,26 @@ def test_landing_again_replaces_the_pages(spark):
     assert reader(spark, root, "9").load().count() == 12
 
 
+def test_an_empty_entity_keeps_its_landed_schema(spark):
+    root = shared_dir(spark, "empty")
+    write_landing(spark.range(0).withColumn("l", F.array("id")), root, "item", "1", ["id"])
+    got = reader(spark, root, "1", expandArrays=True, keepNested=False).load()
+    assert got.columns == ["id", "l"] and got.count() == 0
+    entity_format.register(spark)
+    loaded = spark.read.format("entity_pages").options(companyId="1", entity="item").load(root)
+    assert loaded.columns == ["id", "l"] and loaded.count() == 0
+
+
+def test_reader_counts_and_plans_pages(spark, landed):
+    load = reader(spark, landed, pageSize=100, batchSize=4)
+    assert tuple(load.envelope().first()) == (1, 666, 666)
+    assert load.page_manifest().count() == 7
+    assert [tuple(r) for r in load.batch_manifest().orderBy("batch_no").collect()] == [
+        (0, 4, 400),
+        (1, 3, 266),
+    ]
+
+
 def test_reader_flattens(spark, landed):
     df = reader(spark, landed, expandArrays="true", keepNested="false").load()
     assert df.columns == ["id", "v", "tags_0", "tags_1"]
