@@ -79,6 +79,11 @@ def main() -> None:
     seconds = {name: round(min(run(name), run(name)), 3) for name in names}
 
     count = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("orders", "lineitem")}
+    partitions = {
+        name: QUERIES[name](spark, sf_dir).rdd.getNumPartitions()
+        for name in ROWS_READ
+        if name in seconds
+    }
     rates = {
         name: round(sum(count[t] for t in tables) / seconds[name])
         for name, tables in ROWS_READ.items()
@@ -92,6 +97,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "rows_per_sec": rates,
+                "partitions": partitions,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
             }
         )

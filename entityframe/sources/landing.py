@@ -12,6 +12,7 @@ records are in page order.
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 
@@ -55,12 +56,27 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Company ids and entity names become directory names as they are.
+SAFE_NAME = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
+
+
+def check_name(what: str, value: str) -> str:
+    if not re.match(SAFE_NAME, value):
+        raise OptionError(f"{what} {value!r} must be letters, digits, dots, dashes and underscores")
+    return value
+
+
 def tenant_path(root: str, entity: str, env: str, company_id: str) -> str:
-    return f"{root.rstrip('/')}/{entity}/env={env}/company_id={company_id}"
+    return f"{root.rstrip('/')}/{check_name('entity', entity)}/{_tenant_dir(env, company_id)}"
 
 
 def manifest_path(root: str, entity: str, env: str, company_id: str) -> str:
-    return tenant_path(root, f"{entity}/{MANIFEST}", env, company_id)
+    base = f"{root.rstrip('/')}/{check_name('entity', entity)}/{MANIFEST}"
+    return f"{base}/{_tenant_dir(env, company_id)}"
+
+
+def _tenant_dir(env: str, company_id: str) -> str:
+    return f"env={env}/company_id={check_name('company id', company_id)}"
 
 
 def write_landing(
@@ -83,15 +99,23 @@ def write_landing(
     says that ``records`` are the result of joins or aggregates, which are then
     staged: numbering reads its keys more than once.
     """
-    clash = {"company_id", "env", "position", "batch_no", *PAGE_COLUMNS} & set(records.columns)
+    own = {"company_id", "env", "position", "batch_no", *PAGE_COLUMNS}
+    clash = own & {name.lower() for name in records.columns}
     if clash:
         raise OptionError(f"record fields clash with landing columns: {', '.join(sorted(clash))}")
     if derived:
         records = stage(records, f"stage-{entity}")
     env = "production" if production else "sandbox"
-    base = f"{root.rstrip('/')}/{entity}"
+    base = f"{root.rstrip('/')}/{check_name('entity', entity)}"
     if isinstance(company_id, Column):
-        records_of = records.withColumn("company_id", company_id.cast("string"))
+        company = company_id.cast("string")
+        unusable = F.concat(
+            F.lit("no directory can be named after company id "), F.coalesce(company, F.lit("null"))
+        )
+        records_of = records.withColumn(
+            "company_id",
+            F.when(company.rlike(SAFE_NAME), company).otherwise(F.raise_error(unusable)),
+        )
         paged = assign_pages(records_of, order_by, page_size, batch_size, ["company_id"])
         rows = paged.select(
             *map(column, records.columns), *PAGE_COLUMNS, F.lit(env).alias("env"), "company_id"

@@ -73,8 +73,9 @@ class EntityReader:
 
     def _infer_json(self) -> T.StructType:
         options, lines = self.scan_options, self._json_lines()
+        decimals = options.decimal_forced  # a stated decimalType keeps fractions exact
         if options.sample_rows == "all":
-            return infer_schema(lines, "value")
+            return infer_schema(lines, "value", decimals=decimals)
         # Number keys sort as numbers, any other as text.
         record = F.parse_json("value")
         keys = {
@@ -82,7 +83,9 @@ class EntityReader:
             for i, name in enumerate(options.order_by)
             for kind, dtype in (("n", "decimal(38,10)"), ("t", "string"))
         }
-        return infer_schema(lines.withColumns(keys), "value", options.sample_rows, list(keys))
+        return infer_schema(
+            lines.withColumns(keys), "value", options.sample_rows, list(keys), decimals=decimals
+        )
 
     def _manifest(self):
         fields = "schema string, order_by string, max_sizes string, first_sizes string"

@@ -18,7 +18,7 @@ def connect(sf_dir):
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6)
+        return "nan" if math.isnan(value) else value + 0.0
     return value
 
 

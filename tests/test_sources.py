@@ -189,7 +189,18 @@ def test_missing_options_and_entities(spark, landed):
 
 def test_clashing_record_fields_are_refused(spark):
     with pytest.raises(OptionError, match="page_no"):
-        write_landing(spark.range(3).withColumn("page_no", F.lit(1)), "/none", "x", "1", ["id"])
+        write_landing(spark.range(3).withColumn("Page_No", F.lit(1)), "/none", "x", "1", ["id"])
+
+
+def test_names_that_cannot_be_directories_are_refused(spark):
+    root = shared_dir(spark, "names")
+    with pytest.raises(OptionError, match="company id '../x'"):
+        write_landing(spark.range(3), root, "item", "../x", ["id"])
+    with pytest.raises(OptionError, match="entity 'a/b'"):
+        EntityReader(spark).options(path=root, companyId="1", entity="a/b").load()
+    for company in (F.lit("a:b"), F.lit(None)):
+        with pytest.raises(Exception, match="no directory can be named after company id (a:b|null)"):
+            write_landing(spark.range(3), root, "item", company, ["id"])
 
 
 # --- registered format ---------------------------------------------------------------------
@@ -326,3 +337,16 @@ def test_json_schema_from_the_first_records_by_key(spark):
     assert load().columns == ["id", "x", "y", "z"]
     with pytest.raises(OptionError, match="orderBy"):
         load(sampleRows=1)
+
+
+def test_json_fractions_are_exact_under_a_stated_decimal_type(spark):
+    root = shared_dir(spark, "json-decimal")
+    spark.createDataFrame([('{"amt": 100.99}',), ('{"amt": 5.123}',)], "value string").write.text(
+        f"{root}/item/env=sandbox/company_id=1"
+    )
+    load = lambda **more: reader(spark, root, "1", fileFormat="json", **more).load()
+    assert load().dtypes == [("amt", "double")]
+    assert load(decimalType="source").dtypes == [("amt", "decimal(6,3)")]
+    whole = load(decimalType="decimal(10,0)")
+    assert whole.dtypes == [("amt", "decimal(10,0)")]
+    assert sorted(int(r.amt) for r in whole.collect()) == [5, 101]
