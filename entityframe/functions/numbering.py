@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 20_000
-SAMPLES_PER_BUCKET = 20
+MAX_BUCKETS = 50_000
+SAMPLES_PER_BUCKET = 10
 _SEED = 17
 
 
@@ -62,7 +62,7 @@ def _sort_key(col: Column, dtype: T.DataType) -> tuple[Column, T.DataType]:
 
 
 def _literal_array(texts: list[str], dtype: T.DataType) -> Column:
-    """One constant array, built from a single string so that 20,000 cuts stay cheap to plan."""
+    """One constant array, built from a single string so that many thousand cuts stay cheap to plan."""
     separator = next(c for c in map(chr, range(0xE000, 0xF8FF)) if not any(c in t for t in texts))
     parts = F.split(F.lit(separator.join(texts)), separator)
     return parts if isinstance(dtype, T.StringType) else parts.cast(T.ArrayType(dtype))

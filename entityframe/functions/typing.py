@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entityframe.functions.numbering import column
 from entityframe.options import ScanOptions
 
 MILLIS_PER_DAY = 86_400_000
@@ -72,3 +73,13 @@ def convert(col: Column, dtype: T.DataType, options: ScanOptions) -> Column:
     if isinstance(dtype, T.DecimalType):
         return col.cast(target)
     return epoch_millis(col, dtype)
+
+
+def converted_columns(schema: T.StructType, options: ScanOptions) -> list[Column]:
+    """All columns of ``schema`` under the rules; unchanged ones keep their metadata."""
+    columns = []
+    for f in schema.fields:
+        raw = column(f.name)
+        changed = converted_type(f.dataType, options) != f.dataType
+        columns.append(convert(raw, f.dataType, options).alias(f.name) if changed else raw)
+    return columns

@@ -5,21 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from entityframe.functions.numbering import column
-from entityframe.functions.typing import convert, converted_type
+from entityframe.functions.typing import converted_columns
 from entityframe.options import ScanOptions
 
 
 def coerce(df: DataFrame, options: ScanOptions = ScanOptions()) -> DataFrame:
     """Convert dates and decimals at any depth; unchanged columns pass through."""
-    return df.select(
-        *(
-            column(f.name)
-            if converted_type(f.dataType, options) == f.dataType
-            else convert(column(f.name), f.dataType, options).alias(f.name)
-            for f in df.schema.fields
-        )
-    )
+    return df.select(*converted_columns(df.schema, options))
 
 
 def project(df: DataFrame, schema: T.StructType) -> DataFrame:

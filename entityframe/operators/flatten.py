@@ -24,7 +24,7 @@ from entityframe.functions.paths import (
     path_text,
     walk,
 )
-from entityframe.functions.typing import convert, converted_type
+from entityframe.functions.typing import convert, converted_columns
 from entityframe.options import FieldPath, OptionError, ScanOptions, as_path
 
 
@@ -184,12 +184,7 @@ def flatten(df: DataFrame, options: ScanOptions | None = None, **changes) -> Dat
     options = _with(options or ScanOptions(), changes)
     flat = flat_columns(df, options)
     if not options.expand_structs or options.keep_nested:
-        kept = [
-            column(f.name)
-            if converted_type(f.dataType, options) == f.dataType
-            else convert(column(f.name), f.dataType, options).alias(f.name)
-            for f in df.schema.fields
-        ]
+        kept = converted_columns(df.schema, options)
         flat = [item for item in flat if not item.is_root]
     else:
         kept = []

@@ -1,10 +1,14 @@
+import datetime
+import decimal
 import json
 import os
+import random
 import subprocess
 import sys
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import ROOT
 from entityframe.options import OptionError
@@ -251,6 +255,48 @@ def test_format_equals_the_native_reader(spark, invoices, options):
     assert loaded.count() == native.count() > 0
 
 
+def random_value(rng, dtype):
+    if rng.random() < 0.2:
+        return None
+    if isinstance(dtype, T.StructType):
+        return tuple(random_value(rng, f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return [random_value(rng, dtype.elementType) for _ in range(rng.randrange(4))]
+    if isinstance(dtype, T.MapType):
+        return {k: random_value(rng, dtype.valueType) for k in "ab"[: rng.randrange(3)]}
+    moment = datetime.datetime(1969, 12, 31, 23) + datetime.timedelta(microseconds=rng.randrange(10**10))
+    return {
+        "int": rng.randrange(-9, 9),
+        "string": rng.choice(["", "x", "y_z"]),
+        "boolean": rng.random() < 0.5,
+        "double": rng.random(),
+        "decimal(9,4)": decimal.Decimal(rng.randrange(-(10**9), 10**9)).scaleb(-4),
+        "date": moment.date(),
+        "timestamp_ntz": moment,
+        "binary": b"\x00z",
+    }[dtype.simpleString()]
+
+
+@pytest.mark.parametrize("extra", [{}, {"dates": "native"}, {"decimalType": "decimal(6,1)"}], ids=str)
+def test_format_equals_the_native_reader_on_random_records(spark, extra):
+    rng = random.Random(5)
+    leaf = "n: int, s: string, b: boolean, d: double, m: decimal(9,4), t: date, z: timestamp_ntz, y: binary"
+    ddl = f"id int, r struct<{leaf}, l: array<struct<{leaf}>>, k: map<string, int>>, a array<array<struct<{leaf}>>>, p array<date>"
+    schema = T.StructType.fromDDL(ddl)
+    rows = [(i, *(random_value(rng, f.dataType) for f in schema.fields[1:])) for i in range(200)]
+    root = shared_dir(spark, "random")
+    write_landing(
+        spark.createDataFrame(rows, schema), root, "item", "1", ["id"], page_size=20, batch_size=1, batches_per_file=1
+    )
+    entity_format.register(spark)
+    for expand in ({}, {"expandArrays": "true", "keepNested": "false"}):
+        options = {"companyId": "1", "entity": "item", **expand, **extra}
+        loaded = spark.read.format("entity_pages").options(**options).load(root)
+        native = EntityReader(spark).options(path=root, **options).load()
+        assert loaded.dtypes == native.dtypes
+        assert sorted(map(repr, loaded.collect())) == sorted(map(repr, native.collect()))
+
+
 def test_format_reads_files_in_parallel(spark, invoices):
     loaded = spark.read.format("entity_pages").options(companyId="5", entity="invoice").load(invoices)
     assert loaded.rdd.getNumPartitions() > 1
