@@ -24,9 +24,8 @@ from entityframe.plans.records import (
     accounts,
     invoice_headers,
     invoices,
-    large_orders,
-    nest,
     table,
+    with_lines,
 )
 from entityframe.sources import format as entity_format
 from entityframe.sources import paging
@@ -415,16 +414,11 @@ def coerce_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.col("l_shipdate").alias("at"), F.col("l_partkey").alias("part")
     )
-    large = large_orders(spark, sf_dir, LINES_PER_PART)
-    shipments = nest(lines, "l_orderkey", ["at", "part"], "shipment", LINES_PER_PART, large=large)
-    orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    records = orders.join(shipments, orders.o_orderkey == shipments.l_orderkey, "left").select(
-        key,
-        F.coalesce("part_no", F.lit(0)).alias("part_no"),
-        F.when(key % 4 != 0, F.struct(F.col("o_orderdate").alias("at"))).alias("header"),
-        "shipment",
+    headers = table(spark, sf_dir, "orders").select(
+        key, F.when(key % 4 != 0, F.struct(F.col("o_orderdate").alias("at"))).alias("header")
     )
+    records, _ = with_lines(headers, lines, ["at", "part"], "shipment", LINES_PER_PART)
     first, last = F.get("shipment", F.lit(0)), F.element_at("shipment", -1)
     return coerce(records).select(
         "o_orderkey",

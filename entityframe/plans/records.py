@@ -63,16 +63,56 @@ def nest(
         rows = stage(rows, f"nest-{into}")
     if large is None:
         return _nest_parts(rows, key, fields, into, part_size, unique_by)
-    named = [value for value in large if value is not None]
-    is_large = F.coalesce(column(key).isin(named), F.lit(False)) if named else F.lit(False)
-    if None in large:
-        is_large = is_large | column(key).isNull()
+    is_large = _is_one_of(column(key), large)
     whole = _nest_whole(rows.where(~is_large), key, fields, into, unique_by)
     return whole.unionByName(
         _nest_parts(rows.where(is_large), key, fields, into, part_size, unique_by)
     )
 
 
+def _is_one_of(col: Column, values: list) -> Column:
+    named = [value for value in values if value is not None]
+    found = F.coalesce(col.isin(named), F.lit(False)) if named else F.lit(False)
+    return found | col.isNull() if None in values else found
+
+
+def join_parts(
+    headers: DataFrame,
+    key: str,
+    parts: DataFrame,
+    parts_key: str,
+    part_size: int,
+    large: list | None,
+    sizes: DataFrame,
+) -> DataFrame:
+    """Every header with each part of its group, or with nulls if it has none.
+
+    Parts grow with the data and are already partitioned on the key, so they
+    are merged, not broadcast. A large key has many parts, and the inner side
+    of an outer join is never split at run time; so its parts are spread over
+    salts, and its header, one row, is repeated for each.
+    """
+    if large is not None and not large:
+        return headers.join(parts.hint("merge"), column(key) == column(parts_key), "left")
+    most = int(headers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if large is not None:
+        salts = F.when(_is_one_of(column(key), large), most).otherwise(1)
+    else:
+        counts = sizes.select(column(parts_key).alias("_key"), F.col("members").alias("_members"))
+        headers = headers.join(counts, column(key) == F.col("_key"), "left").drop("_key")
+        needed = whole_div(F.col("_members") + part_size - 1, part_size)
+        salts = F.least(F.lit(most), F.coalesce(needed, F.lit(1))).cast("int")
+    salted = headers.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_members")
+    spread = parts.withColumn("_part_salt", F.pmod("part_no", F.lit(most)).cast("int"))
+    on = (column(key) == column(parts_key)) & (F.col("_salt") == F.col("_part_salt"))
+    # Part 0 is always with salt 0, so only a repeated header can be left over.
+    return (
+        salted.join(spread.hint("merge"), on, "left")
+        .where((F.col("_salt") == 0) | F.col("part_no").isNotNull())
+        .drop("_salt", "_part_salt")
+    )
+
+
 def _nest_whole(rows, key, fields, into, unique_by) -> DataFrame:
     # Structs compare field by field, so the sort fields go first.
     order = unique_by or fields
@@ -146,13 +186,20 @@ def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_FIELDS)
 
 
-def large_orders(spark: SparkSession, sf_dir: str, part_size: int) -> list | None:
-    return large_keys(group_sizes(_line_rows(spark, sf_dir), "l_orderkey"), "l_orderkey", part_size)
-
-
-def order_lines(spark: SparkSession, sf_dir: str, part_size: int, large: list | None) -> DataFrame:
-    rows = _line_rows(spark, sf_dir)
-    return nest(rows, "l_orderkey", LINE_FIELDS, "line", part_size, large=large)
+def with_lines(
+    headers: DataFrame,
+    rows: DataFrame,
+    fields: list[str],
+    into: str,
+    part_size: int,
+) -> tuple[DataFrame, list | None]:
+    """Headers keyed ``o_orderkey`` with their ``rows`` (keyed ``l_orderkey``) nested; large orders."""
+    sizes = group_sizes(rows, "l_orderkey")
+    large = large_keys(sizes, "l_orderkey", part_size)
+    parts = nest(rows, "l_orderkey", fields, into, part_size, large=large)
+    joined = join_parts(headers, "o_orderkey", parts, "l_orderkey", part_size, large, sizes)
+    part_no = F.coalesce("part_no", F.lit(0)).alias("part_no")
+    return joined.select(*map(column, headers.columns), part_no, column(into)), large
 
 
 def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,16 +229,13 @@ def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def invoices(spark: SparkSession, sf_dir: str, part_size: int = LINES_PER_PART) -> DataFrame:
     """One record per order (part): header, ``customer_ref`` with its nation, and ``line``.
 
-    ``line`` is null for an order without lines. Lines are already partitioned
-    on the order key and grow with the data, so they are merged, not broadcast.
+    ``line`` is null for an order without lines.
     """
     headers = invoice_headers(spark, sf_dir)
-    lines = order_lines(spark, sf_dir, part_size, large_orders(spark, sf_dir, part_size))
-    return headers.join(
-        lines.hint("merge"), headers.o_orderkey == lines.l_orderkey, "left"
-    ).select(
+    nested, _ = with_lines(headers, _line_rows(spark, sf_dir), LINE_FIELDS, "line", part_size)
+    return nested.select(
         "o_orderkey",
-        F.coalesce("part_no", F.lit(0)).alias("part_no"),
+        "part_no",
         "o_orderstatus",
         "o_totalprice",
         "o_orderdate",
@@ -210,19 +254,12 @@ def accounts(
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("c_custkey")
     )
-    long_orders = large_orders(spark, sf_dir, line_part_size)
-    lines = order_lines(spark, sf_dir, line_part_size, long_orders)
-    joined = orders.join(
-        lines.hint("merge"), orders.o_orderkey == lines.l_orderkey, "left"
-    ).select(
-        "c_custkey",
-        "o_orderkey",
-        F.coalesce("part_no", F.lit(0)).alias("line_part"),
-        "line",
-    )
+    rows = _line_rows(spark, sf_dir)
+    nested, long_orders = with_lines(orders, rows, LINE_FIELDS, "line", line_part_size)
+    joined = nested.withColumnRenamed("part_no", "line_part")
     sizes = group_sizes(orders, "c_custkey")
     if long_orders != []:  # an order counts once for each of its parts
-        counts = group_sizes(_line_rows(spark, sf_dir), "l_orderkey")
+        counts = group_sizes(rows, "l_orderkey")
         parts = F.greatest(F.lit(1), F.ceil(F.coalesce("members", F.lit(0)) / line_part_size))
         sizes = (
             orders.join(counts, orders.o_orderkey == counts.l_orderkey, "left")

@@ -83,10 +83,50 @@ def test_unique_members_keep_array_fields(spark, part_size, derived):
     assert sum(map(len, members.values())) == 300
 
 
-def test_small_parts_lose_no_line(spark, data):
-    lines = records.table(spark, data, "lineitem")
-    for size in (3, 100):
-        inv = records.invoices(spark, data, part_size=size)
-        total = inv.select(F.sum(F.coalesce(F.array_size("line"), F.lit(0)))).first()[0]
-        assert total == lines.count()
-        assert inv.select(F.max(F.array_size("line"))).first()[0] <= size
+@pytest.mark.parametrize("most_named", [0, 10_000])
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_parts_rejoin_to_the_same_invoices(spark, data, monkeypatch, size, most_named):
+    monkeypatch.setattr(records, "MAX_LARGE_KEYS", most_named)
+    monkeypatch.setattr(records, "table", hot_table)
+    lines = collections.defaultdict(list)
+    for r in hot_table(spark, data, "lineitem").select("l_orderkey", *records.LINE_FIELDS).collect():
+        lines[r[0]].append(tuple(r[1:]))
+    got = collections.defaultdict(dict)
+    for r in records.invoices(spark, data, part_size=size).select("o_orderkey", "part_no", "line").collect():
+        assert r.part_no not in got[r.o_orderkey]
+        assert r.line is None or len(r.line) <= size
+        got[r.o_orderkey][r.part_no] = [tuple(m) for m in r.line or []]
+    orders = [r[0] for r in hot_table(spark, data, "orders").select("o_orderkey").collect()]
+    assert set(got) == set(orders)
+    for order, parts in got.items():
+        assert sorted(parts) == list(range(len(parts)))
+        assert sum((parts[i] for i in range(len(parts))), []) == sorted(lines[order])
+
+
+def hot_table(spark, sf_dir, name):
+    """A third of all lines in one order, a third of all orders with one customer; copies kept."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name == "lineitem":
+        hot = F.pmod(F.xxhash64("*"), F.lit(3)) == 0
+        return df.withColumn("l_orderkey", F.when(hot, F.lit(7)).otherwise(F.col("l_orderkey")))
+    if name == "orders":
+        hot = F.col("o_orderkey") % 3 == 0
+        return df.withColumn("o_custkey", F.when(hot, F.lit(11)).otherwise(F.col("o_custkey")))
+    return df
+
+
+@pytest.mark.parametrize("most_named", [0, 10_000])
+def test_accounts_hold_every_order_part_once(spark, data, monkeypatch, most_named):
+    monkeypatch.setattr(records, "MAX_LARGE_KEYS", most_named)
+    monkeypatch.setattr(records, "table", hot_table)
+    inv = records.invoices(spark, data, part_size=5)
+    expected = sorted(
+        (r.customer_ref.value, r.o_orderkey, r.part_no, len(r.line or [])) for r in inv.collect()
+    )
+    acc = records.accounts(spark, data, part_size=6, line_part_size=5).collect()
+    assert max(len(r.order) for r in acc) == 6
+    got = [(r.c_custkey, o.o_orderkey, o.line_part, len(o.line or [])) for r in acc for o in r.order]
+    assert sorted(got) == expected
+    by_part = sorted(acc, key=lambda r: (r.c_custkey, r.part_no))
+    in_order = [(r.c_custkey, o.o_orderkey, o.line_part) for r in by_part for o in r.order]
+    assert in_order == sorted(in_order)
