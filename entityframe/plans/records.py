@@ -45,8 +45,9 @@ def nest(
     fields: list[str],
     into: str,
     part_size: int,
+    *,
+    large: list | None,
     unique_by: list[str] | None = None,
-    large: list | None = (),
     derived: bool = False,
 ) -> DataFrame:
     """``key``, ``part_no`` and an array of structs of ``fields``, sorted by ``unique_by``.
