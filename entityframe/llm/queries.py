@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from entityframe.llm.decontaminate import op4_decontamination
 from entityframe.llm.line_dedup import OP8_SQL, op8_line_dedup
+from entityframe.llm.packing import op5_packing
 from entityframe.llm.pii import op9_pii
 from entityframe.llm.url_filter import OP1_SQL, op1_url_filter
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op4_decontamination": op4_decontamination,
+    "op5_packing": op5_packing,
     "op8_line_dedup": op8_line_dedup,
     "op9_pii": op9_pii,
 }
