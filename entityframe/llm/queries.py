@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from entityframe.llm.decontaminate import op4_decontamination
+from entityframe.llm.jaccard_join import op7_jaccard_join
 from entityframe.llm.line_dedup import OP8_SQL, op8_line_dedup
 from entityframe.llm.packing import op5_packing
 from entityframe.llm.pii import op9_pii
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
     "op9_pii": op9_pii,
 }
