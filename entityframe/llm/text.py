@@ -67,7 +67,7 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(1 << max(20, int(size).bit_length()))
 
 
-_BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 512, dtype=np.int64).astype(U64)
+BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 512, dtype=np.int64).astype(U64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -103,7 +103,7 @@ class Words:
         closes[before] = inside[before]
         self.start = np.flatnonzero(opens)
         self.end = np.flatnonzero(closes) + 1
-        self.hash = range_hashes(_BYTE_VALUES[low], self.start, self.end)
+        self.hash = range_hashes(BYTE_VALUES[low], self.start, self.end)
         self.first = np.searchsorted(self.start, off)
 
     def count(self) -> np.ndarray:
