@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from entityframe.llm.decontaminate import op4_decontamination
 from entityframe.llm.jaccard_join import op7_jaccard_join
+from entityframe.llm.lattice_dedup import op10_lattice_dedup
 from entityframe.llm.line_dedup import OP8_SQL, op8_line_dedup
 from entityframe.llm.packing import op5_packing
 from entityframe.llm.pii import op9_pii
+from entityframe.llm.quality import op2_quality
 from entityframe.llm.suffix_dedup import op3_suffix_dedup
 from entityframe.llm.url_filter import OP1_SQL, op1_url_filter
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_quality": op2_quality,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
     "op9_pii": op9_pii,
+    "op10_lattice_dedup": op10_lattice_dedup,
 }
 
 ORACLES = {
