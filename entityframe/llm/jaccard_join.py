@@ -183,23 +183,8 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
         .distinct()
     )
     links = stage(verify(stars, unit, percent), "links")
-    joined = components(links)
-
-    placed = posting.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id",
-        "n_shingles",
-        "token",
-        "skipped",
-        "i",
-        F.coalesce("component", "doc_id").alias("component"),
-    )
-    split = (
-        placed.groupBy("token")
-        .agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        .where("x < y")
-        .select("token")
-    )
-    open_rows = stage(placed.join(split, "token"), "open")
+    open_rows = _open(posting, components(links))
+    open_rows = open_rows.join(unit.select("doc_id", "prefix"), "doc_id")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     # Sets of s and r elements need an overlap of at least p (s + r) / (100 + p). Before a common
     # shingle only shared ones can match, from it on no more than either set has left.
@@ -208,6 +193,16 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
         F.col("x.n_shingles") - F.col("x.skipped") - F.col("x.i"),
         F.col("y.n_shingles") - F.col("y.skipped") - F.col("y.i"),
     )
+    # A pair comes from the first prefix shingle it has in common. One of its prefixes matches
+    # inside the other only; what follows that prefix is the most that can be added.
+    earlier = F.arrays_overlap(
+        F.slice("x.prefix", F.lit(1), F.col("x.i")), F.slice("y.prefix", F.lit(1), F.col("y.i"))
+    )
+    later = F.greatest(
+        F.floor((F.col("x.n_shingles") * percent + 99) / 100),
+        F.floor((F.col("y.n_shingles") * percent + 99) / 100),
+    ) - 1
+    whole = F.size(F.array_intersect("x.prefix", "y.prefix")) + later
     across = (
         x.join(
             y,
@@ -216,7 +211,9 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
             & (F.col("x.component") != F.col("y.component"))
             & (F.col("x.n_shingles") * 100 >= F.col("y.n_shingles") * percent)
             & (F.col("y.n_shingles") * 100 >= F.col("x.n_shingles") * percent)
-            & (most * (100 + percent) >= sizes * percent),
+            & (most * (100 + percent) >= sizes * percent)
+            & ~F.coalesce(earlier, F.lit(False))
+            & (whole * (100 + percent) >= sizes * percent),
         )
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         .distinct()
@@ -233,6 +230,20 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     )
 
 
+def _open(posting: DataFrame, joined: DataFrame) -> DataFrame:
+    """Postings, with components, of the shingles whose documents are in more than one."""
+    placed = posting.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        *posting.columns, F.coalesce("component", "doc_id").alias("component")
+    )
+    split = (
+        placed.groupBy("token")
+        .agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        .where("x < y")
+        .select("token")
+    )
+    return stage(placed.join(split, "token"), "open")
+
+
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return link_components(docs)
