@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from entityframe.llm.compact_windows import op6_compact_windows
 from entityframe.llm.decontaminate import op4_decontamination
 from entityframe.llm.jaccard_join import op7_jaccard_join
 from entityframe.llm.lattice_dedup import op10_lattice_dedup
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op6_compact_windows": op6_compact_windows,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
     "op9_pii": op9_pii,
