@@ -37,7 +37,6 @@ from entityframe.llm.text import (
     chunks,
     mix,
     powers,
-    range_hashes,
     sliding_min,
 )
 
@@ -52,11 +51,20 @@ FRAGMENTS = """bucket int, block int, sizes binary, bytes binary, smallest binar
 REPLY = "block int, fragments binary, documents binary, lengths binary"
 
 
-def _gram_hashes(buf: np.ndarray, n: int) -> np.ndarray:
-    power, inverse = powers(len(buf) + 1)
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[buf] * power[: len(buf)], out=sums[1:])
-    return mix((sums[n:] - sums[:-n]) * inverse[: len(buf) - n + 1])
+class _Hashes:
+    """Hashes of any byte ranges of one part."""
+
+    def __init__(self, buf: np.ndarray):
+        power, self.inverse = powers(len(buf) + 1)
+        self.sums = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(BYTE_VALUES[buf] * power[: len(buf)], out=self.sums[1:])
+
+    def grams(self, n: int) -> np.ndarray:
+        return mix((self.sums[n:] - self.sums[:-n]) * self.inverse[: len(self.sums) - n])
+
+    def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        raw = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
+        return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def _parts(buf: np.ndarray, off: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -75,12 +83,17 @@ def _parts(buf: np.ndarray, off: np.ndarray, length: int) -> Iterator[tuple[int,
 
 
 def fragments(buf: np.ndarray, off: np.ndarray, length: int = MIN_BYTES, gram: int = GRAM):
-    """(starts, ends, keys) of the runs of windows with one key; bytes ``start:end`` hold the run."""
-    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    """(starts, ends, keys, names) of the runs of windows with one key.
+
+    Bytes ``start:end`` hold the run; the name is a hash of them.
+    """
+    none = np.zeros(0, np.int64)
+    out = [(none, none, none.view(np.uint64), none.view(np.uint64))]
     for base, part, ends in _parts(buf, off, length):
         if len(part) < length:
             continue
-        key = sliding_min(_gram_hashes(part, gram), length - gram + 1)
+        hashes = _Hashes(part)
+        key = sliding_min(hashes.grams(gram), length - gram + 1)
         key = np.maximum(key, np.uint64(1))
         stop = np.repeat(ends[1:], np.diff(ends))[: len(key)]
         key[np.arange(len(key)) + length > stop] = 0  # windows end inside their text
@@ -91,7 +104,8 @@ def fragments(buf: np.ndarray, off: np.ndarray, length: int = MIN_BYTES, gram: i
         till = np.append(at[1:], len(key))
         real = key[at] > 0
         at, till = at[real], till[real]
-        out.append((base + at, base + till + length - 1, key[at]))
+        till = till + length - 1
+        out.append((base + at, base + till, key[at], hashes.ranges(at, till)))
     return tuple(np.concatenate(column) for column in zip(*out))
 
 
@@ -206,7 +220,7 @@ def find_repeats(
 
     def send_keys(table: pa.Table) -> pa.Table:
         buf, off = byte_view(table.column("text"))
-        starts, _, keys = fragments(buf, off, length)
+        starts, _, keys, _ = fragments(buf, off, length)
         # Rows of one id are one document.
         owner = table.column("doc").to_numpy()[_document_of(starts, off)]
         keys = shared.cut(keys, deal)
@@ -222,13 +236,11 @@ def find_repeats(
         held = shared.Held(answer)
         out: dict[str, list] = {name: [] for name in ("bucket", "sizes", "bytes", "smallest", "largest")}
         if len(held.keys) and len(buf):
-            starts, ends, keys = fragments(buf, off, length)
+            starts, ends, keys, names = fragments(buf, off, length)
             many = held.documents(shared.cut(keys, deal)) > 1
-            starts, ends, keys = starts[many], ends[many], keys[many]
+            starts, ends, keys, names = starts[many], ends[many], keys[many], names[many]
             owner = table.column("doc").to_numpy()[_document_of(starts, off)]
-            name, first, which = np.unique(
-                _fragment_hashes(buf, starts, ends), return_index=True, return_inverse=True
-            )
+            name, first, which = np.unique(names, return_index=True, return_inverse=True)
             smallest = np.full(len(name), LAST, np.int64)
             largest = np.zeros(len(name), np.int64) + np.iinfo(np.int64).min
             np.minimum.at(smallest, which, owner)
@@ -259,7 +271,8 @@ def find_repeats(
         smallest = np.concatenate(_blobs(table, "smallest", np.int64))
         largest = np.concatenate(_blobs(table, "largest", np.int64))
         ends = np.cumsum(size)
-        hashes = _fragment_hashes(data, ends - size, ends)
+        parts = zip(_blobs(table, "bytes", np.uint8), sizes)
+        hashes = np.concatenate([_names(part, own) for part, own in parts])
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         least = np.full(len(first), LAST, np.int64)
         np.minimum.at(least, which, smallest)
@@ -299,8 +312,7 @@ def find_repeats(
                 np.concatenate(_blobs(reply, "documents", np.int64)),
                 np.concatenate(_blobs(reply, "lengths", np.uint32)),
             )
-            starts, ends, _ = fragments(buf, off, length)
-            hashes = _fragment_hashes(buf, starts, ends)
+            starts, ends, _, hashes = fragments(buf, off, length)
             order = np.argsort(hashes, kind="stable")
             # A fragment's windows are as many as its bytes tell; any of its copies says how many.
             at = order[np.searchsorted(hashes[order], names)]
@@ -345,8 +357,9 @@ def find_repeats(
     return judged.select(doc.alias(id_col), "n_bytes", "removed", "kept")
 
 
-def _fragment_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return range_hashes(BYTE_VALUES[buf], starts, ends)
+def _names(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(sizes.astype(np.int64))
+    return _Hashes(data).ranges(ends - sizes, ends)
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -51,7 +51,10 @@ def byte_table(words: str) -> np.ndarray:
     return np.where(ok, lower + 1, 0).astype(np.uint16)
 
 
-@lru_cache(maxsize=4)
+_largest = CHUNK_BYTES * 2
+
+
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(_BASE, -1, 1 << 64)
     out = []
@@ -64,7 +67,9 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``size`` of each."""
-    return _powers(1 << max(20, int(size).bit_length()))
+    global _largest
+    _largest = max(_largest, 1 << int(size - 1).bit_length())
+    return _powers(_largest)
 
 
 BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 512, dtype=np.int64).astype(U64)
