@@ -1,0 +1,46 @@
+import random
+import re
+
+import pytest
+
+from entityframe.llm.decontaminate import find_contamination
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(text, items):
+    w, hit, names = words(text), set(), set()
+    for name, item in items:
+        x = words(item)
+        n = min(13, len(x))
+        windows = {tuple(x[k : k + n]) for k in range(len(x) - n + 1)} if n else set()
+        for k in range(len(w) - n + 1) if n else ():
+            if tuple(w[k : k + n]) in windows:
+                hit |= set(range(k, k + n))
+                names.add(str(name))
+    return len(w), len(hit), sorted(names), bool(hit) and 20 * len(hit) >= len(w)
+
+
+@pytest.mark.parametrize("local_bytes", [1 << 20, 0])
+def test_equals_brute_force_in_memory_and_by_join(spark, docs_of, local_bytes):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(40)] + ["É", "x9"]
+    item = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    items = [(i, item(rng.choice([1, 2, 4, 12, 13, 14, 30]))) for i in range(25)] + [(90, None), (91, "!?"), (92, "")]
+    items.append((93, items[3][1]))
+    docs = [(i, item(rng.randint(0, 60)) + ", " + rng.choice(items[:25])[1].upper() + "." if rng.random() < 0.8 else item(9))
+            for i, _ in enumerate(range(120)) if True]
+    docs += [(200, None), (201, ""), (202, items[0][1]), (202, items[0][1]), (203, "tail " * 3000 + items[5][1])]
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    got = find_contamination(docs_of(docs), bench, max_local_bytes=local_bytes).collect()
+    want = sorted((i, *brute(t, items)) for i, t in docs)
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.item_ids, r.contaminated) for r in got) == want
+
+
+def test_empty_tables(spark, docs_of):
+    bench = spark.createDataFrame([], "item_id int, text string")
+    rows = find_contamination(docs_of([(1, "a b c")]), bench).collect()
+    assert [(r.n_words, r.n_hit, r.item_ids, r.contaminated) for r in rows] == [(3, 0, [], False)]
+    assert find_contamination(docs_of([]), bench).collect() == []

@@ -1,0 +1,79 @@
+import random
+import re
+
+from entityframe.llm.pii import find_pii
+
+# The base forms as they are stated.
+FORMS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 * (v > 9)
+    return total % 10 == 0
+
+
+def valid(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in match.split("."))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return kind != "phone" or 10 <= len(digits) <= 15
+
+
+def brute(text):
+    found = []
+    for order, (kind, form) in enumerate(FORMS.items()):
+        for m in re.finditer(form, text or ""):
+            if valid(kind, m[0]):
+                found.append((m.start(), order, kind, m.end()))
+    return [(kind, a, b) for a, _, kind, b in sorted(found)]
+
+
+def found(docs):
+    return {r.doc_id: [tuple(s) for s in r.pii_spans] for r in find_pii(docs).collect()}
+
+
+def test_base_kinds_equal_the_plain_patterns(docs_of):
+    rng = random.Random(5)
+    pieces = ["a.b@c.d", "_e@f.g", "@", ".", "1.2.3.4", "256.1.1.1", "001.2.3", "4111 1111 1111 1111",
+              "4111-1111-1111-1112", "+1 (650) 555-0100", "+49", "-", " ", "9", "00", "é", "x", "\n", "%"]
+    rows = [(i, "".join(rng.choices(pieces, k=rng.randint(0, 12)))) for i in range(1500)]
+    got = found(docs_of(rows))
+    for i, text in rows:
+        assert [s for s in got[i] if s[0] in FORMS] == brute(text), text
+
+
+def test_more_kinds_need_their_checksum_or_context(docs_of):
+    rows = [
+        (1, "IBAN DE89 3704 0044 0532 0130 00 here"),
+        (2, "IBAN DE88 3704 0044 0532 0130 00 here"),
+        (3, "my SSN is 123-45-6789."),
+        (4, "part 123-45-6789."),
+        (5, "call (030) 1234 5678 now"),
+        (6, "section (030) 1234 5678 now"),
+    ]
+    kinds = {i: [s[0] for s in spans] for i, spans in found(docs_of(rows)).items()}
+    assert kinds[1] == ["iban"] and kinds[3] == ["ssn"] and kinds[5] == ["national_phone"]
+    assert "iban" not in kinds[2] and "ssn" not in kinds[4] and "national_phone" not in kinds[6]
+
+
+def test_nulls_long_runs_and_empty_tables(docs_of):
+    long_run = [(1, None), (2, ""), (3, "1" * 100_000), (4, "a" * 100_000 + "@"), (5, "1 " * 50_000), (6, "é@" * 30_000)]
+    got = found(docs_of(long_run))
+    assert got[1] == got[2] == []
+    assert all(got[i] == brute(t) for i, t in long_run if i in (1, 2))
+    assert found(docs_of([])) == {}
+
+
+def test_no_python_in_the_plan(docs_of):
+    plan = find_pii(docs_of([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
