@@ -127,10 +127,10 @@ def array_profile(df: DataFrame) -> DataFrame:
 
 
 def first_rows(df: DataFrame, order_by, count: int = 1) -> DataFrame:
-    """The first ``count`` rows in key order: a top-k, never a full sort."""
+    """The first ``count`` rows in key order, rows without a key last: a top-k, never a full sort."""
     if not order_by:
         raise OptionError("orderBy is required to say which row is first")
-    return df.orderBy(*map(column, order_by)).limit(count)
+    return df.orderBy(*(column(name).asc_nulls_last() for name in order_by)).limit(count)
 
 
 def measure_sizes(df: DataFrame) -> dict[FieldPath, int]:

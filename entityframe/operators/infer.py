@@ -64,7 +64,9 @@ def variant_type(text: str, on_conflict: str = "fail", decimals: bool = False) -
             take(",")
             scale = int(take())
             take(")")
-            return T.DecimalType(precision, scale) if decimals else T.DoubleType()
+            # A double holds fifteen digits; longer numbers and whole ones stay exact.
+            exact = decimals or scale == 0 or precision > 15
+            return T.DecimalType(precision, scale) if exact else T.DoubleType()
         if word == "VARIANT":
             if on_conflict == "string":
                 return T.StringType()
@@ -107,6 +109,8 @@ def infer_schema(
         df = first_rows(df, order_by, int(sample_rows))
     found = df.select(F.schema_of_variant_agg(F.parse_json(column(text)))).first()[0]
     schema = variant_type(found, on_conflict, decimals)
+    if not case_sensitive(df):
+        check_case(schema)
     if isinstance(schema, T.NullType):
         raise SchemaConflict("no rows to infer a schema from; give an explicit schema")
     if not isinstance(schema, T.StructType):
@@ -114,6 +118,26 @@ def infer_schema(
     return schema
 
 
+def case_sensitive(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+
+
+def check_case(dtype: T.DataType, path: str = "") -> None:
+    """Fails on fields whose names differ by case only: Spark would read one and leave the other null."""
+    if isinstance(dtype, T.ArrayType):
+        check_case(dtype.elementType, f"{path}[]")
+    elif isinstance(dtype, T.StructType):
+        seen: dict[str, str] = {}
+        for f in dtype.fields:
+            other = seen.setdefault(f.name.lower(), f.name)
+            if other != f.name:
+                raise SchemaConflict(
+                    f"{path or 'record'} has both {other} and {f.name}; "
+                    "set spark.sql.caseSensitive to keep them apart"
+                )
+            check_case(f.dataType, f"{path}.{f.name}" if path else f.name)
+
+
 def readable_type(dtype: T.DataType) -> T.DataType:
     """A type rows can be read as: what was never seen with a value is read as text."""
     if isinstance(dtype, T.StructType) and dtype.fields:
@@ -191,6 +215,8 @@ def union_entities(*frames: DataFrame) -> DataFrame:
     merged = frames[0].schema
     for frame in frames[1:]:
         merged = merge_schemas(merged, frame.schema)
+    if not case_sensitive(frames[0]):
+        check_case(merged)
     result = frames[0].to(merged)
     for frame in frames[1:]:
         result = result.unionByName(frame.to(merged))

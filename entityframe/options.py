@@ -114,6 +114,8 @@ class ScanOptions:
     max_flat_columns: int = MAX_FLAT_COLUMNS
     file_format: str = "parquet"
     sample_rows: int | str = "all"
+    on_conflict: str = "fail"
+    json_pages: bool = False
     ignored: tuple[str, ...] = field(default=(), compare=False)
 
     @property
@@ -142,6 +144,7 @@ class ScanOptions:
             ("expandStructs", "expand_structs"),
             ("expandArrays", "expand_arrays"),
             ("keepNested", "keep_nested"),
+            ("jsonPages", "json_pages"),
         ):
             read(name, target, lambda value, name=name: parse_bool(name, value))
         for name, target in (
@@ -159,6 +162,7 @@ class ScanOptions:
             lambda value: "all" if str(value).lower() == "all" else parse_count("sampleRows", value),
         )
         read("fileFormat", "file_format", lambda value: str(value).lower())
+        read("onConflict", "on_conflict", lambda value: str(value).lower())
         if "decimaltype" in given:
             values["decimal_type"] = parse_decimal(given.pop("decimaltype"))
             values["decimal_forced"] = True
@@ -173,6 +177,8 @@ class ScanOptions:
             raise OptionError(f"dates must be epoch_millis or native, not {values['dates']!r}")
         if values.get("file_format", "parquet") not in ("parquet", "json"):
             raise OptionError(f"fileFormat must be parquet or json, not {values['file_format']!r}")
+        if values.get("on_conflict", "fail") not in ("fail", "string"):
+            raise OptionError(f"onConflict must be fail or string, not {values['on_conflict']!r}")
         # Sign-in options are accepted and unused: landed pages need no token.
         sign_in = {
             "accesstoken",

@@ -68,6 +68,12 @@ def array_sizes(options: ScanOptions, manifest: dict) -> dict:
     """Stated sizes, or the widths counted when the pages were landed."""
     if isinstance(options.array_sizes, dict):
         return options.array_sizes
+    if options.array_sizes == "first" and options.order_by:
+        if ",".join(options.order_by) != manifest["order_by"]:
+            raise OptionError(
+                "the format knows the widths of the first record by the landing order only; "
+                "EntityReader looks up the first by another key"
+            )
     return sizes_from_manifest(manifest[f"{options.array_sizes}_sizes"])
 
 

@@ -33,14 +33,15 @@ BATCHES_PER_FILE = 16
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared one (``spark.checkpoint.dir``).
 
-    Only a local session, where every task runs on this machine, falls back to
-    a temporary folder.
+    Only a local session, where every task runs on this machine, is given a
+    temporary folder of its own, once, if it has none.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise OptionError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="entityframe-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/entityframe/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -123,22 +124,30 @@ def write_landing(
         writer = rows.write.partitionBy("env", "company_id").option(
             "partitionOverwriteMode", "dynamic"
         )
-        target, written = base, f"{base}/env={env}"
+        target = base
+        # As many names as the write makes directories; other companies are left alone.
+        named = [row[0] for row in records_of.select("company_id").distinct().collect()]
+        written = [tenant_path(root, entity, env, name) for name in named]
     else:
         # Numbering leaves each task's rows in page order, and there is one directory to write.
         paged = assign_pages(records, order_by, page_size, batch_size)
         writer = paged.select(*map(column, records.columns), *PAGE_COLUMNS).write
-        target = written = tenant_path(root, entity, env, company_id)
+        target = tenant_path(root, entity, env, company_id)
+        written = [target]
     writer.mode("overwrite").option(
         "maxRecordsPerFile", page_size * batch_size * batches_per_file
     ).parquet(target)
+    by_company = isinstance(company_id, Column)
+    if not written:
+        return
     landed = (
         records.sparkSession.read.schema(landed_schema(records.schema))
         .option("basePath", base)
-        .parquet(written)
+        .parquet(*written)
+    )
+    totals = _totals(
+        landed.groupBy("company_id") if by_company else landed, records.schema, page_size
     )
-    by_company = isinstance(company_id, Column)
-    totals = _totals(landed.groupBy("company_id") if by_company else landed, records.schema)
     if not by_company:  # one row even for an entity without records
         totals = totals.withColumn("company_id", F.lit(company_id))
     manifest = totals.select(
@@ -157,12 +166,21 @@ def write_landing(
     )
 
 
-def _totals(landed, schema: T.StructType) -> DataFrame:
-    """Record count and array widths, from one pass over the arrays alone."""
+def _totals(landed, schema: T.StructType, page_size: int) -> DataFrame:
+    """Record count and array widths, from one pass over the arrays alone.
+
+    Fails unless the positions are 1 to the count: numbering reads its input
+    several times, so one that changes meanwhile leaves gaps or repeats.
+    """
     first = (F.col("page_no") == 0) & (F.col("pos_in_page") == 0)
     sizes = largest_sizes(schema)
+    position = F.col("page_no") * page_size + F.col("pos_in_page") + 1
+    n = F.count(F.lit(1))
+    total = F.sum(position.cast("decimal(38,0)"))
+    wrong = (n > 0) & ((F.max(position) != n) | (total * 2 != n.cast("decimal(18,0)") * (n + 1).cast("decimal(18,0)")))
+    message = F.lit("positions are not 1 to the number of records; land a frame that reads the same each time")
     counted = landed.agg(
-        F.count(F.lit(1)).alias("records"),
+        F.when(wrong, F.raise_error(message).cast("bigint")).otherwise(n).alias("records"),
         *(F.max(size).alias(f"max{i}") for i, (_, size) in enumerate(sizes)),
         *(F.max(F.when(first, size)).alias(f"first{i}") for i, (_, size) in enumerate(sizes)),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entityframe.functions.numbering import column
 from entityframe.functions.paths import array_paths
 from entityframe.operators.flatten import flatten
 from entityframe.operators.infer import infer_schema, parse_records
@@ -29,7 +30,9 @@ class EntityReader:
     """Builds one load the way ``spark.read`` does.
 
     Pages are Parquet written by ``write_landing`` or, with ``fileFormat`` set
-    to ``json``, files of one JSON record per line as an API exporter leaves them.
+    to ``json``, files of one JSON record per line as an API exporter leaves
+    them. With ``jsonPages`` a line is one answer of the API: a page of records
+    with its place among all of them.
 
     >>> EntityReader(spark).option("path", root).option("companyId", "001") \\
     ...     .option("entity", "invoice").option("expandArrays", True).load()
@@ -38,6 +41,7 @@ class EntityReader:
     def __init__(self, spark: SparkSession):
         self._spark = spark
         self._options: dict[str, object] = {}
+        self._inferred: dict[ScanOptions, T.StructType] = {}
 
     def option(self, name: str, value) -> "EntityReader":
         self._options[name.lower()] = value
@@ -65,17 +69,25 @@ class EntityReader:
 
     def record_schema(self) -> T.StructType:
         """The stated schema, else the landed one, else (JSON) the one all records have together."""
-        if self.scan_options.schema is not None:
-            return self.scan_options.schema
-        if self.scan_options.file_format == "json":
-            return self._infer_json()
+        options = self.scan_options
+        if options.schema is not None:
+            return options.schema
+        if options.file_format == "json":
+            source = replace(options, array_sizes="max")  # plays no part, and a mapping has no hash
+            if source not in self._inferred:
+                self._inferred[source] = self._infer_json()
+            return self._inferred[source]
         return T.StructType.fromJson(json.loads(self._manifest()["schema"]))
 
     def _infer_json(self) -> T.StructType:
         options, lines = self.scan_options, self._json_lines()
-        decimals = options.decimal_forced  # a stated decimalType keeps fractions exact
+        how = {
+            "decimals": options.decimal_forced,  # a stated decimalType keeps fractions exact
+            "on_conflict": options.on_conflict,
+        }
         if options.sample_rows == "all":
-            return infer_schema(lines, "value", decimals=decimals)
+            return infer_schema(lines, "value", **how)
+        lines = lines.where(F.trim("value") != "null")
         # Number keys sort as numbers, any other as text.
         record = F.parse_json("value")
         keys = {
@@ -84,7 +96,7 @@ class EntityReader:
             for kind, dtype in (("n", "decimal(38,10)"), ("t", "string"))
         }
         return infer_schema(
-            lines.withColumns(keys), "value", options.sample_rows, list(keys), decimals=decimals
+            lines.withColumns(keys), "value", options.sample_rows, list(keys), **how
         )
 
     def _manifest(self):
@@ -104,11 +116,14 @@ class EntityReader:
         )
 
     def _json_lines(self) -> DataFrame:
+        """``value``: one record per row. Of pages, also what the page says about it."""
         try:
             lines = self._spark.read.text(tenant_path(*self._tenant()))
-            return lines.where(F.trim("value") != "")
         except AnalysisException as error:
             raise self._nothing_landed() from error
+        lines = lines.where(F.trim("value") != "")
+        options = self.scan_options
+        return paging.envelope_records(lines, options.page_size) if options.json_pages else lines
 
     def pages(self) -> DataFrame:
         """Landed records as they are, with ``page_no`` and ``pos_in_page`` where they were paged.
@@ -116,9 +131,33 @@ class EntityReader:
         Only the company's own directory is listed; ``env`` and ``company_id``
         are dropped, as they are constants of the load.
         """
+        try:
+            return self._landed_pages()
+        except (AnalysisException, OptionError):
+            if self.scan_options.schema is None or self._anything_landed():
+                raise
+            # A stated schema is enough to read an entity that has never been landed.
+            return self._spark.createDataFrame([], self._page_schema())
+
+    def _page_schema(self) -> T.StructType:
+        fields = landed_schema(self.record_schema()).fields
+        paged = self.scan_options.file_format == "parquet" or self.scan_options.json_pages
+        return T.StructType(fields[:-2] if paged else self.record_schema().fields)
+
+    def _anything_landed(self) -> bool:
+        try:
+            self._spark.read.text(tenant_path(*self._tenant()))
+        except AnalysisException:
+            return False
+        return True
+
+    def _landed_pages(self) -> DataFrame:
         root, entity, env, company_id = self._tenant()
         if self.scan_options.file_format == "json":
-            return parse_records(self._json_lines(), "value", self.record_schema())
+            keep = PAGE_COLUMNS if self.scan_options.json_pages else ()
+            records = parse_records(self._json_lines(), "value", self.record_schema(), keep)
+            own = [name for name in records.columns if name not in keep]
+            return records.select(*map(column, own), *keep)
         return (
             self._spark.read.schema(landed_schema(self.record_schema()))
             .option("basePath", f"{root.rstrip('/')}/{entity}")
@@ -134,19 +173,27 @@ class EntityReader:
         """Widths were counted when the pages were landed, so no load has to count them again."""
         options = self.scan_options
         policy = options.array_sizes
-        if not (options.expand_structs and options.expand_arrays and isinstance(policy, str)):
+        if not (options.expand_structs and isinstance(policy, str)):
             return options
         paths = array_paths(records.schema)
         if options.file_format != "parquet" or not paths:
             return options
-        manifest = self._manifest()
+        try:
+            manifest = self._manifest()
+        except OptionError:
+            if options.schema is None:
+                raise
+            return options if self._anything_landed() else replace(options, array_sizes={p: 0 for p in paths})
         if policy == "first" and options.order_by and ",".join(options.order_by) != manifest["order_by"]:
             return options
+        # Without expandArrays the widths still tell which arrays never have an element.
         landed = sizes_from_manifest(manifest[f"{policy}_sizes"])
         return replace(options, array_sizes={path: landed.get(path, 0) for path in paths})
 
     def envelope(self) -> DataFrame:
         """``start_position``, ``max_results`` and ``total_count`` of a full read."""
+        if self.scan_options.json_pages:
+            return paging.stated_envelope(self._json_lines())
         return paging.scan_envelope(self.pages())
 
     def page_manifest(self) -> DataFrame:
