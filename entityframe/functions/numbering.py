@@ -195,7 +195,8 @@ def number_rows(
 
     if cuts.points:
         position = position + _rows_before(bucketed, bucket, cuts, size)
-    return bucketed.withColumn(into, position).drop(bucket_name)
+    # Ranges of buckets, not hashes of them: even tasks, and each one a stretch of the order.
+    return bucketed.repartitionByRange(bucket).withColumn(into, position).drop(bucket_name)
 
 
 def _rows_before(bucketed: DataFrame, bucket: Column, cuts: Cuts, size: Column) -> Column:

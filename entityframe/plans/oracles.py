@@ -8,7 +8,7 @@ ranked as (
     l_suppkey, l_extendedprice, l_quantity) - 1 as rn
   from lineitem),
 lines as (
-  select l_orderkey, rn // 100 as part_no, count(*) as n,
+  select l_orderkey, rn // 10000 as part_no, count(*) as n,
     list({'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey,
           'l_extendedprice': l_extendedprice, 'l_quantity': l_quantity} order by rn) as line
   from ranked group by all)"""
@@ -133,7 +133,7 @@ ORACLES: dict[str, str] = {
         per_order as (select o_custkey, row_number() over (partition by o_custkey
             order by o_orderkey, coalesce(part_no, 0)) - 1 as rn, n
           from orders left join lines on o_orderkey = l_orderkey),
-        sized as (select o_custkey, rn // 100 as part, count(*) as n, max(n) as lines
+        sized as (select o_custkey, rn // 10000 as part, count(*) as n, max(n) as lines
           from per_order group by all)
         select 'order' as path, cast(max(n) as integer) as max_size from sized
         union all select 'order.line', cast(coalesce(max(lines), 0) as integer) from sized""",
@@ -154,10 +154,10 @@ ORACLES: dict[str, str] = {
         joined as (select o_custkey, o_orderkey, line, row_number() over (partition by o_custkey
             order by o_orderkey, coalesce(part_no, 0)) - 1 as rn
           from orders left join lines on o_orderkey = l_orderkey),
-        acc as (select o_custkey as c_custkey, rn // 100 as part_no,
+        acc as (select o_custkey as c_custkey, rn // 10000 as part_no,
             list({{'o_orderkey': o_orderkey, 'line': line}} order by rn) as o
           from joined group by all)
-        select c_custkey, part_no, """
+        select c.c_custkey, coalesce(part_no, 0) as part_no, """
     + ", ".join(
         [f"o[{i + 1}].o_orderkey as order_{i}_o_orderkey" for i in range(2)]
         + [
@@ -166,7 +166,7 @@ ORACLES: dict[str, str] = {
             for j in range(2)
         ]
     )
-    + " from acc",
+    + " from customer c left join acc on c.c_custkey = acc.c_custkey",
     "flatten_no_arrays": _INVOICES
     + f"""select o_orderkey, part_no, o_orderstatus, o_totalprice, o_orderdate, {_REF} from inv""",
     "flatten_empty_array": _INVOICES
@@ -194,7 +194,7 @@ ORACLES: dict[str, str] = {
     "coerce_nested": """with shipped as (
         select l_orderkey, l_shipdate, l_partkey, row_number() over (partition by l_orderkey
             order by l_shipdate, l_partkey) - 1 as rn from lineitem),
-        parts as (select l_orderkey, rn // 100 as part_no, count(*) as n,
+        parts as (select l_orderkey, rn // 10000 as part_no, count(*) as n,
             list({'at': epoch_us(l_shipdate) // 1000, 'part': l_partkey} order by rn) as shipment
           from shipped group by all)
         select o_orderkey, coalesce(part_no, 0) as part_no,

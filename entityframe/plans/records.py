@@ -14,9 +14,9 @@ from entityframe.functions.numbering import column, fresh_name, number_rows, who
 from entityframe.sources.landing import stage
 
 LINE_FIELDS = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-LINES_PER_PART = 100
-ORDERS_PER_PART = 100
-MAX_LARGE_KEYS = 10_000
+# Only a group above this is not one record; widths and indexes count within a part.
+LINES_PER_PART = 10_000
+ORDERS_PER_PART = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,15 +28,10 @@ def group_sizes(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(column(key)).agg(F.count(F.lit(1)).alias("members"))
 
 
-def large_keys(sizes: DataFrame, key: str, part_size: int) -> list | None:
-    """Keys with more members than one part holds; None if too many to name in a filter."""
-    large = sizes.where(F.col("members") > part_size)
-    found = large.count()
-    if found == 0:
-        return []
-    if found > MAX_LARGE_KEYS:
-        return None
-    return [row[0] for row in large.select(column(key)).collect()]
+def large_groups(sizes: DataFrame, key: str, part_size: int) -> DataFrame | None:
+    """``key`` and ``members`` of groups that do not fit into one part; None if all do."""
+    large = stage(sizes.where(F.col("members") > part_size), "large")
+    return None if large.isEmpty() else large
 
 
 def nest(
@@ -46,45 +41,37 @@ def nest(
     into: str,
     part_size: int,
     *,
-    large: list | None,
+    large: DataFrame | None,
     unique_by: list[str] | None = None,
     derived: bool = False,
 ) -> DataFrame:
     """``key``, ``part_no`` and an array of structs of ``fields``, sorted by ``unique_by``.
 
-    ``large`` is the answer of ``large_keys``. Groups outside it are known to
+    ``large`` is the answer of ``large_groups``. Groups outside it are known to
     fit into one part and are collected in one shuffle. The others are cut by
     exact position, however large they are. Without ``unique_by`` members are
     sorted by all fields and may have exact copies. ``derived`` rows (the
     result of joins) are staged if they have to be read more than once.
     """
-    if large is not None and not large:
+    if large is None:
         return _nest_whole(rows, key, fields, into, unique_by)
     if derived:
         rows = stage(rows, f"nest-{into}")
-    if large is None:
-        return _nest_parts(rows, key, fields, into, part_size, unique_by)
-    is_large = _is_one_of(column(key), large)
-    whole = _nest_whole(rows.where(~is_large), key, fields, into, unique_by)
+    named = large.select(column(key).alias("_large_key"))
+    same = column(key).eqNullSafe(F.col("_large_key"))
+    whole = _nest_whole(rows.join(named, same, "left_anti"), key, fields, into, unique_by)
     return whole.unionByName(
-        _nest_parts(rows.where(is_large), key, fields, into, part_size, unique_by)
+        _nest_parts(rows.join(named, same, "left_semi"), key, fields, into, part_size, unique_by)
     )
 
 
-def _is_one_of(col: Column, values: list) -> Column:
-    named = [value for value in values if value is not None]
-    found = F.coalesce(col.isin(named), F.lit(False)) if named else F.lit(False)
-    return found | col.isNull() if None in values else found
-
-
 def join_parts(
     headers: DataFrame,
     key: str,
     parts: DataFrame,
     parts_key: str,
     part_size: int,
-    large: list | None,
-    sizes: DataFrame,
+    large: DataFrame | None,
 ) -> DataFrame:
     """Every header with each part of its group, or with nulls if it has none.
 
@@ -93,16 +80,13 @@ def join_parts(
     of an outer join is never split at run time; so its parts are spread over
     salts, and its header, one row, is repeated for each.
     """
-    if large is not None and not large:
+    if large is None:
         return headers.join(parts.hint("merge"), column(key) == column(parts_key), "left")
     most = int(headers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if large is not None:
-        salts = F.when(_is_one_of(column(key), large), most).otherwise(1)
-    else:
-        counts = sizes.select(column(parts_key).alias("_key"), F.col("members").alias("_members"))
-        headers = headers.join(counts, column(key) == F.col("_key"), "left").drop("_key")
-        needed = whole_div(F.col("_members") + part_size - 1, part_size)
-        salts = F.least(F.lit(most), F.coalesce(needed, F.lit(1))).cast("int")
+    counts = large.select(column(parts_key).alias("_key"), F.col("members").alias("_members"))
+    headers = headers.join(counts, column(key) == F.col("_key"), "left").drop("_key")
+    needed = whole_div(F.col("_members") + part_size - 1, part_size)
+    salts = F.least(F.lit(most), F.coalesce(needed, F.lit(1))).cast("int")
     salted = headers.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_members")
     spread = parts.withColumn("_part_salt", F.pmod("part_no", F.lit(most)).cast("int"))
     on = (column(key) == column(parts_key)) & (F.col("_salt") == F.col("_part_salt"))
@@ -193,12 +177,12 @@ def with_lines(
     fields: list[str],
     into: str,
     part_size: int,
-) -> tuple[DataFrame, list | None]:
+) -> tuple[DataFrame, DataFrame | None]:
     """Headers keyed ``o_orderkey`` with their ``rows`` (keyed ``l_orderkey``) nested; large orders."""
     sizes = group_sizes(rows, "l_orderkey")
-    large = large_keys(sizes, "l_orderkey", part_size)
+    large = large_groups(sizes, "l_orderkey", part_size)
     parts = nest(rows, "l_orderkey", fields, into, part_size, large=large)
-    joined = join_parts(headers, "o_orderkey", parts, "l_orderkey", part_size, large, sizes)
+    joined = join_parts(headers, "o_orderkey", parts, "l_orderkey", part_size, large)
     part_no = F.coalesce("part_no", F.lit(0)).alias("part_no")
     return joined.select(*map(column, headers.columns), part_no, column(into)), large
 
@@ -251,7 +235,10 @@ def accounts(
     part_size: int = ORDERS_PER_PART,
     line_part_size: int = LINES_PER_PART,
 ) -> DataFrame:
-    """One record per customer (part) with orders: ``order`` elements that hold ``line`` arrays."""
+    """One record per customer (part): ``order`` elements that hold ``line`` arrays.
+
+    ``order`` is null for a customer without orders.
+    """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("c_custkey")
     )
@@ -259,7 +246,7 @@ def accounts(
     nested, long_orders = with_lines(orders, rows, LINE_FIELDS, "line", line_part_size)
     joined = nested.withColumnRenamed("part_no", "line_part")
     sizes = group_sizes(orders, "c_custkey")
-    if long_orders != []:  # an order counts once for each of its parts
+    if long_orders is not None:  # an order counts once for each of its parts
         counts = group_sizes(rows, "l_orderkey")
         parts = F.greatest(F.lit(1), F.ceil(F.coalesce("members", F.lit(0)) / line_part_size))
         sizes = (
@@ -267,13 +254,19 @@ def accounts(
             .groupBy("c_custkey")
             .agg(F.sum(parts).alias("members"))
         )
-    return nest(
+    large = large_groups(sizes, "c_custkey", part_size)
+    parts = nest(
         joined,
         "c_custkey",
         ["o_orderkey", "line_part", "line"],
         "order",
         part_size,
         unique_by=["o_orderkey", "line_part"],
-        large=large_keys(sizes, "c_custkey", part_size),
+        large=large,
         derived=True,
-    )
+    ).withColumnRenamed("c_custkey", "_owner")
+    if large is not None:
+        large = large.withColumnRenamed("c_custkey", "_owner")
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    joined = join_parts(customers, "c_custkey", parts, "_owner", part_size, large)
+    return joined.select("c_custkey", F.coalesce("part_no", F.lit(0)).alias("part_no"), "order")

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from entityframe.operators.flatten import array_profile, flatten
 from entityframe.plans import records
 
 FIELDS = ["a", "b"]
@@ -27,17 +28,16 @@ def expected_parts(rows, part_size):
 
 
 def large_of(df, part_size):
-    return records.large_keys(records.group_sizes(df, "k"), "k", part_size)
+    return records.large_groups(records.group_sizes(df, "k"), "k", part_size)
 
 
-@pytest.mark.parametrize("most_named", [0, 3, 10_000])
 @pytest.mark.parametrize("part_size", [1, 7, 64, 5000])
-def test_groups_with_copies_are_cut_into_whole_parts(spark, monkeypatch, part_size, most_named):
-    monkeypatch.setattr(records, "MAX_LARGE_KEYS", most_named)
+def test_groups_with_copies_are_cut_into_whole_parts(spark, part_size):
     rows, df = hot_rows(spark)
     large = large_of(df, part_size)
     if part_size == 64:
-        assert large == ([1] if most_named else None)
+        assert [r.k for r in large.collect()] == [1]
+    assert (large is None) == (part_size == 5000)
     got = records.nest(df, "k", FIELDS, "members", part_size, large=large).collect()
     assert {(r.k, r.part_no): [tuple(m) for m in r.members] for r in got} == expected_parts(
         rows, part_size
@@ -49,7 +49,7 @@ def test_a_large_group_without_a_key(spark):
     rows = [(None if i % 2 else i, i % 4, float(i % 3)) for i in range(60)]
     df = spark.createDataFrame(rows, "k int, a int, b double")
     large = large_of(df, 10)
-    assert large == [None]
+    assert [r.k for r in large.collect()] == [None]
     got = records.nest(df, "k", FIELDS, "members", 10, large=large).collect()
     assert {(r.k, r.part_no): [tuple(m) for m in r.members] for r in got} == expected_parts(rows, 10)
 
@@ -83,10 +83,8 @@ def test_unique_members_keep_array_fields(spark, part_size, derived):
     assert sum(map(len, members.values())) == 300
 
 
-@pytest.mark.parametrize("most_named", [0, 10_000])
 @pytest.mark.parametrize("size", [1, 3, 100])
-def test_parts_rejoin_to_the_same_invoices(spark, data, monkeypatch, size, most_named):
-    monkeypatch.setattr(records, "MAX_LARGE_KEYS", most_named)
+def test_parts_rejoin_to_the_same_invoices(spark, data, monkeypatch, size):
     monkeypatch.setattr(records, "table", hot_table)
     lines = collections.defaultdict(list)
     for r in hot_table(spark, data, "lineitem").select("l_orderkey", *records.LINE_FIELDS).collect():
@@ -115,18 +113,35 @@ def hot_table(spark, sf_dir, name):
     return df
 
 
-@pytest.mark.parametrize("most_named", [0, 10_000])
-def test_accounts_hold_every_order_part_once(spark, data, monkeypatch, most_named):
-    monkeypatch.setattr(records, "MAX_LARGE_KEYS", most_named)
+def test_a_group_of_250_is_one_record_of_250(spark, data, monkeypatch):
+    def wide_table(session, sf_dir, name):
+        df = session.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name == "lineitem":
+            df = df.where("l_orderkey <> 7").limit(500).union(
+                df.where("l_linenumber = 1").limit(250).withColumn("l_orderkey", F.lit(7).cast("bigint")).select(df.columns)
+            )
+        return df
+
+    monkeypatch.setattr(records, "table", wide_table)
+    sizes = {r.path: r.max_size for r in array_profile(records.invoices(spark, data)).collect()}
+    assert sizes == {"line": 250}
+    wide = flatten(records.invoices(spark, data).select("o_orderkey", "line"), expand_arrays=True, max_flat_columns=2000)
+    assert wide.where("o_orderkey = 7 and line_249_l_partkey is not null").count() == 1
+
+
+def test_accounts_hold_every_order_part_once(spark, data, monkeypatch):
     monkeypatch.setattr(records, "table", hot_table)
     inv = records.invoices(spark, data, part_size=5)
     expected = sorted(
         (r.customer_ref.value, r.o_orderkey, r.part_no, len(r.line or [])) for r in inv.collect()
     )
     acc = records.accounts(spark, data, part_size=6, line_part_size=5).collect()
-    assert max(len(r.order) for r in acc) == 6
-    got = [(r.c_custkey, o.o_orderkey, o.line_part, len(o.line or [])) for r in acc for o in r.order]
+    assert max(len(r.order or []) for r in acc) == 6
+    customers = {r[0] for r in hot_table(spark, data, "customer").select("c_custkey").collect()}
+    assert {r.c_custkey for r in acc} == customers
+    assert {r.c_custkey for r in acc if r.order is None} == customers - {c for c, *_ in expected}
+    got = [(r.c_custkey, o.o_orderkey, o.line_part, len(o.line or [])) for r in acc for o in r.order or []]
     assert sorted(got) == expected
     by_part = sorted(acc, key=lambda r: (r.c_custkey, r.part_no))
-    in_order = [(r.c_custkey, o.o_orderkey, o.line_part) for r in by_part for o in r.order]
+    in_order = [(r.c_custkey, o.o_orderkey, o.line_part) for r in by_part for o in r.order or []]
     assert in_order == sorted(in_order)
