@@ -9,6 +9,7 @@ empty object in some rows takes the type it has in the others.
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,7 +108,9 @@ def infer_schema(
         raise ValueError(f"on_conflict must be fail or string, not {on_conflict!r}")
     if sample_rows != "all":
         df = first_rows(df, order_by, int(sample_rows))
-    found = df.select(F.schema_of_variant_agg(F.parse_json(column(text)))).first()[0]
+    merged = df.select(F.schema_of_variant_agg(F.parse_json(column(text))))
+    with _case_sensitive(df):  # else the aggregate itself takes such names for one
+        found = merged.first()[0]
     schema = variant_type(found, on_conflict, decimals)
     if not case_sensitive(df):
         check_case(schema)
@@ -118,6 +121,17 @@ def infer_schema(
     return schema
 
 
+@contextmanager
+def _case_sensitive(df: DataFrame):
+    conf, key = df.sparkSession.conf, "spark.sql.caseSensitive"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        yield
+    finally:
+        conf.set(key, before)
+
+
 def case_sensitive(df: DataFrame) -> bool:
     return df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
 

@@ -66,7 +66,12 @@ def _values(rows: list[tuple[str, str]], names: str) -> str:
 ORACLES: dict[str, str] = {
     "entity_scan": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
         epoch_us(o_orderdate) // 1000 as o_orderdate, o_orderpriority from orders""",
-    "entity_select": "select o_orderkey, o_totalprice from orders",
+    "entity_select": """select 'orders' as entity, o_orderkey as id from orders
+        union all select 'customer', c_custkey from customer""",
+    "landing_two_schemas": "select event_id, value, event_type from events where user_id % 4 = 3",
+    "envelope_pages": _PAGED
+    + """select position, o_orderkey, o_totalprice, (select count(*) from orders) as total_count
+        from p join orders using (o_orderkey)""",
     "tenant_select": "select event_id, value from events where user_id % 4 = 1",
     "entity_count": "select count(*) as n from orders",
     "page_manifest": _ALL_PAGES + "select page_no, start_position, max_results from pages",
@@ -77,7 +82,8 @@ ORACLES: dict[str, str] = {
     + """select page_no // 30 as batch_no, count(*) as pages,
         cast(sum(max_results) as bigint) as row_count from pages group by 1""",
     "page_reassemble": _PAGED + "select position, o_orderkey from p",
-    "sample_scan": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+    "sample_scan": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+        epoch_us(o_orderdate) // 1000 as o_orderdate, o_orderpriority
         from orders order by o_orderkey limit 1""",
     "scan_envelope": """select cast(1 as bigint) as start_position, count(*) as max_results,
         count(*) as total_count from orders""",
@@ -87,7 +93,7 @@ ORACLES: dict[str, str] = {
     + f"""select o_orderkey, part_no, {_REF}, line[1].l_partkey as line_0_l_partkey,
         line[2].l_extendedprice as line_1_l_extendedprice from inv""",
     "json_load_expanded": _INVOICES
-    + """select o_orderkey, part_no, customer_ref_value, customer_ref_name,
+    + """select o_orderkey, part_no, o_orderdate, customer_ref_value, customer_ref_name,
         cast(customer_ref_nation_value as bigint) as customer_ref_nation_value,
         customer_ref_nation_name, line[1].l_partkey as line_0_l_partkey,
         line[2].l_extendedprice as line_1_l_extendedprice from inv""",
@@ -106,6 +112,7 @@ ORACLES: dict[str, str] = {
             ("line[].l_partkey", "bigint"),
             ("line[].l_quantity", "double"),
             ("line[].l_suppkey", "bigint"),
+            ("o_orderdate", "bigint"),
             ("o_orderkey", "bigint"),
             ("o_orderstatus", "string"),
             ("o_totalprice", "double"),
@@ -113,6 +120,11 @@ ORACLES: dict[str, str] = {
         ],
         "path, type",
     ),
+    "infer_numbers": """select o_orderkey as id, '9876543210' || lpad(o_orderkey::varchar, 12, '0') as wide,
+        '1234567' || lpad(o_orderkey::varchar, 10, '0') || '.25' as cents from orders""",
+    "infer_conflict": """select o_orderkey as id,
+        case when o_orderkey % 2 = 0 then o_orderkey::varchar else o_orderpriority end as note
+        from orders""",
     "infer_array_union": _values(
         [
             ("line[].l_partkey", "bigint"),
@@ -171,6 +183,9 @@ ORACLES: dict[str, str] = {
     + f"""select o_orderkey, part_no, o_orderstatus, o_totalprice, o_orderdate, {_REF} from inv""",
     "flatten_empty_array": _INVOICES
     + """select o_orderkey, part_no, cast(n as integer) as detail_line_size from inv""",
+    "landed_empty_array": _INVOICES
+    + """select o_orderkey, o_orderstatus as detail_status,
+        case when n is not null then 0 end as detail_line_size from inv""",
     "nested_passthrough": _INVOICES
     + """select o_orderkey, part_no, customer_ref_nation_name as nation_name,
         line[1].l_partkey as first_partkey from inv""",
@@ -199,8 +214,9 @@ ORACLES: dict[str, str] = {
           from shipped group by all)
         select o_orderkey, coalesce(part_no, 0) as part_no,
           case when o_orderkey % 4 <> 0 then epoch_us(o_orderdate) // 1000 end as header_at,
-          o_orderkey % 4 <> 0 as has_header, shipment[1]['at'] as first_at,
-          shipment[1]['part'] as first_part, shipment[n]['at'] as last_at
+          o_orderkey % 4 <> 0 as has_header,
+          array_to_string(list_transform(shipment, lambda x: x['at']), ',') as shipped_at,
+          array_to_string(list_transform(shipment, lambda x: x['part']), ',') as parts
         from orders left join parts on o_orderkey = l_orderkey""",
     "date_to_millis": "select event_id, epoch_us(ts) // 1000 as millis from events",
     "decimal_cast": """select o_orderkey, cast(cast(cast(o_totalprice as decimal(19,4)) as decimal(38,10)) as varchar) as exact,
@@ -213,4 +229,8 @@ ORACLES: dict[str, str] = {
     + """select customer_ref_nation_name as nation, count(*) as invoices,
         round(sum(line[1].l_extendedprice), 2) as first_line_revenue
         from inv where part_no = 0 and n > 0 group by 1""",
+    "sql_over_landed": _INVOICES
+    + """select customer_ref_nation_name as nation, count(*) as invoices,
+        round(sum(line[1].l_extendedprice), 2) as first_line_revenue
+        from inv where part_no = 0 and n > 0 group by 1""",
 }

@@ -36,7 +36,7 @@ from entityframe.sources.landing import (
     tenant_path,
     write_landing,
 )
-from entityframe.sources.reader import EntityReader
+from entityframe.sources.reader import EntityReader, view_name
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,7 +78,12 @@ def entity_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _landed_orders(spark, sf_dir, "entity_select")
     root = orders.scan_options.path
     write_landing(table(spark, sf_dir, "customer"), root, "customer", COMPANY, ["c_custkey"])
-    return orders.load().select("o_orderkey", "o_totalprice")
+    customers = EntityReader(spark).options(path=root, companyId=COMPANY, entity="customer")
+    return (
+        orders.load()
+        .select(F.lit("orders").alias("entity"), F.col("o_orderkey").alias("id"))
+        .union(customers.load().select(F.lit("customer"), "c_custkey"))
+    )
 
 
 def tenant_select(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +94,46 @@ def tenant_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.load().select("event_id", "value")
 
 
+def landing_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One company is landed with a further field; later landings of others leave it its schema."""
+    root = shared_dir(spark, "landing_two_schemas")
+    events = table(spark, sf_dir, "events")
+    number = F.pmod("user_id", F.lit(4))
+    company = F.format_string("%03d", number)
+    first = events.where(number == 3).select("event_id", "value", "event_type")
+    write_landing(first, root, "events", F.lit("003"), ["event_id"], page_size=PAGE_SIZE)
+    rest = events.where(number < 3).select("event_id", "user_id")
+    write_landing(rest, root, "events", company, ["event_id"])
+    reader = EntityReader(spark).options(path=root, companyId="003", entity="events")
+    return reader.load().select("event_id", "value", "event_type")
+
+
+def envelope_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed API answers, a page of entities each, as one entity."""
+    root = shared_dir(spark, "envelope_pages")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    paged = paging.assign_pages(orders, ["o_orderkey"], PAGE_SIZE)
+    entity = F.struct("pos_in_page", "o_orderkey", "o_totalprice")
+    answers = (
+        paged.groupBy("page_no")
+        .agg(F.sort_array(F.collect_list(entity)).alias("found"), F.min("position").alias("startPosition"))
+        .select(
+            F.transform("found", lambda x: x.dropFields("pos_in_page")).alias("entities"),
+            "startPosition",
+            F.size("found").alias("maxResults"),
+            F.lit(orders.count()).alias("totalCount"),
+        )
+    )
+    answers.write.json(tenant_path(root, "orders", "sandbox", COMPANY))
+    reader = EntityReader(spark).options(
+        path=root, companyId=COMPANY, entity="orders", fileFormat="json", jsonPages=True, pageSize=PAGE_SIZE
+    )
+    total = reader.envelope().select("total_count")
+    position = F.col("page_no") * PAGE_SIZE + F.col("pos_in_page") + 1
+    rows = reader.pages().select(position.alias("position"), "o_orderkey", "o_totalprice")
+    return rows.withColumn("total_count", F.lit(total.first()[0]))
+
+
 def entity_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.entity_count(table(spark, sf_dir, "orders"))
 
@@ -115,8 +160,7 @@ def page_reassemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
-    return paging.sample_records(orders, ["o_orderkey"], 1)
+    return coerce(paging.sample_records(table(spark, sf_dir, "orders"), ["o_orderkey"], 1))
 
 
 def scan_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +218,7 @@ def json_load_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoices landed as JSON lines: inferred over all records, parsed, expanded."""
     root = shared_dir(spark, "json_load_expanded")
     where = tenant_path(root, "invoice", "production", COMPANY)
-    invoices(spark, sf_dir).drop("o_orderdate").write.json(where)
+    coerce(invoices(spark, sf_dir)).write.json(where)
     loaded = (
         EntityReader(spark)
         .options(path=root, companyId=COMPANY, entity="invoice", production=True)
@@ -182,7 +226,7 @@ def json_load_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
         .load()
     )
     return loaded.select(
-        "o_orderkey", "part_no", *REF, "line_0_l_partkey", "line_1_l_extendedprice"
+        "o_orderkey", "part_no", "o_orderdate", *REF, "line_0_l_partkey", "line_1_l_extendedprice"
     )
 
 
@@ -199,11 +243,38 @@ def _schema_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def infer_invoice_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inv = invoices(spark, sf_dir).drop("o_orderdate")
+    inv = coerce(invoices(spark, sf_dir))
     text = inv.select(F.to_json(F.struct("*")).alias("json"))
     return _schema_rows(spark, infer_schema(text, "json"))
 
 
+def infer_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of more digits than a double or a long holds come back as they went in."""
+    wide = F.concat(F.lit("9876543210"), F.format_string("%012d", "o_orderkey"))
+    cents = F.concat(F.lit("1234567"), F.format_string("%010d", "o_orderkey"), F.lit(".25"))
+    text = table(spark, sf_dir, "orders").select(
+        F.format_string('{"id": %d, "wide": %s, "cents": %s}', "o_orderkey", wide, cents).alias("json")
+    )
+    records = parse_records(text, "json", infer_schema(text, "json"))
+    return records.select(
+        "id", F.col("wide").cast("string").alias("wide"), F.col("cents").cast("string").alias("cents")
+    )
+
+
+def infer_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field that is a number in some records and text in others is read as text."""
+    root = shared_dir(spark, "infer_conflict")
+    key = F.col("o_orderkey")
+    note = F.when(key % 2 == 0, key.cast("string")).otherwise(
+        F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit('"'))
+    )
+    table(spark, sf_dir, "orders").select(
+        F.format_string('{"id": %d, "note": %s}', key, note).alias("value")
+    ).write.text(tenant_path(root, "orders", "sandbox", COMPANY))
+    reader = EntityReader(spark).options(path=root, companyId=COMPANY, entity="orders")
+    return reader.options(fileFormat="json", onConflict="string").load()
+
+
 def infer_array_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     inv = invoices(spark, sf_dir)
 
@@ -349,6 +420,20 @@ def flatten_empty_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_empty_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An array that no record has an element of stays one array column under the default options."""
+    root = shared_dir(spark, "landed_empty_array")
+    nothing = F.filter("line", lambda x: F.lit(False))
+    records = invoices(spark, sf_dir).select(
+        "o_orderkey", "part_no", F.struct(nothing.alias("line"), F.col("o_orderstatus").alias("status")).alias("detail")
+    )
+    write_landing(records, root, "detail", COMPANY, ["o_orderkey", "part_no"], derived=True)
+    flat = EntityReader(spark).options(path=root, companyId=COMPANY, entity="detail").load()
+    return flat.select(
+        "o_orderkey", "detail_status", F.array_size("detail_line").alias("detail_line_size")
+    )
+
+
 def nested_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = flatten(invoices(spark, sf_dir), expand_structs=False, expand_arrays=True)
     return nested.select(
@@ -419,15 +504,13 @@ def coerce_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         key, F.when(key % 4 != 0, F.struct(F.col("o_orderdate").alias("at"))).alias("header")
     )
     records, _ = with_lines(headers, lines, ["at", "part"], "shipment", LINES_PER_PART)
-    first, last = F.get("shipment", F.lit(0)), F.element_at("shipment", -1)
     return coerce(records).select(
         "o_orderkey",
         "part_no",
         F.col("header.at").alias("header_at"),
         F.col("header").isNotNull().alias("has_header"),
-        first["at"].alias("first_at"),
-        first["part"].alias("first_part"),
-        last["at"].alias("last_at"),
+        F.array_join("shipment.at", ",").alias("shipped_at"),
+        F.array_join("shipment.part", ",").alias("parts"),
     )
 
 
@@ -459,23 +542,34 @@ def missing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_over_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: revenue of the first line of each invoice, per nation of the customer."""
-    flat = flatten(invoices(spark, sf_dir), expand_arrays=True, array_sizes={"line": 1})
-    flat.createOrReplaceTempView("c0042_invoice")
-    return spark.sql(
-        """
+    options = ScanOptions(company_id=COMPANY, entity="invoice", expand_arrays=True, array_sizes={("line",): 1})
+    view = view_name(options)
+    flatten(invoices(spark, sf_dir), options).createOrReplaceTempView(view)
+    return spark.sql(_revenue_by_nation(view))
+
+
+def _revenue_by_nation(view: str) -> str:
+    return f"""
         select customer_ref_nation_name as nation, count(*) as invoices,
                round(sum(line_0_l_extendedprice), 2) as first_line_revenue
-        from c0042_invoice
+        from {view}
         where part_no = 0 and line_0_l_partkey is not null
         group by customer_ref_nation_name
         """
-    )
+
+
+def sql_over_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship over an entity that was landed, through the view a load registers."""
+    reader = _landed_invoices(spark, sf_dir, "sql_over_landed").option("arraySizes", {"line": 1})
+    return spark.sql(_revenue_by_nation(reader.load_view()))
 
 
 QUERIES: dict[str, Query] = {
     "entity_scan": entity_scan,
     "entity_select": entity_select,
     "tenant_select": tenant_select,
+    "landing_two_schemas": landing_two_schemas,
+    "envelope_pages": envelope_pages,
     "entity_count": entity_count,
     "page_manifest": page_manifest,
     "page_assign": page_assign,
@@ -488,6 +582,8 @@ QUERIES: dict[str, Query] = {
     "reader_load_expanded": reader_load_expanded,
     "json_load_expanded": json_load_expanded,
     "infer_schema": infer_invoice_schema,
+    "infer_numbers": infer_numbers,
+    "infer_conflict": infer_conflict,
     "infer_array_union": infer_array_union,
     "infer_nulls": infer_nulls,
     "merge_schemas": merge_schemas,
@@ -501,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "expand_nested_arrays": expand_nested_arrays,
     "flatten_no_arrays": flatten_no_arrays,
     "flatten_empty_array": flatten_empty_array,
+    "landed_empty_array": landed_empty_array,
     "nested_passthrough": nested_passthrough,
     "flatten_default_options": flatten_default_options,
     "flat_lineage": flat_lineage,
@@ -512,4 +609,5 @@ QUERIES: dict[str, Query] = {
     "missing_field": missing_field,
     "json_entity": json_entity,
     "sql_over_entity": sql_over_entity,
+    "sql_over_landed": sql_over_landed,
 }
