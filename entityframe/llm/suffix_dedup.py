@@ -47,7 +47,8 @@ BYTES_PER_KEY = 15.0
 FINER_BITS = 4
 LAST = np.iinfo(np.int64).max
 
-FRAGMENTS = """bucket int, block int, sizes binary, bytes binary, smallest binary, largest binary"""
+FRAGMENTS = """bucket int, block int, keys binary, sizes binary, bytes binary,
+               smallest binary, largest binary"""
 REPLY = "block int, fragments binary, documents binary, lengths binary"
 
 
@@ -105,7 +106,8 @@ def fragments(buf: np.ndarray, off: np.ndarray, length: int = MIN_BYTES, gram: i
         real = key[at] > 0
         at, till = at[real], till[real]
         till = till + length - 1
-        out.append((base + at, base + till, key[at], hashes.ranges(at, till)))
+        # Smallest hashes crowd near zero; scrambled again they fall evenly into buckets.
+        out.append((base + at, base + till, mix(key[at]), hashes.ranges(at, till)))
     return tuple(np.concatenate(column) for column in zip(*out))
 
 
@@ -234,7 +236,9 @@ def find_repeats(
     def send_fragments(table: pa.Table, answer: pa.Table) -> pa.Table:
         buf, off = byte_view(table.column("text"))
         held = shared.Held(answer)
-        out: dict[str, list] = {name: [] for name in ("bucket", "sizes", "bytes", "smallest", "largest")}
+        out: dict[str, list] = {
+            name: [] for name in ("bucket", "keys", "sizes", "bytes", "smallest", "largest")
+        }
         if len(held.keys) and len(buf):
             starts, ends, keys, names = fragments(buf, off, length)
             many = held.documents(shared.cut(keys, deal)) > 1
@@ -248,12 +252,14 @@ def find_repeats(
             bucket = (keys[first] >> np.uint64(64 - finer.bits)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             first, bucket = first[order], bucket[order]
+            short_keys = keys[first].astype(np.uint32)
             starts, sizes = starts[first], ends[first] - starts[first]
             data = buf[_ragged(starts, sizes)]
             ends = np.concatenate([[0], np.cumsum(sizes)])
             edges = np.append(np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket))
             for a, b in zip(edges[:-1], edges[1:]) if len(bucket) else ():
                 out["bucket"].append(int(bucket[a]))
+                out["keys"].append(blob(short_keys[a:b]))
                 out["sizes"].append(blob(sizes[a:b].astype(np.uint32)))
                 out["bytes"].append(blob(data[ends[a] : ends[b]]))
                 out["smallest"].append(blob(smallest[order[a:b]]))
@@ -276,10 +282,20 @@ def find_repeats(
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         least = np.full(len(first), LAST, np.int64)
         np.minimum.at(least, which, smallest)
-        own = size[first]
-        found = smallest_documents(data[_ragged((ends - size)[first], own)], own, least, length)
+        own, begin = size[first], (ends - size)[first]
         windows = own - length + 1
         at = np.cumsum(windows) - windows
+        found = np.repeat(least, windows)
+        # Equal windows have equal keys: a key with one fragment has nothing else to compare.
+        _, of_key, alike = np.unique(
+            np.concatenate(_blobs(table, "keys", np.uint32))[first], return_inverse=True, return_counts=True
+        )
+        several = np.flatnonzero(alike[of_key] > 1)
+        if len(several):
+            part = data[_ragged(begin[several], own[several])]
+            found[_ragged(at[several], windows[several])] = smallest_documents(
+                part, own[several], least[several], length
+            )
         # Only fragments with something to remove go back.
         lowest = np.minimum.reduceat(found, at)
         wanted = lowest[which] < largest
