@@ -21,12 +21,21 @@ from entityframe.operators.flatten import first_rows
 _TOKEN = re.compile(r"\s*(?:`((?:[^`]|``)*)`|([^\s<>:,()`]+)|([<>:,()]))")
 
 
+DOUBLE_DIGITS = 15  # any decimal of as many digits survives a double
+
+
 class SchemaConflict(ValueError):
     """A field has types that have no common form."""
 
 
-def variant_type(text: str, on_conflict: str = "fail", decimals: bool = False) -> T.DataType:
-    """The Spark type for a variant schema such as ``OBJECT<a: BIGINT, b: ARRAY<VOID>>``."""
+def variant_type(
+    text: str, on_conflict: str = "fail", decimals: bool = False, wide: bool = True
+) -> T.DataType:
+    """The Spark type for a variant schema such as ``OBJECT<a: BIGINT, b: ARRAY<VOID>>``.
+
+    ``wide`` says that numbers of more digits than a double holds may be there;
+    the schema alone cannot tell, as whole numbers beside fractions widen it.
+    """
     tokens = [(m[1], m[2], m[3]) for m in _TOKEN.finditer(text)]
     at = 0
 
@@ -65,8 +74,7 @@ def variant_type(text: str, on_conflict: str = "fail", decimals: bool = False) -
             take(",")
             scale = int(take())
             take(")")
-            # A double holds fifteen digits; longer numbers and whole ones stay exact.
-            exact = decimals or scale == 0 or precision > 15
+            exact = decimals or (wide and precision > DOUBLE_DIGITS)
             return T.DecimalType(precision, scale) if exact else T.DoubleType()
         if word == "VARIANT":
             if on_conflict == "string":
@@ -108,10 +116,11 @@ def infer_schema(
         raise ValueError(f"on_conflict must be fail or string, not {on_conflict!r}")
     if sample_rows != "all":
         df = first_rows(df, order_by, int(sample_rows))
-    merged = df.select(F.schema_of_variant_agg(F.parse_json(column(text))))
+    long_number = column(text).rlike(f"(?:[0-9][.]?){{{DOUBLE_DIGITS + 1},}}")
+    merged = df.select(F.schema_of_variant_agg(F.parse_json(column(text))), F.max(long_number))
     with _case_sensitive(df):  # else the aggregate itself takes such names for one
-        found = merged.first()[0]
-    schema = variant_type(found, on_conflict, decimals)
+        found, wide = merged.first()
+    schema = variant_type(found, on_conflict, decimals, bool(wide))
     if not case_sensitive(df):
         check_case(schema)
     if isinstance(schema, T.NullType):
