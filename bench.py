@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -38,6 +39,9 @@ HEADLINE = [
     "coerce_types",
     "coerce_nested",
     "json_entity",
+    "landing_two_schemas",
+    "envelope_pages",
+    "sql_over_landed",
 ]
 # Input rows a query has to read, for the throughput figures.
 ROWS_READ = {
@@ -58,6 +62,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
