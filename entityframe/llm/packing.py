@@ -17,7 +17,7 @@ SEQUENCE = 1024
 END_ID = 2
 PIECES_PER_GROUP = 20_000
 CHUNK_CHARS = 2 << 20
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 300_000
 TOKENIZER = "byte_bpe_50k.json"
 
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSEEN = 0, 1, 2, 3, 255

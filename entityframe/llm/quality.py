@@ -287,10 +287,10 @@ def fit(
     first = [i for i in range(len(ids)) if not i or ids[i] != ids[i - 1]]  # repeated rows train once
     taken = taken.take(pa.array(first, pa.int64()))
     label = taken.column("label").to_numpy()
-    words = [np.array(w, np.int64) for w in taken.column("words").to_pylist()]
     if not len(label):
         return None
-    meta = np.array(taken.column("metadata").to_pylist(), float)
+    words = _lists(taken.column("words"))
+    meta = np.stack(_lists(taken.column("metadata")))
     known_rows, rest = np.flatnonzero(~np.isnan(label)), np.flatnonzero(np.isnan(label))
     y = label[known_rows]
     if len(y) < 10 or len(set(y[::5])) < 2 or len(set(y[4::5])) < 2:
@@ -300,6 +300,13 @@ def fit(
     )
 
 
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The arrays of a list column, as views."""
+    lists = column.combine_chunks()
+    values, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
 def _inputs(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id",
