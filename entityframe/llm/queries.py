@@ -7,6 +7,7 @@ from entityframe.llm.decontaminate import op4_decontamination
 from entityframe.llm.jaccard_join import op7_jaccard_join
 from entityframe.llm.lattice_dedup import op10_lattice_dedup
 from entityframe.llm.line_dedup import OP8_SQL, op8_line_dedup
+from entityframe.llm.oracles import OP3_SQL, OP4_SQL, OP7_SQL
 from entityframe.llm.packing import op5_packing
 from entityframe.llm.pii import op9_pii
 from entityframe.llm.quality import op2_quality
@@ -28,5 +29,8 @@ QUERIES = {
 
 ORACLES = {
     "op1_url_filter": OP1_SQL,
+    "op3_suffix_dedup": OP3_SQL,
+    "op4_decontamination": OP4_SQL,
+    "op7_jaccard_join": OP7_SQL,
     "op8_line_dedup": OP8_SQL,
 }
