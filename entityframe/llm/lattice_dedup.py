@@ -25,8 +25,8 @@ COSINE = 0.95
 TABLES = 8
 BLOCKS = 3
 # Lattice units per unit of distance: at cosine 0.95 the projections of a pair into one block
-# lie about a sixth of the lattice's smallest distance apart.
-SCALE = 1.5
+# lie about 0.28 of the lattice's smallest distance apart, and about 0.95 of such pairs meet.
+SCALE = 1.25
 SEED = 20
 
 

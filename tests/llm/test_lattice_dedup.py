@@ -35,6 +35,23 @@ def test_recall_against_all_pairs_and_no_false_link(spark):
         assert r.kept == (r.component_id == i) and r.component_id <= i
 
 
+@pytest.mark.parametrize("size", [16, 64, 384])
+def test_recall_of_pairs_next_to_the_threshold(spark, size):
+    rng = np.random.default_rng(size)
+    x, y = rng.standard_normal((2, 1500, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9501, 0.9525, (1500, 1))
+    near = cosine * x + np.sqrt(1 - cosine**2) * y
+    rows = [(i, v.tolist(), "") for i, v in enumerate(np.concatenate([x, near]))]
+    got = {r.vec_id: r for r in link_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    linked = brute([(i, v) for i, v, _ in rows])[1]
+    found = sum(got[1500 + i].component_id == got[i].component_id for i in range(1500))
+    assert found >= 0.92 * 1500
+    assert linked.sum() >= sum(r.n_links for r in got.values()) >= 0.92 * linked.sum()
+
+
 def test_vectors_that_link_nothing_copies_and_repeated_rows(spark):
     v, nan, inf = [0.5] * 8, float("nan"), float("inf")
     rows = [(1, v), (2, v), (3, [x * 3 for x in v]), (4, None), (5, []), (6, [0.0] * 8), (7, [nan] + v[1:]), (8, [inf] + v[1:]),
