@@ -6,13 +6,15 @@ in every round each adds the unlabelled documents it is surest of, with its own
 verdict, to the other's training rows. Their calibrated log odds are added up
 with fitted weights, and the sum scores every document.
 
-Fitting uses bounded samples (``MAX_LABELLED``, ``MAX_UNLABELLED``), chosen by a
-hash of the id; scoring is one pass over all documents without a shuffle.
+Fitting uses a bounded sample of the labelled documents (``MAX_LABELLED``),
+chosen by a hash of the id. Each round scores all unlabelled documents in one
+pass and takes the surest, so only the rows taught are bounded
+(``MAX_UNLABELLED``). Scoring is one pass over all documents without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entityframe.llm.store import stage
 from entityframe.llm.text import Words, byte_table, byte_view, chunks
 
 MAX_LABELLED = 8000
@@ -199,28 +202,27 @@ class CoTrained:
         )
 
 
-def co_train(text: list, meta: np.ndarray, y: np.ndarray, more_text: list, more_meta: np.ndarray, rounds: int = ROUNDS):
-    """Every fifth labelled row is left out of training and calibrates."""
+def co_train(text: list, meta: np.ndarray, y: np.ndarray, surest: Callable, rounds: int = ROUNDS):
+    """Every fifth labelled row is left out of training and calibrates.
+
+    ``surest`` takes both classifiers and what each view was taught, and gives
+    (view, key, label, text, metadata) of the unlabelled rows that each view is surest of.
+    """
     held = np.arange(len(y)) % 5 == 4
     train = np.flatnonzero(~held)
-    taught: list[dict[int, float]] = [{}, {}]  # pseudo-labels given to the text and metadata views
+    taught: list[dict] = [{}, {}]  # pseudo-labelled rows given to the text and metadata views
     for turn in range(rounds + 1):
-        sets = []
-        for lesson in taught:
-            extra = sorted(lesson)
-            labels = np.concatenate([y[train], [lesson[i] for i in extra]])
-            sets.append((extra, labels))
-        t = TextClassifier(
-            [text[i] for i in train] + [more_text[i] for i in sets[0][0]], sets[0][1]
-        )
-        m = MetadataClassifier(np.concatenate([meta[train], more_meta[sets[1][0]]]), sets[1][1])
-        if turn == rounds or not len(more_text):
+        extra = [[lesson[key] for key in sorted(lesson)] for lesson in taught]
+        labels = [np.concatenate([y[train], [label for label, _, _ in rows]]) for rows in extra]
+        t = TextClassifier([text[i] for i in train] + [words for _, words, _ in extra[0]], labels[0])
+        m = MetadataClassifier(np.stack([*meta[train], *(x for _, _, x in extra[1])]), labels[1])
+        if turn == rounds:
             break
-        for view, logits in enumerate((t.logit(more_text), m.logit(more_meta))):
-            lesson, p = taught[1 - view], _sigmoid(logits)
-            for sure, label in ((p, 1.0), (1 - p, 0.0)):
-                order = [i for i in np.argsort(-sure, kind="stable") if i not in lesson and sure[i] >= SURE]
-                lesson.update((int(i), label) for i in order[:TAUGHT_PER_ROUND])
+        found = surest(t, m, taught)
+        if not found:
+            break
+        for view, key, *row in found:
+            taught[1 - view][key] = tuple(row)
     own = [text[i] for i in np.flatnonzero(held)]
     raw = np.column_stack([t.logit(own), m.logit(meta[held])])
     views = [_calibrate(raw[:, k : k + 1], y[held]) for k in (0, 1)]
@@ -228,7 +230,7 @@ def co_train(text: list, meta: np.ndarray, y: np.ndarray, more_text: list, more_
     return CoTrained(t, m, views, _calibrate(calibrated, y[held]))
 
 
-FEATURES = "doc_id {id}, label double, words array<bigint>, metadata array<double>"
+FEATURES = "doc_id {id}, mark bigint, label double, words array<bigint>, metadata array<double>"
 
 
 def fit(
@@ -239,9 +241,11 @@ def fit(
 ) -> CoTrained | None:
     """A model from ``labels`` (doc_id, label 0/1), or None unless both classes are there.
 
-    Conflicting labels of one id count as bad. The samples are the rows with
-    the smallest hashes of their ids, at most ``max_labelled`` and
-    ``max_unlabelled`` of them.
+    Conflicting labels of one id count as bad. The labelled rows are those with
+    the smallest hashes of their ids, at most ``max_labelled``. The others are
+    chosen among all unlabelled documents with an id: each round is a pass that
+    scores them all and takes the surest of each view and class; the rounds
+    together teach at most ``max_unlabelled``.
     """
     known = (
         labels.where("doc_id is not null and label is not null")
@@ -249,54 +253,95 @@ def fit(
         .agg(F.min("label").cast("double").alias("label"))
     )
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    pool = (
-        docs.select("doc_id")
-        .where("doc_id is not null")
-        .orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
-        .limit(max_unlabelled)
-        .distinct()
-        .join(known.select("doc_id"), "doc_id", "left_anti")
-        .withColumn("label", F.lit(None).cast("double"))
-    )
-    # At most max_labelled + max_unlabelled ids.
-    wanted = F.broadcast(chosen.unionByName(pool))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    inputs = _inputs(docs)
+    # Tells the rows of one id apart where they differ.
+    marked = inputs.withColumn("mark", F.xxhash64(*inputs.columns))
+    ids, label, words, meta = _taken(marked.join(F.broadcast(chosen), "doc_id"))
+    first = [i for i in range(len(ids)) if not i or ids[i][0] != ids[i - 1][0]]  # repeated rows train once
+    y = label[first]
+    if len(y) < 10 or len(set(y[::5])) < 2 or len(set(y[4::5])) < 2:
+        return None
+    per_round = min(TAUGHT_PER_ROUND, max_unlabelled // (4 * ROUNDS))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def surest(t: TextClassifier, m: MetadataClassifier, taught: list[dict]) -> list[tuple]:
+        return _surest(marked, known.select("doc_id"), t, m, taught, per_round)
+
+    return co_train([words[i] for i in first], meta[first], y, surest)
+
+
+def _surest(marked, known, t, m, taught, per_round) -> list[tuple]:
+    """(view, key, label, text, metadata) of the unlabelled documents each view is surest of, not yet taught."""
+    if not per_round:
+        return []
+    kind = marked.schema["doc_id"].dataType.simpleString()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, words, meta in _views(batch):
+                p = _sigmoid(np.column_stack([t.logit(words), m.logit(meta)]))
                 part = batch.slice(rows.start, rows.stop - rows.start)
+                columns = [part.column("doc_id"), part.column("mark"), pa.array(p[:, 0]), pa.array(p[:, 1])]
+                sure = (np.maximum(p, 1 - p) >= SURE).any(axis=1)
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "p0", "p1"]).filter(pa.array(sure))
+
+    # Only ids and two numbers are shuffled.
+    scored = marked.where("doc_id is not null").mapInArrow(score, f"doc_id {kind}, mark bigint, p0 double, p1 double")
+    open_rows = stage(scored.join(known, "doc_id", "left_anti").distinct(), "sure")
+    best = None
+    for view in (0, 1):
+        for label in (1.0, 0.0):
+            sure = F.col(f"p{view}") if label else 1 - F.col(f"p{view}")
+            top = (
+                open_rows.select(F.lit(view).alias("view"), F.lit(label).alias("label"), "doc_id", "mark", sure.alias("sure"))
+                .where(F.col("sure") >= SURE)
+                .orderBy(F.desc("sure"), F.xxhash64("doc_id", F.lit(1)), "doc_id", "mark")
+                .limit(per_round + len(taught[1 - view]))
+            )
+            best = top if best is None else best.unionByName(top)
+    picked: dict[tuple, list] = {}
+    for r in sorted(best.collect(), key=lambda r: -r.sure):  # stable: equal ones stay in order
+        group, key = picked.setdefault((r.view, r.label), []), (r.doc_id, r.mark)
+        if key not in taught[1 - r.view] and len(group) < per_round:
+            group.append(key)
+    keys = sorted({key for group in picked.values() for key in group})
+    if not keys:
+        return []
+    fields = [marked.schema["doc_id"], marked.schema["mark"]]
+    wanted = marked.sparkSession.createDataFrame(keys, T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
+    wanted = wanted.withColumn("label", F.lit(None).cast("double"))
+    ids, _, words, meta = _taken(marked.join(F.broadcast(wanted), ["doc_id", "mark"]))
+    at = {key: i for i, key in enumerate(ids)}
+    return [
+        (view, key, label, words[at[key]], meta[at[key]]) for (view, label), group in picked.items() for key in group
+    ]
+
+
+def _taken(rows: DataFrame) -> tuple[list[tuple], np.ndarray, list[np.ndarray], np.ndarray]:
+    """(id, mark) in order, label, text and metadata features of rows few enough for the driver."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part_rows, words, meta in _views(batch):
+                part = batch.slice(part_rows.start, part_rows.stop - part_rows.start)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"),
-                        part.column("label"),
+                        *(part.column(name) for name in ("doc_id", "mark", "label")),
                         pa.array(words, pa.list_(pa.int64())),
                         pa.array(list(meta), pa.list_(pa.float64())),
                     ],
-                    names=["doc_id", "label", "words", "metadata"],
+                    names=["doc_id", "mark", "label", "words", "metadata"],
                 )
 
-    taken = (
-        _inputs(docs)
-        .join(wanted, "doc_id")
-        .mapInArrow(run, FEATURES.format(id=kind))
-        .toArrow()
-        .sort_by([("doc_id", "ascending")])
-    )
-    ids = taken.column("doc_id").to_pylist()
-    first = [i for i in range(len(ids)) if not i or ids[i] != ids[i - 1]]  # repeated rows train once
-    taken = taken.take(pa.array(first, pa.int64()))
-    label = taken.column("label").to_numpy()
-    if not len(label):
-        return None
-    words = _lists(taken.column("words"))
-    meta = np.stack(_lists(taken.column("metadata")))
-    known_rows, rest = np.flatnonzero(~np.isnan(label)), np.flatnonzero(np.isnan(label))
-    y = label[known_rows]
-    if len(y) < 10 or len(set(y[::5])) < 2 or len(set(y[4::5])) < 2:
-        return None
-    return co_train(
-        [words[i] for i in known_rows], meta[known_rows], y, [words[i] for i in rest], meta[rest]
+    taken = rows.mapInArrow(run, FEATURES.format(id=kind)).toArrow()
+    taken = taken.sort_by([("doc_id", "ascending"), ("mark", "ascending")])
+    ids = list(zip(taken.column("doc_id").to_pylist(), taken.column("mark").to_pylist()))
+    meta = _lists(taken.column("metadata"))
+    return (
+        ids,
+        taken.column("label").to_numpy(),
+        _lists(taken.column("words")),
+        np.stack(meta) if meta else np.zeros((0, 0)),
     )
 
 

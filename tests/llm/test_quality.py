@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from entityframe.llm import quality
 from entityframe.llm.quality import good_labels, score_quality
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, keep string"
@@ -64,3 +65,20 @@ def test_samples_are_bounded(spark):
     docs, labels = frames(spark, rows, 600)
     scored = score_quality(docs, labels, max_labelled=200, max_unlabelled=50).collect()
     assert len(scored) == 600 and sum(r.keep == (k == "good") for r, (_, k) in zip(sorted(scored), rows)) > 520
+
+
+def test_all_unlabelled_documents_may_teach(spark, monkeypatch):
+    rows = corpus(600)
+    docs, labels = frames(spark, rows, 560)
+    repeated = docs.where("doc_id = 570").crossJoin(spark.range(300).select()).select(docs.columns)
+    trained, begin = [], quality.TextClassifier.__init__
+
+    def spy(self, texts, y):
+        trained.append(len(texts))
+        begin(self, texts, y)
+
+    monkeypatch.setattr(quality.TextClassifier, "__init__", spy)
+    scored = score_quality(docs.union(repeated), labels, max_unlabelled=48).collect()
+    assert len(scored) == 900
+    # 448 labelled rows train. Of 601 ids, 40 are unlabelled; a sample of 48 of all rows holds few of them.
+    assert trained[0] == 448 and 448 + 12 <= trained[-1] <= 448 + 24
