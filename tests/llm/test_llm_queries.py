@@ -19,8 +19,11 @@ COLUMNS = {
     "op8_line_dedup": "doc_id n_lines n_dropped kept_sha256",
     "op9_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op10_lattice_dedup": "vec_id n_links component_id kept",
+    "op11_importance_resampling": "doc_id n_features weight score rank",
+    "op12_vector_codes": "vec_id code error label_error codebooks_sha256",
+    "op13_vector_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
 }
-ROWS_OF = {"op1_url_filter": "pages", "op10_lattice_dedup": "embeddings"}
+ROWS_OF = {"op1_url_filter": "pages", "op10_lattice_dedup": "embeddings", "op12_vector_codes": "embeddings"}
 
 
 @pytest.mark.parametrize("name", COLUMNS)
@@ -29,7 +32,7 @@ def test_columns_and_rows(spark, data, name):
     assert set(COLUMNS[name].split()) <= set(got.columns)
     source = spark.read.parquet(os.path.join(data, f"{ROWS_OF.get(name, 'documents')}.parquet"))
     rows = got.collect()
-    if name == "op5_packing":
+    if name in ("op5_packing", "op13_vector_packing"):
         assert {r.doc_id for r in rows} == {r.doc_id for r in source.collect()}
     else:
         assert len(rows) == source.count()
