@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -23,6 +24,7 @@ TOKENIZER = "word_bpe_49k.json"
 GROUP_BYTES = 8 << 20
 ROW_BYTES = 64  # what a row weighs beside its text when groups are sized
 CHUNK_CHARS = 1 << 20
+PIECES_PER_CALL = 200
 CACHED_WORDS = 300_000
 CACHED_IDS = 4_000_000
 ROWS_PER_BATCH = 2_000
@@ -36,23 +38,29 @@ class Limits(NamedTuple):
     shortest_cut: int = 16  # a gap below it is padded rather than filled with a stump
 
 
-# Characters that Python's split takes for white space and the vocabulary does not.
+# Characters that Python's split takes for white space and the vocabulary does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _SURE_SPACE = re.compile("[ \t\n\r]+")
+# Texts of these characters alone, in lower case, fall into the pieces below: what the
+# vocabulary's own pattern and normal form make of them. The added tokens start with <|.
+_UNUSUAL = re.compile("[^\t\n\r -~\u00c0-\u00ff\u2010-\u2027]|<[|]")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 class WordTokenizer:
     """Ids of many texts, equal to encoding each text alone.
 
     The vocabulary drops white space and never joins across it, so the tokenizer
-    sees each distinct word once. Its added tokens hold no white space and are
-    found inside words as they would be in the text.
+    sees each distinct word once; in texts of usual characters, each distinct piece of a word.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -61,37 +69,66 @@ class WordTokenizer:
         self.used = 0
         self.at = np.zeros(1, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces from few calls; the last id of each closes a word, and no other does."""
+        parts: list[int] = []
+        for i in range(0, len(pieces), PIECES_PER_CALL):
+            parts += self.tokenizer.encode(" ".join(pieces[i : i + PIECES_PER_CALL]), add_special_tokens=False).ids
+        flat = np.array(parts, np.uint32)
+        ends = np.flatnonzero(self.closes[flat])
+        if len(ends) != len(pieces):
+            raise ValueError("the vocabulary does not close each word with one id")
+        return flat, np.diff(np.concatenate([[-1], ends]))
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         encoded = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
         counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(counts.sum()))
-        if self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(flat), np.uint32)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        first = len(self.slots)
-        self.slots.update(zip(words, range(first, first + len(words))))
-        self.at = np.concatenate([self.at, self.used + np.cumsum(counts)])
-        self.used += len(flat)
+        return np.fromiter((i for ids in encoded for i in ids), np.uint32, int(counts.sum())), counts
+
+    def _slots_of(self, words: list[str], encode) -> np.ndarray:
+        slot = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
+        unseen = np.flatnonzero(slot < 0)
+        if len(unseen):
+            new = list(dict.fromkeys(words[i] for i in unseen.tolist()))
+            flat, counts = encode(new)
+            if self.used + len(flat) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(flat), np.uint32)])
+            self.ids[self.used : self.used + len(flat)] = flat
+            self.slots.update(zip(new, range(len(self.at) - 1, len(self.at) - 1 + len(new))))
+            self.at = np.concatenate([self.at, self.used + np.cumsum(counts)])
+            self.used += len(flat)
+            slot[unseen] = [self.slots[words[i]] for i in unseen.tolist()]
+        return slot
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin."""
-        words: list[str] = []
-        edges = [0]
-        for text in texts:
-            words += _SURE_SPACE.split(text) if _NOT_SPACE.search(text) else text.split()
-            edges.append(len(words))
         if len(self.slots) > CACHED_WORDS or self.used > CACHED_IDS:
             self._forget()
-        get = self.slots.get
-        slot = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        unseen = np.flatnonzero(slot < 0)
-        if len(unseen):
-            self._learn(list(dict.fromkeys(words[i] for i in unseen.tolist())))
-            slot[unseen] = [get(words[i]) for i in unseen.tolist()]
+        usual: list[str] = []
+        other: list[str] = []
+        edges: list[tuple[bool, int]] = []  # of each text: where its pieces or words end
+        for text in texts:
+            if _UNUSUAL.search(text):
+                other += _SURE_SPACE.split(text) if _NOT_SPACE.search(text) else text.split()
+                edges.append((True, len(other)))
+            else:
+                usual += _PIECES.findall(text.lower())
+                edges.append((False, len(usual)))
+        whole, part = self._slots_of(usual, self._encode_pieces), self._slots_of(other, self._encode_words)
+        if len(other):
+            # Back into the order of the texts.
+            pieces, a, b = [], 0, 0
+            for unusual, end in edges:
+                pieces.append(part[b:end] if unusual else whole[a:end])
+                a, b = (a, end) if unusual else (end, b)
+            slot = np.concatenate(pieces)
+            sizes = [len(p) for p in pieces]
+        else:
+            slot, sizes = whole, np.diff([0, *(end for _, end in edges)])
         counts = self.at[slot + 1] - self.at[slot]
         total = np.concatenate([[0], np.cumsum(counts)])
         out = self.ids[np.repeat(self.at[slot] - total[:-1], counts) + np.arange(total[-1])]
-        return out, total[edges]
+        return out, total[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
 
 
 def segments(text: str, limit: int = CHUNK_CHARS) -> Iterator[str]:

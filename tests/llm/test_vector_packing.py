@@ -37,8 +37,10 @@ def plain():
 
 def test_batches_equal_the_tokenizer_text_by_text(plain):
     rng = random.Random(2)
-    bits = [*SPACES, "a", "É", "é", "́", "日", "1", "٣", "!", "'", "'s", "'LL", "re", "_", "👍", "<|endoftext|>", "<|"]
+    bits = [*SPACES, "a", "É", "é", "́", "日", "1", "٣", "!", "'", "'s", "'LL", "re", "_", "👍", "<|endoftext|>", "<|", "␀", "␁"]
     texts = TEXTS + ["".join(rng.choices(bits, k=rng.randint(1, 25))) for _ in range(800)]
+    usual = [*"ab'sÉÿ×÷-–9!<>| \n", "'S", "'re", "It's", "ß", "’", "..."]
+    texts += ["".join(rng.choices(usual, k=rng.randint(1, 25))) for _ in range(800)]
     ids, off = WordTokenizer(tokenizer_path()).encode([t or "" for t in texts])
     for i, text in enumerate(texts):
         assert ids[off[i] : off[i + 1]].tolist() == plain(text), repr(text)
