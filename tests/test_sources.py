@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import ROOT
+from compare import ROOT
 from entityframe.options import OptionError
 from entityframe.plans import records
 from entityframe.sources import format as entity_format
