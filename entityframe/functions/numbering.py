@@ -61,7 +61,7 @@ def _sort_key(col: Column, dtype: T.DataType) -> tuple[Column, T.DataType]:
     raise TypeError(f"rows cannot be numbered by a column of type {dtype.simpleString()}")
 
 
-def _literal_array(texts: list[str], dtype: T.DataType) -> Column:
+def literal_array(texts: list[str], dtype: T.DataType) -> Column:
     """One constant array, built from a single string so that many thousand cuts stay cheap to plan."""
     separator = next(c for c in map(chr, range(0xE000, 0xF8FF)) if not any(c in t for t in texts))
     parts = F.split(F.lit(separator.join(texts)), separator)
@@ -115,7 +115,7 @@ class Cuts:
         texts = (tuple(map(str, point)) for point in ordered[every::every])
         self.points = list(dict.fromkeys(texts))
         self.arrays = [
-            _literal_array([point[i] for point in self.points], dtype)
+            literal_array([point[i] for point in self.points], dtype)
             for i, dtype in enumerate(self.types if self.points else ())
         ]
 
@@ -223,7 +223,7 @@ def _rows_before(bucketed: DataFrame, bucket: Column, cuts: Cuts, size: Column)
             offsets.append(offsets[-1] + (before["of_start"] if before else 0))
         else:
             offsets.append(before["of_next"] if before else 0)
-    array = _literal_array([str(n) for n in offsets], T.LongType())
+    array = literal_array([str(n) for n in offsets], T.LongType())
     if not any(cuts.is_group):
         return F.get(array, bucket)
     return F.when(cuts.in_group_of(bucket - 1), F.get(array, bucket)).otherwise(none)

@@ -9,9 +9,10 @@ empty object in some rows takes the type it has in the others.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,14 +29,22 @@ class SchemaConflict(ValueError):
     """A field has types that have no common form."""
 
 
+Steps = tuple[str | None, ...]  # field names; None stands for the elements of an array
+
+
 def variant_type(
-    text: str, on_conflict: str = "fail", decimals: bool = False, wide: bool = True
+    text: str,
+    on_conflict: str = "fail",
+    decimals: bool = False,
+    digits: Mapping[Steps, T.DecimalType | None] | None = None,
 ) -> T.DataType:
     """The Spark type for a variant schema such as ``OBJECT<a: BIGINT, b: ARRAY<VOID>>``.
 
-    ``wide`` says that numbers of more digits than a double holds may be there;
-    the schema alone cannot tell, as whole numbers beside fractions widen it.
+    ``digits`` tells of fields whose numbers may need more digits than a double
+    holds which decimal takes them, or None where a double does; the
+    schema alone cannot tell, as whole numbers beside fractions widen it.
     """
+    digits = digits or {}
     tokens = [(m[1], m[2], m[3]) for m in _TOKEN.finditer(text)]
     at = 0
 
@@ -50,22 +59,22 @@ def variant_type(
     def peek():
         return tokens[at][2] if at < len(tokens) else None
 
-    def parse(path):
-        word = take()
+    def parse(steps):
+        word, path = take(), steps_text(steps)
         if word == "OBJECT":
             fields = []
             take("<")
             while peek() != ">":
                 name = take()
                 take(":")
-                fields.append(T.StructField(name, parse(f"{path}.{name}" if path else name)))
+                fields.append(T.StructField(name, parse((*steps, name))))
                 if peek() == ",":
                     take()
             take(">")
             return T.StructType(fields)
         if word == "ARRAY":
             take("<")
-            inner = parse(f"{path}[]")
+            inner = parse((*steps, None))
             take(">")
             return T.ArrayType(inner)
         if word == "DECIMAL":
@@ -74,15 +83,16 @@ def variant_type(
             take(",")
             scale = int(take())
             take(")")
-            exact = decimals or (wide and precision > DOUBLE_DIGITS)
-            return T.DecimalType(precision, scale) if exact else T.DoubleType()
+            if decimals or (precision > DOUBLE_DIGITS and steps not in digits):
+                return T.DecimalType(precision, scale)
+            return digits.get(steps) or T.DoubleType()
         if word == "VARIANT":
             if on_conflict == "string":
                 return T.StringType()
             raise SchemaConflict(f"{path or 'the root'} has values of different kinds")
         return _VARIANT_SCALARS[word]
 
-    return parse("")
+    return parse(())
 
 
 _VARIANT_SCALARS = {
@@ -99,6 +109,136 @@ _VARIANT_SCALARS = {
 }
 
 
+def steps_text(steps: Steps) -> str:
+    """``("line", None, "price")`` is shown as ``line[].price``."""
+    return "".join("[]" if s is None else f".{s}" for s in steps).removeprefix(".")
+
+
+def _wide_numbers(dtype: T.DataType, steps: Steps = ()) -> list[Steps]:
+    """Fields of decimals that the schema alone gives more digits than a double holds."""
+    if isinstance(dtype, T.StructType):
+        return [p for f in dtype.fields for p in _wide_numbers(f.dataType, (*steps, f.name))]
+    if isinstance(dtype, T.ArrayType):
+        return _wide_numbers(dtype.elementType, (*steps, None))
+    return [steps] if isinstance(dtype, T.DecimalType) and dtype.precision > DOUBLE_DIGITS else []
+
+
+def _numeric_leaves(dtype: T.DataType, steps: Steps = ()) -> list[Steps]:
+    if isinstance(dtype, T.StructType):
+        return [p for f in dtype.fields for p in _numeric_leaves(f.dataType, (*steps, f.name))]
+    if isinstance(dtype, T.ArrayType):
+        return _numeric_leaves(dtype.elementType, (*steps, None))
+    return [steps] if isinstance(dtype, (T.LongType, T.DecimalType, T.DoubleType)) else []
+
+
+def as_variant(df: DataFrame, name: str, skip_unreadable: bool = False) -> Column:
+    """A column of variants as it is, one of JSON text parsed; unreadable text fails or is null."""
+    if isinstance(df.schema[name].dataType, T.VariantType):
+        return column(name)
+    return F.try_parse_json(column(name)) if skip_unreadable else F.parse_json(column(name))
+
+
+def _addressable(steps: Steps) -> bool:
+    return not any(s is not None and "'" in s and '"' in s for s in steps)
+
+
+def _field_of(name: str):
+    quote = '"' if '"' not in name else "'"
+    return lambda v: F.try_variant_get(v, f"$[{quote}{name}{quote}]", "variant")
+
+
+def _numbers_at(value: Column, steps: Steps) -> Column:
+    """The numbers a record has at ``steps``, as an array of texts."""
+    found = F.array(value)
+    for step in steps:
+        if step is None:
+            found = F.flatten(
+                F.transform(found, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array()))
+            )
+        else:
+            found = F.transform(found, _field_of(step))
+    return F.filter(F.transform(found, lambda v: F.try_variant_get(v, "$", "string")), lambda t: t.isNotNull())
+
+
+def _digit_counts(texts: Column) -> dict[str, Column]:
+    """The profile of a field whose numbers each record has as ``texts``."""
+
+    def most(count) -> Column:
+        return F.coalesce(F.array_max(F.transform(texts, lambda t: count(F.ltrim(t, F.lit("-"))))), F.lit(0))
+
+    def whole(t: Column) -> Column:
+        return F.ltrim(F.split_part(t, F.lit("."), F.lit(1)), F.lit("0"))
+
+    def fraction(t: Column) -> Column:
+        return F.rtrim(F.split_part(t, F.lit("."), F.lit(2)), F.lit("0"))
+
+    return {
+        "numbers": F.sum(F.size(texts).cast("bigint")),
+        "whole_digits": F.max(most(lambda t: F.length(whole(t)))),
+        "fraction_digits": F.max(most(lambda t: F.length(fraction(t)))),
+        "significant_digits": F.max(
+            most(lambda t: F.length(F.ltrim(F.concat(whole(t), fraction(t)), F.lit("0"))))
+        ),
+        "negative": F.max(F.exists(texts, lambda t: t.startswith("-"))),
+    }
+
+
+def _profile(df: DataFrame, text: str, paths: list[Steps], skip_unreadable: bool = False) -> DataFrame:
+    """One aggregate of one row: every path's counts, combined before the shuffle."""
+    value = as_variant(df, text, skip_unreadable)
+    texts = df.select(value.alias("_value")).select(
+        *(_numbers_at(F.col("_value"), p).alias(f"_texts{i}") for i, p in enumerate(paths))
+    )
+    return texts.agg(
+        *(
+            count.alias(f"{name}{i}")
+            for i in range(len(paths))
+            for name, count in _digit_counts(F.col(f"_texts{i}")).items()
+        )
+    )
+
+
+def number_profile(df: DataFrame, text: str) -> DataFrame:
+    """Of every field that holds numbers alone: how many, and the most digits any of them has.
+
+    ``path, numbers, whole_digits, fraction_digits, significant_digits, negative``, a row per
+    field of the JSON in ``text``. Zeros at either end do not count. What one field holds says nothing about
+    another.
+    """
+    with _case_sensitive(df):
+        found = df.select(F.schema_of_variant_agg(as_variant(df, text))).first()[0]
+    paths = [p for p in _numeric_leaves(variant_type(found, "string", True)) if _addressable(p)]
+    names = ["numbers", "whole_digits", "fraction_digits", "significant_digits", "negative"]
+    if not paths:
+        kinds = "path string, numbers bigint, whole_digits int, fraction_digits int, significant_digits int, negative boolean"
+        return df.sparkSession.createDataFrame([], kinds)
+    rows = [
+        F.struct(F.lit(steps_text(p)).alias("path"), *(F.col(f"{n}{i}").alias(n) for n in names))
+        for i, p in enumerate(paths)
+    ]
+    return _profile(df, text, paths).select(F.inline(F.array(*rows)))
+
+
+def _needed_decimals(
+    df: DataFrame, text: str, paths: list[Steps], skip_unreadable: bool
+) -> dict[Steps, T.DecimalType | None]:
+    """The decimal that holds a field's numbers, or None where a double does; one more pass."""
+    paths = [p for p in paths if _addressable(p)]
+    if not paths:
+        return {}
+    row = _profile(df, text, paths, skip_unreadable).first()
+    needed: dict[Steps, T.DecimalType | None] = {}
+    for i, path in enumerate(paths):
+        if row[f"significant_digits{i}"] <= DOUBLE_DIGITS:
+            needed[path] = None
+            continue
+        scale = row[f"fraction_digits{i}"]
+        precision = max(1, row[f"whole_digits{i}"] + scale)
+        if precision <= 38:
+            needed[path] = T.DecimalType(precision, scale)
+    return needed
+
+
 def infer_schema(
     df: DataFrame,
     text: str,
@@ -106,9 +246,12 @@ def infer_schema(
     order_by=(),
     on_conflict: str = "fail",
     decimals: bool = False,
+    skip_unreadable: bool = False,
 ) -> T.StructType:
     """Schema of the JSON objects in column ``text``, over all rows or the first few by key.
 
+    The column holds text or variants; text that is not JSON fails or is left out. Fields whose numbers might not fit a double are
+    looked at once more, each on its own.
     ``on_conflict="string"`` reads a field with irreconcilable values as text.
     ``decimals`` keeps fractions as decimals instead of doubles.
     """
@@ -116,11 +259,13 @@ def infer_schema(
         raise ValueError(f"on_conflict must be fail or string, not {on_conflict!r}")
     if sample_rows != "all":
         df = first_rows(df, order_by, int(sample_rows))
-    long_number = column(text).rlike(f"(?:[0-9][.]?){{{DOUBLE_DIGITS + 1},}}")
-    merged = df.select(F.schema_of_variant_agg(F.parse_json(column(text))), F.max(long_number))
     with _case_sensitive(df):  # else the aggregate itself takes such names for one
-        found, wide = merged.first()
-    schema = variant_type(found, on_conflict, decimals, bool(wide))
+        found = df.select(F.schema_of_variant_agg(as_variant(df, text, skip_unreadable))).first()[0]
+        digits = None
+        if not decimals:
+            wide = _wide_numbers(variant_type(found, on_conflict, decimals=True))
+            digits = _needed_decimals(df, text, wide, skip_unreadable)
+    schema = variant_type(found, on_conflict, decimals, digits)
     if not case_sensitive(df):
         check_case(schema)
     if isinstance(schema, T.NullType):
@@ -176,13 +321,23 @@ def readable_type(dtype: T.DataType) -> T.DataType:
 
 
 def parse_records(df: DataFrame, text: str, schema: T.StructType, keep=()) -> DataFrame:
-    """Records of ``schema`` from JSON text, after the columns in ``keep``."""
+    """Records of ``schema`` from JSON text or variants, after the columns in ``keep``.
+
+    Variants are cast, so the schema should be the one inferred from them.
+    """
     readable = readable_type(schema)
+    name = fresh_name(df, "_record")
+    if isinstance(df.schema[text].dataType, T.VariantType):
+        record = F.variant_get(column(text), "$", readable.simpleString())
+        return _record_columns(df.select(*map(column, keep), record.alias(name)), name, readable, keep)
     # A null record is a row without values; anything else unreadable fails.
     source = F.when(F.trim(column(text)) != "null", column(text))
     record = F.from_json(source, readable, {"mode": "FAILFAST"})
-    name = fresh_name(df, "_record")
-    return df.select(*map(column, keep), record.alias(name)).select(
+    return _record_columns(df.select(*map(column, keep), record.alias(name)), name, readable, keep)
+
+
+def _record_columns(df: DataFrame, name: str, readable: T.StructType, keep) -> DataFrame:
+    return df.select(
         *map(column, keep),
         *(F.col(name).getField(f.name).alias(f.name) for f in readable.fields),
     )

@@ -116,6 +116,8 @@ class ScanOptions:
     sample_rows: int | str = "all"
     on_conflict: str = "fail"
     json_pages: bool = False
+    answers: str = "whole"
+    on_unreadable: str = "fail"
     ignored: tuple[str, ...] = field(default=(), compare=False)
 
     @property
@@ -163,6 +165,8 @@ class ScanOptions:
         )
         read("fileFormat", "file_format", lambda value: str(value).lower())
         read("onConflict", "on_conflict", lambda value: str(value).lower())
+        read("answers", "answers", lambda value: str(value).lower())
+        read("onUnreadable", "on_unreadable", lambda value: str(value).lower())
         if "decimaltype" in given:
             values["decimal_type"] = parse_decimal(given.pop("decimaltype"))
             values["decimal_forced"] = True
@@ -179,6 +183,10 @@ class ScanOptions:
             raise OptionError(f"fileFormat must be parquet or json, not {values['file_format']!r}")
         if values.get("on_conflict", "fail") not in ("fail", "string"):
             raise OptionError(f"onConflict must be fail or string, not {values['on_conflict']!r}")
+        if values.get("answers", "whole") not in ("whole", "distinct", "any"):
+            raise OptionError(f"answers must be whole, distinct or any, not {values['answers']!r}")
+        if values.get("on_unreadable", "fail") not in ("fail", "reject"):
+            raise OptionError(f"onUnreadable must be fail or reject, not {values['on_unreadable']!r}")
         # Sign-in options are accepted and unused: landed pages need no token.
         sign_in = {
             "accesstoken",

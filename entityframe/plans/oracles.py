@@ -72,6 +72,39 @@ ORACLES: dict[str, str] = {
     "envelope_pages": _PAGED
     + """select position, o_orderkey, o_totalprice, (select count(*) from orders) as total_count
         from p join orders using (o_orderkey)""",
+    "envelope_distinct": _PAGED
+    + "select position, o_orderkey, o_totalprice from p join orders using (o_orderkey)",
+    "page_coverage": """with t as (select count(*) as n from orders),
+        pages as (select page_no, page_no * 100 + 1 as s, n as rows,
+            least(n, page_no * 100 + 100 + case when page_no % 5 = 1 then 20 else 0 end) + 1 as e
+          from t, unnest(range((n + 99) // 100)) as r(page_no) where page_no % 7 <> 3),
+        swept as (select *, greatest(1, coalesce(max(e) over (order by s rows between unbounded preceding
+            and 1 preceding), 1)) as before from pages),
+        twice as (select *, case when page_no % 6 = 2 then e else least(e, before) end as again from swept),
+        fresh as (select *, greatest(s, coalesce(max(case when again > s then again end) over (order by s
+            rows between unbounded preceding and 1 preceding), 1)) as f from twice),
+        found as (
+          select 'gap' as kind, before as first, s - 1 as last from fresh
+          union all select 'overlap', f, again - 1 from fresh
+          union all select 'short', max(e), any_value(rows) + 250 from fresh)
+        select kind, first, last, last - first + 1 as records from found where first <= last""",
+    "json_rejects": """select case when o_orderkey % 10 = 3 then 'not JSON'
+          when o_orderkey % 10 = 7 then 'not a record of the schema' end as problem,
+        case when o_orderkey % 10 = 3 then substr(printf('{"id": %d, "note": "%s"}', o_orderkey, o_orderpriority), 1, 12)
+          when o_orderkey % 10 = 7 then printf('{"id": [%d], "note": "%s"}', o_orderkey, o_orderpriority)
+          else o_orderkey || ' ' || o_orderpriority end as text from orders""",
+    "infer_number_profile": """with texts as (
+          select 'amount' as path, 'double' as type, case when o_orderkey % 2 = 0 then o_orderkey::varchar
+            else '-' || o_totalprice::decimal(12,2)::varchar end as t from orders
+          union all select 'part[].q', 'double', o_orderkey::varchar from orders
+          union all select 'part[].q', 'double', o_orderkey::varchar || '.125' from orders),
+        split as (select path, type, t like '-%' as negative,
+            ltrim(split_part(ltrim(t, '-'), '.', 1), '0') as whole,
+            rtrim(split_part(ltrim(t, '-'), '.', 2), '0') as fraction from texts)
+        select path, type, count(*) as numbers, cast(max(length(whole)) as integer) as whole_digits,
+          cast(max(length(fraction)) as integer) as fraction_digits,
+          cast(max(length(ltrim(whole || fraction, '0'))) as integer) as significant_digits,
+          bool_or(negative) as negative from split group by all""",
     "tenant_select": "select event_id, value from events where user_id % 4 = 1",
     "entity_count": "select count(*) as n from orders",
     "page_manifest": _ALL_PAGES + "select page_no, start_position, max_results from pages",

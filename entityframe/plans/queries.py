@@ -13,6 +13,7 @@ from entityframe.operators.coerce import coerce, project
 from entityframe.operators.flatten import array_profile, flatten, lineage
 from entityframe.operators.infer import (
     infer_schema,
+    number_profile,
     parse_records,
     schema_paths,
     union_entities,
@@ -41,6 +42,7 @@ from entityframe.sources.reader import EntityReader, view_name
 Query = Callable[[SparkSession, str], DataFrame]
 
 PAGE_SIZE = 100
+OVERLAP = 20
 COMPANY = "0042"  # starts with a zero: it must stay text
 REF = [
     "customer_ref_value",
@@ -108,30 +110,70 @@ def landing_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.load().select("event_id", "value", "event_type")
 
 
-def envelope_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed API answers, a page of entities each, as one entity."""
-    root = shared_dir(spark, "envelope_pages")
+def _answers(paged: DataFrame, total: int, lost=None, longer=None) -> DataFrame:
+    """Pages of ``paged`` as API answers, without those that are ``lost``; ``longer`` ones also give what
+    the next page begins with."""
+    entity = F.struct("position", "o_orderkey", "o_totalprice")
+    page = F.col("page_no")
+    if longer is not None:
+        again = (F.col("pos_in_page") < OVERLAP) & (page > 0) & longer(page - 1)
+        paged = paged.withColumn("page_no", F.explode(F.when(again, F.array(page, page - 1)).otherwise(F.array(page))))
+    if lost is not None:
+        paged = paged.where(~lost(F.col("page_no")))
+    first = F.min("position").alias("startPosition")
+    return paged.groupBy("page_no").agg(F.sort_array(F.collect_list(entity)).alias("found"), first).select(
+        F.transform("found", lambda x: x.dropFields("position")).alias("entities"),
+        "startPosition",
+        F.size("found").alias("maxResults"),
+        F.lit(total).alias("totalCount"),
+    )
+
+
+def _answered_orders(
+    spark: SparkSession, sf_dir: str, purpose: str, more: int = 0, lost=None, longer=None, repeated=None
+) -> EntityReader:
+    """Orders landed as answers that state ``more`` records than there are."""
+    root = shared_dir(spark, purpose)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     paged = paging.assign_pages(orders, ["o_orderkey"], PAGE_SIZE)
-    entity = F.struct("pos_in_page", "o_orderkey", "o_totalprice")
-    answers = (
-        paged.groupBy("page_no")
-        .agg(F.sort_array(F.collect_list(entity)).alias("found"), F.min("position").alias("startPosition"))
-        .select(
-            F.transform("found", lambda x: x.dropFields("pos_in_page")).alias("entities"),
-            "startPosition",
-            F.size("found").alias("maxResults"),
-            F.lit(orders.count()).alias("totalCount"),
-        )
-    )
+    answers = _answers(paged, orders.count() + more, lost, longer)
+    if repeated is not None:
+        page = F.call_function("div", F.col("startPosition"), F.lit(PAGE_SIZE))
+        times = F.when(repeated(page), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        answers = answers.withColumn("_time", F.explode(times)).drop("_time")
     answers.write.json(tenant_path(root, "orders", "sandbox", COMPANY))
-    reader = EntityReader(spark).options(
+    return EntityReader(spark).options(
         path=root, companyId=COMPANY, entity="orders", fileFormat="json", jsonPages=True, pageSize=PAGE_SIZE
     )
-    total = reader.envelope().select("total_count")
+
+
+def _positioned(reader: EntityReader) -> DataFrame:
     position = F.col("page_no") * PAGE_SIZE + F.col("pos_in_page") + 1
-    rows = reader.pages().select(position.alias("position"), "o_orderkey", "o_totalprice")
-    return rows.withColumn("total_count", F.lit(total.first()[0]))
+    return reader.pages().select(position.alias("position"), "o_orderkey", "o_totalprice")
+
+
+def envelope_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed API answers, a page of entities each, as one entity."""
+    reader = _answered_orders(spark, sf_dir, "envelope_pages")
+    total = reader.envelope().first()["total_count"]
+    return _positioned(reader).withColumn("total_count", F.lit(total))
+
+
+def page_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where landed answers leave gaps, overlap, or stay short of the stated total."""
+    reader = _answered_orders(
+        spark, sf_dir, "page_coverage", 250,
+        lost=lambda page: page % 7 == 3, longer=lambda page: page % 5 == 1, repeated=lambda page: page % 6 == 2,
+    )
+    return reader.coverage()
+
+
+def envelope_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers that overlap and were landed twice, read with each position once."""
+    reader = _answered_orders(
+        spark, sf_dir, "envelope_distinct", longer=lambda page: page % 5 == 1, repeated=lambda page: page % 6 == 2
+    )
+    return _positioned(reader.option("answers", "distinct"))
 
 
 def entity_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,6 +303,37 @@ def infer_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def infer_number_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digits of each numeric field; long codes, which are text, leave the type of the amount alone."""
+    key = F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    amount = F.when(key % 2 == 0, key.cast("string")).otherwise(F.concat(F.lit("-"), price))
+    code = F.lpad(key.cast("string"), 18, "7")
+    json = F.format_string('{"code": "%s", "amount": %s, "part": [{"q": %d}, {"q": %d.125}]}', code, amount, key, key)
+    text = table(spark, sf_dir, "orders").select(json.alias("json"))
+    types = F.create_map(*(F.lit(v) for pair in schema_paths(infer_schema(text, "json")) for v in pair))
+    return number_profile(text, "json").withColumn("type", F.get(F.map_values(F.map_filter(types, lambda k, v: k == F.col("path"))), F.lit(0)))
+
+
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that broke off, and records of another shape, are reported; the others are loaded."""
+    root = shared_dir(spark, "json_rejects")
+    key = F.col("o_orderkey")
+    whole = F.format_string('{"id": %d, "note": "%s"}', key, F.col("o_orderpriority"))
+    line = (
+        F.when(key % 10 == 3, F.substring(whole, 1, 12))
+        .when(key % 10 == 7, F.format_string('{"id": [%d], "note": "%s"}', key, F.col("o_orderpriority")))
+        .otherwise(whole)
+    )
+    lines = table(spark, sf_dir, "orders").select(line.alias("value"))
+    lines.write.text(tenant_path(root, "orders", "sandbox", COMPANY))
+    reader = EntityReader(spark).options(
+        path=root, companyId=COMPANY, entity="orders", fileFormat="json", onUnreadable="reject", schema="id bigint, note string"
+    )
+    loaded = reader.load().select(F.lit(None).cast("string").alias("problem"), F.concat_ws(" ", "id", "note").alias("text"))
+    return reader.rejects().select("problem", "text").unionByName(loaded)
+
+
 def infer_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A field that is a number in some records and text in others is read as text."""
     root = shared_dir(spark, "infer_conflict")
@@ -570,6 +643,9 @@ QUERIES: dict[str, Query] = {
     "tenant_select": tenant_select,
     "landing_two_schemas": landing_two_schemas,
     "envelope_pages": envelope_pages,
+    "envelope_distinct": envelope_distinct,
+    "page_coverage": page_coverage,
+    "json_rejects": json_rejects,
     "entity_count": entity_count,
     "page_manifest": page_manifest,
     "page_assign": page_assign,
@@ -583,6 +659,7 @@ QUERIES: dict[str, Query] = {
     "json_load_expanded": json_load_expanded,
     "infer_schema": infer_invoice_schema,
     "infer_numbers": infer_numbers,
+    "infer_number_profile": infer_number_profile,
     "infer_conflict": infer_conflict,
     "infer_array_union": infer_array_union,
     "infer_nulls": infer_nulls,

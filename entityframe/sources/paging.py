@@ -19,39 +19,6 @@ def entity_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def envelope_records(df: DataFrame, page_size: int = PAGE_SIZE, text: str = "value") -> DataFrame:
-    """Records of landed API answers, as JSON text, with what the answer says about them.
-
-    An answer has ``entities``, ``startPosition``, ``maxResults`` and
-    ``totalCount``. Its records get their page and place from the start
-    position, which is 1 if it is missing.
-    """
-    answer = F.parse_json(text)
-    start = F.coalesce(F.try_variant_get(answer, "$.startPosition", "bigint"), F.lit(1).cast("bigint"))
-    entities = F.try_variant_get(answer, "$.entities", "array<variant>")
-    rows = df.select(
-        start.alias("_start"),
-        F.try_variant_get(answer, "$.totalCount", "bigint").alias("total_count"),
-        F.posexplode(entities).alias("_i", "_entity"),
-    )
-    before = F.col("_start") + F.col("_i") - 1
-    return rows.select(
-        F.to_json("_entity").alias("value"),
-        whole_div(before, page_size).alias("page_no"),
-        F.pmod(before, F.lit(page_size)).cast("bigint").alias("pos_in_page"),
-        "total_count",
-    )
-
-
-def stated_envelope(records: DataFrame) -> DataFrame:
-    """What the answers behind ``envelope_records`` say; an entity of unknown total is a single record."""
-    return records.agg(
-        F.lit(1).cast("bigint").alias("start_position"),
-        F.count(F.lit(1)).alias("max_results"),
-        F.coalesce(F.max("total_count"), F.lit(1).cast("bigint")).alias("total_count"),
-    )
-
-
 def _pieces(total: int, size: int) -> int:
     return -(-total // size)
 

@@ -7,21 +7,23 @@ import re
 from dataclasses import replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityframe.functions.numbering import column
 from entityframe.functions.paths import array_paths
 from entityframe.operators.flatten import flatten
-from entityframe.operators.infer import infer_schema, parse_records
+from entityframe.operators.infer import as_variant, infer_schema, parse_records
 from entityframe.options import OptionError, ScanOptions
-from entityframe.sources import paging
+from entityframe.sources import answers as api
+from entityframe.sources import paging, rejects
 from entityframe.sources.landing import (
     PAGE_COLUMNS,
     landed_schema,
     manifest_path,
     sizes_from_manifest,
+    stage,
     tenant_path,
 )
 
@@ -42,6 +44,8 @@ class EntityReader:
         self._spark = spark
         self._options: dict[str, object] = {}
         self._inferred: dict[ScanOptions, T.StructType] = {}
+        self._parsed: dict[tuple, DataFrame] = {}
+        self._counts: list[Observation] = []
 
     def option(self, name: str, value) -> "EntityReader":
         self._options[name.lower()] = value
@@ -84,12 +88,13 @@ class EntityReader:
         how = {
             "decimals": options.decimal_forced,  # a stated decimalType keeps fractions exact
             "on_conflict": options.on_conflict,
+            "skip_unreadable": options.on_unreadable == "reject",
         }
         if options.sample_rows == "all":
             return infer_schema(lines, "value", **how)
-        lines = lines.where(F.trim("value") != "null")
+        record = as_variant(lines, "value", options.on_unreadable == "reject")
+        lines = lines.where(~F.is_variant_null(record))
         # Number keys sort as numbers, any other as text.
-        record = F.parse_json("value")
         keys = {
             f"k{i}{kind}": F.try_variant_get(record, f"$[{json.dumps(name)}]", dtype)
             for i, name in enumerate(options.order_by)
@@ -115,15 +120,51 @@ class EntityReader:
             "give an explicit schema to read an empty entity"
         )
 
-    def _json_lines(self) -> DataFrame:
-        """``value``: one record per row. Of pages, also what the page says about it."""
+    def _text_lines(self) -> DataFrame:
         try:
             lines = self._spark.read.text(tenant_path(*self._tenant()))
         except AnalysisException as error:
             raise self._nothing_landed() from error
-        lines = lines.where(F.trim("value") != "")
+        return lines.where(F.trim("value") != "")
+
+    def answers(self) -> DataFrame:
+        """Landed API answers, parsed once per reader into a staged table; see ``parse_answers``."""
+        where = self._tenant()
+        if where not in self._parsed:
+            self._parsed[where] = stage(api.parse_answers(self._text_lines()), "answers")
+        return self._parsed[where]
+
+    def coverage(self) -> DataFrame:
+        """Positions that the landed answers do not give exactly once; none of an entity answered whole."""
+        return api.coverage(self.answers())
+
+    def _json_lines(self) -> DataFrame:
+        """``value``: one record per row, of answers as a variant with its page and place."""
+        options = self.scan_options
+        if not options.json_pages:
+            return self._text_lines()
+        key = (*self._tenant(), options.answers)
+        if key not in self._parsed:
+            found = self.answers()
+            if options.answers != "any":
+                api.check_answers(found, repeats=options.answers == "distinct")
+            if options.answers == "distinct":
+                found = stage(api.without_repeats(found), "distinct")
+            self._parsed[key] = found
+        return api.answer_records(self._parsed[key], options.page_size)
+
+    def rejects(self) -> DataFrame:
+        """``file, line, problem, text`` of JSON lines that are no record of the schema."""
         options = self.scan_options
-        return paging.envelope_records(lines, options.page_size) if options.json_pages else lines
+        if options.file_format != "json" or options.json_pages:
+            raise OptionError("rejects are kept for fileFormat json without jsonPages")
+        return rejects.rejected(self._spark, tenant_path(*self._tenant()), self.record_schema())
+
+    def counts(self) -> dict[str, int]:
+        """``records`` and ``rejected`` of the last load under onUnreadable reject, once an action has run on it."""
+        if not self._counts:
+            raise OptionError("counts are kept of a load with onUnreadable set to reject")
+        return self._counts[-1].get
 
     def pages(self) -> DataFrame:
         """Landed records as they are, with ``page_no`` and ``pos_in_page`` where they were paged.
@@ -155,7 +196,13 @@ class EntityReader:
         root, entity, env, company_id = self._tenant()
         if self.scan_options.file_format == "json":
             keep = PAGE_COLUMNS if self.scan_options.json_pages else ()
-            records = parse_records(self._json_lines(), "value", self.record_schema(), keep)
+            lines, schema = self._json_lines(), self.record_schema()
+            if self.scan_options.on_unreadable == "reject" and not keep:
+                self._counts.append(Observation(f"records-{len(self._counts)}"))
+                return rejects.accepted(lines, schema, self._counts[-1])
+            if keep and self.scan_options.schema is not None:  # a cast would be less strict than reading text
+                lines = lines.withColumn("value", F.to_json("value"))
+            records = parse_records(lines, "value", schema, keep)
             own = [name for name in records.columns if name not in keep]
             return records.select(*map(column, own), *keep)
         return (
@@ -193,7 +240,7 @@ class EntityReader:
     def envelope(self) -> DataFrame:
         """``start_position``, ``max_results`` and ``total_count`` of a full read."""
         if self.scan_options.json_pages:
-            return paging.stated_envelope(self._json_lines())
+            return api.stated_envelope(self.answers())
         return paging.scan_envelope(self.pages())
 
     def page_manifest(self) -> DataFrame:
