@@ -47,8 +47,8 @@ class FlatColumn:
     def metadata(self) -> dict:
         return {SOURCE_PATH: json.dumps(self.steps)}
 
-    def raw(self) -> Column:
-        return reach(self.steps)
+    def raw(self, offsets: Mapping[FieldPath, str] | None = None) -> Column:
+        return reach(self.steps, offsets)
 
 
 def path_text(steps: Steps) -> str:
@@ -59,11 +59,21 @@ def path_text(steps: Steps) -> str:
     return text
 
 
-def reach(steps: Steps) -> Column:
-    """The value at ``steps``: null below a null parent or past the end of an array."""
-    value = column(steps[0])
+def reach(steps: Steps, offsets: Mapping[FieldPath, str] | None = None) -> Column:
+    """The value at ``steps``: null below a null parent or past the end of an array.
+
+    ``offsets`` names, for an array that a record holds a part of, the column that says how
+    many elements lie before the part: positions are those in the whole array.
+    """
+    value, path, in_array = column(steps[0]), (steps[0],), False
     for step in steps[1:]:
-        value = F.get(value, F.lit(step)) if isinstance(step, int) else value.getField(step)
+        if isinstance(step, int):
+            path = (*path, ELEMENT) if in_array else path
+            before = (offsets or {}).get(path)
+            at = F.lit(step) if before is None else (F.lit(step) - column(before)).cast("int")
+            value, in_array = F.get(value, at), True
+        else:
+            value, path, in_array = value.getField(step), (*path, step), False
     return value
 
 

@@ -25,7 +25,7 @@ from entityframe.functions.paths import (
     walk,
 )
 from entityframe.functions.typing import convert, converted_columns
-from entityframe.options import FieldPath, OptionError, ScanOptions, as_path
+from entityframe.options import FieldPath, OptionError, ScanOptions, as_path, parse_offsets
 
 
 Measure = tuple[FieldPath, Callable[[Column], Column]]
@@ -97,22 +97,39 @@ def _element_measures_of(dtype: T.DataType, path: FieldPath) -> list[Measure]:
     return []
 
 
-def largest_sizes(schema: T.StructType) -> list[tuple[FieldPath, Column]]:
-    """For each array path of the schema, the largest size one row has there."""
-    return [
-        (path, measure(column(f.name)))
-        for f in schema.fields
-        for path, measure in _measures(f.dataType, (f.name,))
-    ]
+Offsets = Mapping[FieldPath, str]
+
+
+def check_offsets(schema: T.StructType, offsets: Offsets) -> None:
+    """Offsets must be whole-number columns of the record, for arrays of its schema."""
+    unknown = set(offsets) - set(array_paths(schema))
+    if unknown:
+        raise OptionError(f"arrayOffsets names no array: {sorted('.'.join(p) for p in unknown)}")
+    for name in offsets.values():
+        if name not in schema.names or not isinstance(schema[name].dataType, T.IntegralType):
+            raise OptionError(f"arrayOffsets needs a column of whole numbers, which {name!r} is not")
+
+
+def largest_sizes(schema: T.StructType, offsets: Offsets | None = None) -> list[tuple[FieldPath, Column]]:
+    """For each array path of the schema, how far one row reaches there: its size, and what lies before a part."""
+    offsets = offsets or {}
+    check_offsets(schema, offsets)
+    reached = []
+    for f in schema.fields:
+        for path, measure in _measures(f.dataType, (f.name,)):
+            size = measure(column(f.name))
+            reached.append((path, (size + column(offsets[path])).cast("int") if path in offsets else size))
+    return reached
 
 
-def array_profile(df: DataFrame) -> DataFrame:
+def array_profile(df: DataFrame, offsets: Offsets | None = None) -> DataFrame:
     """``path`` and ``max_size`` of every array: one aggregate over the input.
 
     An array inside array elements gets the largest size over all elements; one
-    that is always empty or null gets 0.
+    that is always empty or null gets 0. With ``offsets``, arrays that continue in further
+    rows are measured whole, as the last part ends where the array does.
     """
-    sizes = largest_sizes(df.schema)
+    sizes = largest_sizes(df.schema, offsets)
     entries = [
         F.struct(
             F.lit(".".join(path)).alias("path"),
@@ -133,22 +150,22 @@ def first_rows(df: DataFrame, order_by, count: int = 1) -> DataFrame:
     return df.orderBy(*(column(name).asc_nulls_last() for name in order_by)).limit(count)
 
 
-def measure_sizes(df: DataFrame) -> dict[FieldPath, int]:
+def measure_sizes(df: DataFrame, offsets: Offsets | None = None) -> dict[FieldPath, int]:
     """Sizes of all arrays over all rows, as one collected row of integers."""
-    sizes = largest_sizes(df.schema)
+    sizes = largest_sizes(df.schema, offsets)
     if not sizes:
         return {}
     row = df.agg(*(F.max(size).alias(f"s{i}") for i, (_, size) in enumerate(sizes))).first()
     return {path: row[i] or 0 for i, (path, _) in enumerate(sizes)}
 
 
-def resolve_sizes(df: DataFrame, policy, order_by=()) -> dict[FieldPath, int]:
+def resolve_sizes(df: DataFrame, policy, order_by=(), offsets: Offsets | None = None) -> dict[FieldPath, int]:
     """Array widths for ``max`` (one pass over the arrays), ``first`` (one top-k row) or stated
     sizes (no job). Stated sizes must name arrays of the schema."""
     if policy == "max":
-        return measure_sizes(df)
+        return measure_sizes(df, offsets)
     if policy == "first":
-        return measure_sizes(first_rows(df, order_by))
+        return measure_sizes(first_rows(df, order_by), offsets)
     if not isinstance(policy, Mapping):
         raise OptionError(f"arraySizes must be max, first or a mapping, not {policy!r}")
     sizes = {as_path(path): size for path, size in policy.items()}
@@ -164,7 +181,7 @@ def flat_columns(df: DataFrame, options: ScanOptions) -> list[FlatColumn]:
         return []
     stated = isinstance(options.array_sizes, Mapping)
     sizes = (
-        resolve_sizes(df, options.array_sizes, options.order_by)
+        resolve_sizes(df, options.array_sizes, options.order_by, dict(options.array_offsets))
         if (options.expand_arrays or stated) and array_paths(df.schema)
         else {}
     )
@@ -182,6 +199,8 @@ def flatten(df: DataFrame, options: ScanOptions | None = None, **changes) -> Dat
     flat columns still read only their own leaf from the scan.
     """
     options = _with(options or ScanOptions(), changes)
+    offsets = dict(options.array_offsets)
+    check_offsets(df.schema, offsets)
     flat = flat_columns(df, options)
     if not options.expand_structs or options.keep_nested:
         kept = converted_columns(df.schema, options)
@@ -191,7 +210,7 @@ def flatten(df: DataFrame, options: ScanOptions | None = None, **changes) -> Dat
     return df.select(
         *kept,
         *(
-            convert(item.raw(), item.dtype, options).alias(item.name, metadata=item.metadata)
+            convert(item.raw(offsets), item.dtype, options).alias(item.name, metadata=item.metadata)
             for item in flat
         ),
     )
@@ -209,4 +228,6 @@ def lineage(df: DataFrame) -> list[tuple[str, str]]:
 def _with(options: ScanOptions, changes: dict) -> ScanOptions:
     if "decimal_type" in changes:
         changes = {"decimal_forced": True, **changes}
+    if "array_offsets" in changes:
+        changes = {**changes, "array_offsets": parse_offsets(changes["array_offsets"])}
     return replace(options, **changes)

@@ -68,6 +68,17 @@ def parse_sizes(value) -> str | dict[FieldPath, int]:
     return sizes
 
 
+def parse_offsets(value) -> tuple[tuple[FieldPath, str], ...]:
+    """``{"line": "line_offset"}`` as a mapping, pairs or JSON text: the column that says how many elements lie before."""
+    if isinstance(value, str):
+        try:
+            value = json.loads(value)
+        except json.JSONDecodeError:
+            raise OptionError(f"arrayOffsets must be a JSON object, not {value!r}") from None
+    pairs = value.items() if isinstance(value, Mapping) else value
+    return tuple((as_path(path), str(name)) for path, name in pairs)
+
+
 def parse_decimal(value) -> T.DecimalType | None:
     """``decimal(p,s)``, or ``source`` to leave decimals as they are."""
     if value is None or isinstance(value, T.DecimalType):
@@ -104,6 +115,7 @@ class ScanOptions:
     expand_arrays: bool = False
     keep_nested: bool = True
     array_sizes: str | dict[FieldPath, int] = "max"
+    array_offsets: tuple[tuple[FieldPath, str], ...] = ()
     dates: str = "epoch_millis"
     decimal_type: T.DecimalType | None = DEFAULT_DECIMAL
     decimal_forced: bool = False
@@ -156,6 +168,7 @@ class ScanOptions:
         ):
             read(name, target, lambda value, name=name: parse_count(name, value))
         read("arraySizes", "array_sizes", parse_sizes)
+        read("arrayOffsets", "array_offsets", parse_offsets)
         read("schema", "schema", parse_schema)
         read("dates", "dates", lambda value: str(value).lower())
         read(

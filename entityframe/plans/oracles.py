@@ -5,10 +5,11 @@ from __future__ import annotations
 _LINES = """
 ranked as (
   select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey,
-    l_suppkey, l_extendedprice, l_quantity) - 1 as rn
+    l_suppkey, l_extendedprice, l_quantity) - 1 as rn,
+    count(*) over (partition by l_orderkey) as total
   from lineitem),
 lines as (
-  select l_orderkey, rn // 10000 as part_no, count(*) as n,
+  select l_orderkey, rn // 10000 as part_no, any_value(total) as n, count(*) as part_lines,
     list({'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey,
           'l_extendedprice': l_extendedprice, 'l_quantity': l_quantity} order by rn) as line
   from ranked group by all)"""
@@ -18,7 +19,7 @@ inv as (
   select o_orderkey, coalesce(part_no, 0) as part_no, o_orderstatus, o_totalprice,
     epoch_us(o_orderdate) // 1000 as o_orderdate, o_custkey as customer_ref_value,
     c_name as customer_ref_name, n_nationkey as customer_ref_nation_value,
-    n_name as customer_ref_nation_name, line, n
+    n_name as customer_ref_nation_name, case when part_no = 0 then line end as line, n, part_lines
   from orders left join customer on o_custkey = c_custkey
     left join nation on c_nationkey = n_nationkey
     left join lines on o_orderkey = l_orderkey)
@@ -33,8 +34,8 @@ _THREE_LINES = ", ".join(
     for f in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
 )
 
-_LINE_CELLS = """select o_orderkey, part_no, i as line_index, line[i + 1].l_partkey as l_partkey
-  from inv, unnest(range(({size}))) as r(i) where line[i + 1] is not null"""
+_LINE_CELLS = """select o_orderkey, rn as line_index, l_partkey
+  from orders join ranked on o_orderkey = l_orderkey where rn < ({size})"""
 
 _SOURCES = [
     ("customer_ref_value", "customer_ref.value", "customer_ref_value"),
@@ -145,6 +146,8 @@ ORACLES: dict[str, str] = {
             ("line[].l_partkey", "bigint"),
             ("line[].l_quantity", "double"),
             ("line[].l_suppkey", "bigint"),
+            ("line_offset", "bigint"),
+            ("line_size", "bigint"),
             ("o_orderdate", "bigint"),
             ("o_orderkey", "bigint"),
             ("o_orderstatus", "string"),
@@ -174,14 +177,13 @@ ORACLES: dict[str, str] = {
         select c_custkey, null as s_suppkey, c_name as name, c_nationkey as nationkey, c_mktsegment
         from customer union all
         select null, s_suppkey, s_name, s_nationkey, null from supplier)""",
-    "array_profile": f"""with {_LINES},
-        per_order as (select o_custkey, row_number() over (partition by o_custkey
-            order by o_orderkey, coalesce(part_no, 0)) - 1 as rn, n
-          from orders left join lines on o_orderkey = l_orderkey),
-        sized as (select o_custkey, rn // 10000 as part, count(*) as n, max(n) as lines
-          from per_order group by all)
-        select 'order' as path, cast(max(n) as integer) as max_size from sized
-        union all select 'order.line', cast(coalesce(max(lines), 0) as integer) from sized""",
+    "array_profile": """select 'order' as path, cast(max(n) as integer) as max_size
+          from (select count(*) as n from orders group by o_custkey)
+        union all select 'order.line', cast(coalesce(max(n), 0) as integer)
+          from (select count(*) as n from lineitem semi join orders on l_orderkey = o_orderkey group by l_orderkey)""",
+    "part_offsets": """select l_orderkey, l_returnflag, l_linestatus, l_linenumber, l_partkey,
+        row_number() over (partition by l_orderkey order by l_returnflag, l_linestatus, l_linenumber,
+          l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 as line_index from lineitem""",
     "flatten_structs": _INVOICES
     + f"""select o_orderkey, o_orderstatus, o_totalprice, o_orderdate, {_REF} from inv
         where part_no = 0""",
@@ -196,13 +198,9 @@ ORACLES: dict[str, str] = {
     + ", ".join(f"embedding[{i + 1}] as embedding_{i}" for i in range(64))
     + " from embeddings",
     "expand_nested_arrays": f"""with {_LINES},
-        joined as (select o_custkey, o_orderkey, line, row_number() over (partition by o_custkey
-            order by o_orderkey, coalesce(part_no, 0)) - 1 as rn
-          from orders left join lines on o_orderkey = l_orderkey),
-        acc as (select o_custkey as c_custkey, rn // 10000 as part_no,
-            list({{'o_orderkey': o_orderkey, 'line': line}} order by rn) as o
-          from joined group by all)
-        select c.c_custkey, coalesce(part_no, 0) as part_no, """
+        acc as (select o_custkey as c_custkey, list({{'o_orderkey': o_orderkey, 'line': line}} order by o_orderkey) as o
+          from orders left join lines on o_orderkey = l_orderkey and part_no = 0 group by o_custkey)
+        select c.c_custkey, """
     + ", ".join(
         [f"o[{i + 1}].o_orderkey as order_{i}_o_orderkey" for i in range(2)]
         + [
@@ -213,9 +211,9 @@ ORACLES: dict[str, str] = {
     )
     + " from customer c left join acc on c.c_custkey = acc.c_custkey",
     "flatten_no_arrays": _INVOICES
-    + f"""select o_orderkey, part_no, o_orderstatus, o_totalprice, o_orderdate, {_REF} from inv""",
+    + f"""select o_orderkey, part_no, n as line_size, o_orderstatus, o_totalprice, o_orderdate, {_REF} from inv""",
     "flatten_empty_array": _INVOICES
-    + """select o_orderkey, part_no, cast(n as integer) as detail_line_size from inv""",
+    + """select o_orderkey, part_no, part_no * 10000 + part_lines as reached, n as detail_line_size from inv""",
     "landed_empty_array": _INVOICES
     + """select o_orderkey, o_orderstatus as detail_status,
         case when n is not null then 0 end as detail_line_size from inv""",
@@ -224,7 +222,7 @@ ORACLES: dict[str, str] = {
         line[1].l_partkey as first_partkey from inv""",
     "flatten_default_options": _INVOICES
     + f"""select o_orderkey, part_no, o_orderstatus, o_totalprice, o_orderdate, {_REF},
-        cast(n as integer) as line_size from inv""",
+        cast(part_lines as integer) as part_lines, n as line_size from inv""",
     "flat_lineage": _INVOICES
     + " union all ".join(
         f"select '{name}' as flat_name, '{path}' as source_path, count({value}) as filled from inv"

@@ -18,6 +18,7 @@ from entityframe.operators.infer import (
     schema_paths,
     union_entities,
 )
+from entityframe.operators.parts import elements, with_offsets
 from entityframe.options import ScanOptions
 from entityframe.plans.records import (
     LINE_FIELDS,
@@ -220,7 +221,12 @@ def format_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed_invoices(spark: SparkSession, sf_dir: str, purpose: str) -> EntityReader:
+LINE_OFFSET = {("line",): "line_offset"}
+
+
+def _landed_invoices(
+    spark: SparkSession, sf_dir: str, purpose: str, array_offsets: dict | None = LINE_OFFSET
+) -> EntityReader:
     root = shared_dir(spark, purpose)
     write_landing(
         invoices(spark, sf_dir),
@@ -230,6 +236,7 @@ def _landed_invoices(spark: SparkSession, sf_dir: str, purpose: str) -> EntityRe
         ["o_orderkey", "part_no"],
         page_size=PAGE_SIZE,
         derived=True,
+        array_offsets=array_offsets,
     )
     return EntityReader(spark).options(
         path=root, companyId=COMPANY, entity="invoice", expandArrays=True
@@ -237,15 +244,20 @@ def _landed_invoices(spark: SparkSession, sf_dir: str, purpose: str) -> EntityRe
 
 
 def format_load_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = _landed_invoices(spark, sf_dir, "format_load_expanded").scan_options
+    landed = _landed_invoices(spark, sf_dir, "format_load_expanded", None).scan_options
     entity_format.register(spark)
     loaded = (
         spark.read.format(entity_format.SHORT_NAME)
         .options(companyId=landed.company_id, entity=landed.entity, expandArrays=True)
         .load(landed.path)
     )
+    # The format counts elements within a part.
+    first_part = F.col("part_no") == 0
     return loaded.select(
-        "o_orderkey", "part_no", *REF, "line_0_l_partkey", "line_1_l_extendedprice"
+        "o_orderkey",
+        "part_no",
+        *REF,
+        *(F.when(first_part, F.col(c)).alias(c) for c in ("line_0_l_partkey", "line_1_l_extendedprice")),
     )
 
 
@@ -264,7 +276,7 @@ def json_load_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = (
         EntityReader(spark)
         .options(path=root, companyId=COMPANY, entity="invoice", production=True)
-        .options(fileFormat="json", expandArrays=True, arraySizes={"line": 2})
+        .options(fileFormat="json", expandArrays=True, arraySizes={"line": 2}, arrayOffsets={"line": "line_offset"})
         .load()
     )
     return loaded.select(
@@ -399,8 +411,24 @@ def json_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(parsed, keep_nested=False)
 
 
+ACCOUNT_OFFSETS = {("order",): "order_offset", ("order", "line"): "line_offset"}
+
+
 def profile_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return array_profile(accounts(spark, sf_dir).select("order"))
+    records = accounts(spark, sf_dir).select("order_offset", "line_offset", "order")
+    return array_profile(records, ACCOUNT_OFFSETS)
+
+
+def part_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an order landed in parts of any size, by flag: each line's index in the whole order."""
+    fields = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    parts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_returnflag", "l_linestatus").agg(
+        F.sort_array(F.collect_list(F.struct(*fields))).alias("line")
+    )
+    by = ["l_returnflag", "l_linestatus"]
+    placed = with_offsets(stage(parts, "flag-parts"), ["l_orderkey"], by, "line", "line_offset")
+    rows = elements(placed, "line", "line_offset", "item", "line_index")
+    return rows.select("l_orderkey", *by, "line_index", "item.l_linenumber", "item.l_partkey")
 
 
 # --- flattening ----------------------------------------------------------------------------
@@ -416,13 +444,15 @@ def flatten_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         "part_no",
         F.col("customer_ref.nation.name").alias("nested_nation"),
-        F.coalesce(F.array_size("line"), F.lit(0)).cast("bigint").alias("nested_lines"),
+        F.coalesce("line_size", F.lit(0)).alias("nested_lines"),
         *REF,
     )
 
 
 def expand_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = flatten(invoices(spark, sf_dir), expand_arrays=True, array_sizes={"line": 3})
+    flat = flatten(
+        invoices(spark, sf_dir), expand_arrays=True, array_sizes={"line": 3}, array_offsets=LINE_OFFSET
+    )
     return flat.select(
         "o_orderkey", "part_no", *(f"line_{i}_{f}" for i in range(3) for f in LINE_FIELDS)
     )
@@ -432,21 +462,21 @@ def _line_cells(spark: SparkSession, sf_dir: str, sizes: str) -> DataFrame:
     """Expanded part keys, one row per cell, as how many columns there are depends on the data."""
     narrow = invoices(spark, sf_dir).select(
         "o_orderkey",
-        "part_no",
+        "line_offset",
         F.transform("line", lambda x: F.struct(x["l_partkey"].alias("l_partkey"))).alias("line"),
     )
     flat = flatten(
         stage(narrow, "line-cells"),  # read twice: for the widths, then for the cells
         expand_arrays=True,
         array_sizes=sizes,
-        order_by=("o_orderkey", "part_no"),
+        array_offsets=LINE_OFFSET,
+        order_by=("o_orderkey", "line_offset"),
         keep_nested=False,
     )
-    cells = [name for name in flat.columns if name.startswith("line_")]
-    long = flat.unpivot(["o_orderkey", "part_no"], cells, "cell", "l_partkey")
+    cells = [name for name in flat.columns if name.endswith("_l_partkey")]
+    long = flat.unpivot(["o_orderkey"], cells, "cell", "l_partkey")
     return long.where("l_partkey is not null").select(
         "o_orderkey",
-        "part_no",
         F.split_part("cell", F.lit("_"), F.lit(2)).cast("bigint").alias("line_index"),
         "l_partkey",
     )
@@ -470,26 +500,30 @@ def expand_nested_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
         accounts(spark, sf_dir),
         expand_arrays=True,
         array_sizes={("order",): 2, ("order", "line"): 2},
+        array_offsets=ACCOUNT_OFFSETS,
     )
-    return flat.select(
+    # All these places lie in the first part.
+    return flat.where("order_offset = 0 and line_offset = 0").select(
         "c_custkey",
-        "part_no",
         *(f"order_{i}_o_orderkey" for i in range(2)),
         *(f"order_{i}_line_{j}_l_partkey" for i in range(2) for j in range(2)),
     )
 
 
 def flatten_no_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten(invoices(spark, sf_dir), expand_arrays=False, keep_nested=False)
+    return flatten(invoices(spark, sf_dir), expand_arrays=False, keep_nested=False).drop("line_offset")
 
 
 def flatten_empty_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     detail = invoices(spark, sf_dir).select(
-        "o_orderkey", "part_no", F.struct("line").alias("detail")
+        "o_orderkey", "part_no", "line_offset", "line_size", F.struct("line").alias("detail")
     )
     flat = flatten(detail, array_sizes={"detail.line": 0}, keep_nested=False)
     return flat.select(
-        "o_orderkey", "part_no", F.array_size("detail_line").alias("detail_line_size")
+        "o_orderkey",
+        "part_no",
+        (F.col("line_offset") + F.array_size("detail_line")).alias("reached"),
+        F.col("line_size").alias("detail_line_size"),
     )
 
 
@@ -513,18 +547,20 @@ def nested_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         "part_no",
         F.col("customer_ref.nation.name").alias("nation_name"),
-        F.get("line", F.lit(0))["l_partkey"].alias("first_partkey"),
+        F.get("line", (-F.col("line_offset")).cast("int"))["l_partkey"].alias("first_partkey"),
     )
 
 
 def flatten_default_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = flatten(invoices(spark, sf_dir), ScanOptions.from_options({}))
-    return flat.select(*HEADER, *REF, F.array_size("line").alias("line_size"))
+    return flat.select(*HEADER, *REF, F.array_size("line").alias("part_lines"), "line_size")
 
 
 def flat_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each flat column comes from, and in how many records it has a value."""
-    flat = flatten(invoices(spark, sf_dir), expand_arrays=True, array_sizes={"line": 2})
+    flat = flatten(
+        invoices(spark, sf_dir), expand_arrays=True, array_sizes={"line": 2}, array_offsets=LINE_OFFSET
+    )
     sources = lineage(flat)
     filled = flat.agg(*(F.count(name).alias(name) for name, _ in sources))
     rows = [
@@ -615,7 +651,7 @@ def missing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_over_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: revenue of the first line of each invoice, per nation of the customer."""
-    options = ScanOptions(company_id=COMPANY, entity="invoice", expand_arrays=True, array_sizes={("line",): 1})
+    options = ScanOptions(company_id=COMPANY, entity="invoice", expand_arrays=True, array_sizes={("line",): 1}, array_offsets=tuple(LINE_OFFSET.items()))
     view = view_name(options)
     flatten(invoices(spark, sf_dir), options).createOrReplaceTempView(view)
     return spark.sql(_revenue_by_nation(view))
@@ -665,6 +701,7 @@ QUERIES: dict[str, Query] = {
     "infer_nulls": infer_nulls,
     "merge_schemas": merge_schemas,
     "array_profile": profile_arrays,
+    "part_offsets": part_offsets,
     "flatten_structs": flatten_structs,
     "flatten_additive": flatten_additive,
     "expand_arrays": expand_arrays,

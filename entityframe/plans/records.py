@@ -1,8 +1,8 @@
 """Nested business records built from the flat tables: invoices with lines, accounts with orders.
 
 A record stays bounded even when one key holds a large share of all rows: a
-group above ``part_size`` members continues in further parts, numbered by
-``part_no``, each with at most that many.
+group above ``part_size`` members continues in further parts, each with at most that
+many. A part says how many members lie before it, so sizes and indexes are those of the group.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from entityframe.functions.numbering import column, fresh_name, number_rows, who
 from entityframe.sources.landing import stage
 
 LINE_FIELDS = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-# Only a group above this is not one record; widths and indexes count within a part.
+# Only a group above this is not one record.
 LINES_PER_PART = 10_000
 ORDERS_PER_PART = 10_000
 
@@ -73,7 +73,7 @@ def join_parts(
     part_size: int,
     large: DataFrame | None,
 ) -> DataFrame:
-    """Every header with each part of its group, or with nulls if it has none.
+    """Every header with each part of its group, or with nulls if it has none, and ``_members`` of large ones.
 
     Parts grow with the data and are already partitioned on the key, so they
     are merged, not broadcast. A large key has many parts, and the inner side
@@ -81,13 +81,14 @@ def join_parts(
     salts, and its header, one row, is repeated for each.
     """
     if large is None:
-        return headers.join(parts.hint("merge"), column(key) == column(parts_key), "left")
+        joined = headers.join(parts.hint("merge"), column(key) == column(parts_key), "left")
+        return joined.withColumn("_members", F.lit(None).cast("bigint"))
     most = int(headers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = large.select(column(parts_key).alias("_key"), F.col("members").alias("_members"))
     headers = headers.join(counts, column(key) == F.col("_key"), "left").drop("_key")
     needed = whole_div(F.col("_members") + part_size - 1, part_size)
     salts = F.least(F.lit(most), F.coalesce(needed, F.lit(1))).cast("int")
-    salted = headers.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_members")
+    salted = headers.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     spread = parts.withColumn("_part_salt", F.pmod("part_no", F.lit(most)).cast("int"))
     on = (column(key) == column(parts_key)) & (F.col("_salt") == F.col("_part_salt"))
     # Part 0 is always with salt 0, so only a repeated header can be left over.
@@ -178,13 +179,23 @@ def with_lines(
     into: str,
     part_size: int,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Headers keyed ``o_orderkey`` with their ``rows`` (keyed ``l_orderkey``) nested; large orders."""
+    """Headers keyed ``o_orderkey`` with their ``rows`` (keyed ``l_orderkey``) nested; large orders.
+
+    ``part_no`` counts the parts, ``<into>_offset`` the members before a part, ``<into>_size`` all
+    members of the group (null without any).
+    """
     sizes = group_sizes(rows, "l_orderkey")
     large = large_groups(sizes, "l_orderkey", part_size)
     parts = nest(rows, "l_orderkey", fields, into, part_size, large=large)
     joined = join_parts(headers, "o_orderkey", parts, "l_orderkey", part_size, large)
-    part_no = F.coalesce("part_no", F.lit(0)).alias("part_no")
-    return joined.select(*map(column, headers.columns), part_no, column(into)), large
+    part_no = F.coalesce("part_no", F.lit(0)).cast("bigint")
+    return joined.select(
+        *map(column, headers.columns),
+        part_no.alias("part_no"),
+        (part_no * part_size).alias(f"{into}_offset"),
+        F.coalesce("_members", F.array_size(column(into))).cast("bigint").alias(f"{into}_size"),
+        column(into),
+    ), large
 
 
 def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,13 +225,15 @@ def invoice_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def invoices(spark: SparkSession, sf_dir: str, part_size: int = LINES_PER_PART) -> DataFrame:
     """One record per order (part): header, ``customer_ref`` with its nation, and ``line``.
 
-    ``line`` is null for an order without lines.
+    ``line`` is null for an order without lines. ``line_offset`` and ``line_size`` are those of ``with_lines``.
     """
     headers = invoice_headers(spark, sf_dir)
     nested, _ = with_lines(headers, _line_rows(spark, sf_dir), LINE_FIELDS, "line", part_size)
     return nested.select(
         "o_orderkey",
         "part_no",
+        "line_offset",
+        "line_size",
         "o_orderstatus",
         "o_totalprice",
         "o_orderdate",
@@ -237,36 +250,46 @@ def accounts(
 ) -> DataFrame:
     """One record per customer (part): ``order`` elements that hold ``line`` arrays.
 
-    ``order`` is null for a customer without orders.
+    ``order`` is null for a customer without orders. ``order_offset`` orders lie before the
+    part, and ``line_offset`` lines before the lines it holds of each: an order of more than
+    ``line_part_size`` lines goes on in records of its own.
     """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("c_custkey")
     )
     rows = _line_rows(spark, sf_dir)
     nested, long_orders = with_lines(orders, rows, LINE_FIELDS, "line", line_part_size)
-    joined = nested.withColumnRenamed("part_no", "line_part")
-    sizes = group_sizes(orders, "c_custkey")
-    if long_orders is not None:  # an order counts once for each of its parts
-        counts = group_sizes(rows, "l_orderkey")
-        parts = F.greatest(F.lit(1), F.ceil(F.coalesce("members", F.lit(0)) / line_part_size))
-        sizes = (
-            orders.join(counts, orders.o_orderkey == counts.l_orderkey, "left")
-            .groupBy("c_custkey")
-            .agg(F.sum(parts).alias("members"))
-        )
-    large = large_groups(sizes, "c_custkey", part_size)
+    large = large_groups(group_sizes(orders, "c_custkey"), "c_custkey", part_size)
+    if long_orders is not None:
+        nested = stage(nested, "account-orders")
     parts = nest(
-        joined,
+        nested.where("part_no = 0").select("c_custkey", "o_orderkey", "line"),
         "c_custkey",
-        ["o_orderkey", "line_part", "line"],
+        ["o_orderkey", "line"],
         "order",
         part_size,
-        unique_by=["o_orderkey", "line_part"],
+        unique_by=["o_orderkey"],
         large=large,
-        derived=True,
+        derived=long_orders is None,
     ).withColumnRenamed("c_custkey", "_owner")
     if large is not None:
         large = large.withColumnRenamed("c_custkey", "_owner")
     customers = table(spark, sf_dir, "customer").select("c_custkey")
     joined = join_parts(customers, "c_custkey", parts, "_owner", part_size, large)
-    return joined.select("c_custkey", F.coalesce("part_no", F.lit(0)).alias("part_no"), "order")
+    order_offset = F.coalesce(F.col("part_no") * part_size, F.lit(0)).cast("bigint")
+    whole = joined.select(
+        "c_custkey", order_offset.alias("order_offset"), F.lit(0).cast("bigint").alias("line_offset"), "order"
+    )
+    if long_orders is None:
+        return whole
+    places = number_rows(orders, ["o_orderkey"], ["c_custkey"], into="_place")
+    long_places = places.join(long_orders.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi")
+    going_on = nested.where("part_no > 0").join(long_places.select("o_orderkey", "_place"), "o_orderkey")
+    return whole.unionByName(
+        going_on.join(customers, "c_custkey", "left_semi").select(
+            "c_custkey",
+            (F.col("_place") - 1).alias("order_offset"),
+            "line_offset",
+            F.array(F.struct("o_orderkey", "line")).alias("order"),
+        )
+    )

@@ -78,6 +78,8 @@ def array_sizes(options: ScanOptions, manifest: dict) -> dict:
 
 
 def output_columns(options: ScanOptions, manifest: dict) -> list[FlatColumn]:
+    if options.expand_arrays and json.loads(manifest.get("array_offsets") or "[]"):
+        raise OptionError("arrays were landed in parts; EntityReader knows their places in the whole array")
     records = T.StructType.fromJson(json.loads(manifest["schema"]))
     roots = [FlatColumn(f.name, (f.name,), f.dataType) for f in records.fields]
     if not options.expand_structs:

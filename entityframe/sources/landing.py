@@ -15,14 +15,15 @@ import json
 import re
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityframe.functions.numbering import column
-from entityframe.operators.flatten import largest_sizes
-from entityframe.options import BATCH_SIZE, PAGE_SIZE, OptionError
+from entityframe.operators.flatten import check_offsets, largest_sizes
+from entityframe.options import BATCH_SIZE, PAGE_SIZE, OptionError, parse_offsets
 from entityframe.sources.paging import assign_pages
 
 PAGE_COLUMNS = ("page_no", "pos_in_page")
@@ -91,6 +92,7 @@ def write_landing(
     batch_size: int = BATCH_SIZE,
     batches_per_file: int = BATCHES_PER_FILE,
     derived: bool = False,
+    array_offsets: Mapping | None = None,
 ) -> None:
     """Land ``records`` as pages, for one company or, given a column, for each of its values.
 
@@ -98,8 +100,12 @@ def write_landing(
     them; no file holds more than ``batches_per_file`` batches. Pages a company
     already had are replaced, so a repeated run changes nothing. ``derived``
     says that ``records`` are the result of joins or aggregates, which are then
-    staged: numbering reads its keys more than once.
+    staged: numbering reads its keys more than once. ``array_offsets`` names, for arrays that
+    continue in further records, the field that says how many elements lie before; readers
+    then take sizes and indexes as those of the whole array.
     """
+    offsets = dict(parse_offsets(array_offsets or {}))
+    check_offsets(records.schema, offsets)
     own = {"company_id", "env", "position", "batch_no", *PAGE_COLUMNS}
     clash = own & {name.lower() for name in records.columns}
     if clash:
@@ -146,7 +152,7 @@ def write_landing(
         .parquet(*written)
     )
     totals = _totals(
-        landed.groupBy("company_id") if by_company else landed, records.schema, page_size
+        landed.groupBy("company_id") if by_company else landed, records.schema, page_size, offsets
     )
     if not by_company:  # one row even for an entity without records
         totals = totals.withColumn("company_id", F.lit(company_id))
@@ -157,6 +163,7 @@ def write_landing(
         F.lit(page_size).alias("page_size"),
         F.lit(batch_size).alias("batch_size"),
         F.lit(",".join(order_by)).alias("order_by"),
+        F.lit(json.dumps(list(offsets.items()))).alias("array_offsets"),
     )
     (
         manifest.write.mode("overwrite")
@@ -166,14 +173,14 @@ def write_landing(
     )
 
 
-def _totals(landed, schema: T.StructType, page_size: int) -> DataFrame:
+def _totals(landed, schema: T.StructType, page_size: int, offsets: Mapping) -> DataFrame:
     """Record count and array widths, from one pass over the arrays alone.
 
     Fails unless the positions are 1 to the count: numbering reads its input
     several times, so one that changes meanwhile leaves gaps or repeats.
     """
     first = (F.col("page_no") == 0) & (F.col("pos_in_page") == 0)
-    sizes = largest_sizes(schema)
+    sizes = largest_sizes(schema, offsets)
     position = F.col("page_no") * page_size + F.col("pos_in_page") + 1
     n = F.count(F.lit(1))
     total = F.sum(position.cast("decimal(38,0)"))

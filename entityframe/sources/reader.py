@@ -15,7 +15,7 @@ from entityframe.functions.numbering import column
 from entityframe.functions.paths import array_paths
 from entityframe.operators.flatten import flatten
 from entityframe.operators.infer import as_variant, infer_schema, parse_records
-from entityframe.options import OptionError, ScanOptions
+from entityframe.options import OptionError, ScanOptions, parse_offsets
 from entityframe.sources import answers as api
 from entityframe.sources import paging, rejects
 from entityframe.sources.landing import (
@@ -105,7 +105,7 @@ class EntityReader:
         )
 
     def _manifest(self):
-        fields = "schema string, order_by string, max_sizes string, first_sizes string"
+        fields = "schema string, order_by string, max_sizes string, first_sizes string, array_offsets string"
         try:
             row = self._spark.read.schema(fields).json(manifest_path(*self._tenant())).first()
         except AnalysisException as error:
@@ -220,6 +220,8 @@ class EntityReader:
         """Widths were counted when the pages were landed, so no load has to count them again."""
         options = self.scan_options
         policy = options.array_sizes
+        if options.file_format == "parquet" and options.expand_arrays and not options.array_offsets:
+            options = replace(options, array_offsets=self._landed_offsets(records.schema))
         if not (options.expand_structs and isinstance(policy, str)):
             return options
         paths = array_paths(records.schema)
@@ -237,6 +239,15 @@ class EntityReader:
         landed = sizes_from_manifest(manifest[f"{policy}_sizes"])
         return replace(options, array_sizes={path: landed.get(path, 0) for path in paths})
 
+    def _landed_offsets(self, schema: T.StructType):
+        """Arrays that were landed in parts; a stated schema may leave them out."""
+        try:
+            offsets = parse_offsets(self._manifest()["array_offsets"] or "[]")
+        except OptionError:  # nothing landed: ``pages`` has decided whether that is an error
+            return ()
+        known = set(array_paths(schema))
+        return tuple((path, name) for path, name in offsets if path in known and name in schema.names)
+
     def envelope(self) -> DataFrame:
         """``start_position``, ``max_results`` and ``total_count`` of a full read."""
         if self.scan_options.json_pages:

@@ -5,7 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from entityframe.operators.flatten import array_profile, flatten
+from entityframe.operators.parts import elements, with_offsets
+from entityframe.options import OptionError
 from entityframe.plans import records
+from entityframe.sources import format as entity_format
+from entityframe.sources.landing import shared_dir, write_landing
+from entityframe.sources.reader import EntityReader
 
 FIELDS = ["a", "b"]
 
@@ -131,17 +136,113 @@ def test_a_group_of_250_is_one_record_of_250(spark, data, monkeypatch):
 
 def test_accounts_hold_every_order_part_once(spark, data, monkeypatch):
     monkeypatch.setattr(records, "table", hot_table)
-    inv = records.invoices(spark, data, part_size=5)
-    expected = sorted(
-        (r.customer_ref.value, r.o_orderkey, r.part_no, len(r.line or [])) for r in inv.collect()
-    )
+    inv = records.invoices(spark, data, part_size=5).collect()
+    orders = collections.defaultdict(list)
+    for order, customer in sorted({(r.o_orderkey, r.customer_ref.value) for r in inv}):
+        orders[customer].append(order)
+    lines = {(r.o_orderkey, r.line_offset): [tuple(m) for m in r.line or []] for r in inv}
     acc = records.accounts(spark, data, part_size=6, line_part_size=5).collect()
-    assert max(len(r.order or []) for r in acc) == 6
     customers = {r[0] for r in hot_table(spark, data, "customer").select("c_custkey").collect()}
     assert {r.c_custkey for r in acc} == customers
-    assert {r.c_custkey for r in acc if r.order is None} == customers - {c for c, *_ in expected}
-    got = [(r.c_custkey, o.o_orderkey, o.line_part, len(o.line or [])) for r in acc for o in r.order or []]
-    assert sorted(got) == expected
-    by_part = sorted(acc, key=lambda r: (r.c_custkey, r.part_no))
-    in_order = [(r.c_custkey, o.o_orderkey, o.line_part) for r in by_part for o in r.order or []]
-    assert in_order == sorted(in_order)
+    assert {r.c_custkey for r in acc if r.order is None} == customers - set(orders)
+    assert max(len(r.order or []) for r in acc) == 6
+    assert len(acc) == len({(r.c_custkey, r.order_offset, r.line_offset) for r in acc})
+    seen = {}
+    for r in acc:
+        for i, o in enumerate(r.order or []):
+            # Each order has its place among its customer's, however many parts its lines are in.
+            assert orders[r.c_custkey][r.order_offset + i] == o.o_orderkey
+            assert (o.o_orderkey, r.line_offset) not in seen
+            seen[o.o_orderkey, r.line_offset] = [tuple(m) for m in o.line or []]
+    assert seen == lines
+
+
+def true_sizes(spark, data):
+    lines = hot_table(spark, data, "lineitem").groupBy("l_orderkey").count()
+    orders = hot_table(spark, data, "orders").groupBy("o_custkey").count()
+    return {
+        "line": lines.agg(F.max("count")).first()[0],
+        "order": orders.agg(F.max("count")).first()[0],
+    }
+
+
+@pytest.mark.parametrize("size", [3, 50, 10_000])
+def test_sizes_and_indexes_are_those_of_the_whole_group(spark, data, monkeypatch, size):
+    monkeypatch.setattr(records, "table", hot_table)
+    true = true_sizes(spark, data)
+    assert true["line"] > 1000 and true["order"] > 300
+    inv = records.invoices(spark, data, part_size=size)
+    assert {r.path: r.max_size for r in array_profile(inv, {("line",): "line_offset"}).collect()} == {"line": true["line"]}
+    acc = records.accounts(spark, data, part_size=size, line_part_size=size)
+    offsets = {("order",): "order_offset", ("order", "line"): "line_offset"}
+    got = {r.path: r.max_size for r in array_profile(acc, offsets).collect()}
+    assert got == {"order": true["order"], "order.line": true["line"]}
+    assert inv.agg(F.max("line_size")).first()[0] == true["line"]
+
+    # Column line_120 is the 121st line of the order, in whichever part it lies.
+    narrow = inv.select("o_orderkey", "line_offset", "line").where("o_orderkey = 7")
+    wide = flatten(narrow, expand_arrays=True, array_sizes={"line": 121}, array_offsets={"line": "line_offset"})
+    ordered = sorted(
+        tuple(r) for r in hot_table(spark, data, "lineitem").where("l_orderkey = 7").select(*records.LINE_FIELDS).collect()
+    )
+    for i in (0, 2, 3, 7, 120):
+        names = [f"line_{i}_{f}" for f in records.LINE_FIELDS]
+        found = [tuple(r) for r in wide.where(f"line_{i}_l_partkey is not null").select(*names).collect()]
+        assert found == [ordered[i]]
+
+
+def test_nested_indexes_across_parts(spark, data, monkeypatch):
+    monkeypatch.setattr(records, "table", hot_table)
+    acc = records.accounts(spark, data, part_size=2, line_part_size=2)
+    offsets = {("order",): "order_offset", ("order", "line"): "line_offset"}
+    flat = flatten(acc, expand_arrays=True, array_sizes={"order": 5, "order.line": 4}, array_offsets=offsets)
+    whole = records.accounts(spark, data)
+    plain = flatten(whole, expand_arrays=True, array_sizes={"order": 5, "order.line": 4})
+    names = [f"order_{i}_line_{j}_l_partkey" for i in range(5) for j in range(4)]
+    cells = [F.max(n).alias(n) for n in names]
+
+    def cells_of(df):
+        return sorted(map(tuple, df.groupBy("c_custkey").agg(*cells).collect()))
+
+    assert cells_of(flat) == cells_of(plain)
+    assert flat.agg(*(F.max(n) for n in names)).first()[-1] is not None
+
+
+@pytest.mark.parametrize("buckets_rows", [1, 400])
+def test_offsets_of_uneven_parts(spark, buckets_rows):
+    rng = random.Random(buckets_rows)
+    rows = [(k, p, [rng.randrange(9)] * rng.choice([0, 1, 4, 30])) for k in (1, 2, None) for p in range(buckets_rows)]
+    rows += [(5, 1, None), (5, 0, [7]), (5, 2, [8, 9])]
+    df = spark.createDataFrame(rows, "k int, p int, a array<int>").repartition(3)
+    got = with_offsets(df, ["k"], ["p"], "a", "a_offset").collect()
+    expected, before = {}, collections.Counter()
+    for k, p, a in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        expected[k, p] = before[k]
+        before[k] += len(a or [])
+    assert {(r.k, r.p): r.a_offset for r in got} == expected and len(got) == len(rows)
+    at = elements(spark.createDataFrame(got), "a", "a_offset").where("k = 5").collect()
+    assert sorted((r.element_index, r.element) for r in at) == [(0, 7), (1, 8), (2, 9)]
+    with pytest.raises(OptionError, match="already"):
+        with_offsets(df, ["k"], ["p"], "a", "P")
+
+
+def test_landed_parts_are_read_with_their_places(spark):
+    rows = [(1, 0, [10, 11]), (1, 2, [12, 13]), (1, 4, [14]), (2, 0, [20])]
+    df = spark.createDataFrame(rows, "id int, before int, tag array<int>")
+    root = shared_dir(spark, "parts")
+    write_landing(df, root, "e", "C", ["id", "before"], array_offsets={"tag": "before"})
+    reader = EntityReader(spark).options(path=root, companyId="C", entity="e", expandArrays=True)
+    got = {(r.id, r.before): [r[f"tag_{i}"] for i in range(5)] for r in reader.load().collect()}
+    assert reader.load().columns == ["id", "before", "tag", *(f"tag_{i}" for i in range(5))]
+    assert got == {
+        (1, 0): [10, 11, None, None, None],
+        (1, 2): [None, None, 12, 13, None],
+        (1, 4): [None] * 4 + [14],
+        (2, 0): [20] + [None] * 4,
+    }
+    entity_format.register(spark)
+    with pytest.raises(Exception, match="EntityReader"):
+        spark.read.format("entity_pages").options(companyId="C", entity="e", expandArrays=True).load(root).schema
+    for bad in ({"tags": "before"}, {"tag": "tag"}, {"tag": "nothing"}):
+        with pytest.raises(OptionError, match="arrayOffsets"):
+            flatten(df, expand_arrays=True, array_sizes={"tag": 2}, array_offsets=bad)
