@@ -130,6 +130,7 @@ class ScanOptions:
     json_pages: bool = False
     answers: str = "whole"
     on_unreadable: str = "fail"
+    version: int | None = None
     ignored: tuple[str, ...] = field(default=(), compare=False)
 
     @property
@@ -165,6 +166,7 @@ class ScanOptions:
             ("pageSize", "page_size"),
             ("batchSize", "batch_size"),
             ("maxFlatColumns", "max_flat_columns"),
+            ("version", "version"),
         ):
             read(name, target, lambda value, name=name: parse_count(name, value))
         read("arraySizes", "array_sizes", parse_sizes)

@@ -69,6 +69,14 @@ ORACLES: dict[str, str] = {
         epoch_us(o_orderdate) // 1000 as o_orderdate, o_orderpriority from orders""",
     "entity_select": """select 'orders' as entity, o_orderkey as id from orders
         union all select 'customer', c_custkey from customer""",
+    "landing_append": """select o_orderkey, case when o_orderkey % 2 = 0 then o_totalprice end as o_totalprice,
+        case when o_orderkey % 2 = 1 then o_orderpriority end as o_orderpriority,
+        row_number() over (order by o_orderkey % 2, o_orderkey) as position
+        from orders where o_custkey % 3 = 1""",
+    "landing_snapshot": """select 'now' as at, o_orderkey,
+          case when o_orderkey % 2 = 1 then o_orderpriority end as o_orderpriority from orders where o_custkey % 3 = 1
+        union all select 'before', o_orderkey, null from orders where o_custkey % 3 = 1 and o_orderkey % 2 = 0""",
+    "sample_landed": "select o_orderkey, o_custkey, o_totalprice from orders order by o_orderkey limit 250",
     "landing_two_schemas": "select event_id, value, event_type from events where user_id % 4 = 3",
     "envelope_pages": _PAGED
     + """select position, o_orderkey, o_totalprice, (select count(*) from orders) as total_count

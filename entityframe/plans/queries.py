@@ -97,6 +97,40 @@ def tenant_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.load().select("event_id", "value")
 
 
+def _landed_twice(spark: SparkSession, sf_dir: str, purpose: str) -> EntityReader:
+    """Orders of even keys, then those of odd keys with one more field, appended to each company."""
+    root = shared_dir(spark, purpose)
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    company = F.format_string("%03d", F.pmod("o_custkey", F.lit(3)))
+    first = orders.where(key % 2 == 0).select("o_orderkey", "o_custkey", "o_totalprice")
+    write_landing(first, root, "orders", company, ["o_orderkey"], page_size=PAGE_SIZE)
+    second = orders.where(key % 2 == 1).select("o_orderkey", "o_custkey", "o_orderpriority")
+    write_landing(second, root, "orders", company, ["o_orderkey"], page_size=PAGE_SIZE, mode="append")
+    return EntityReader(spark).options(path=root, companyId="001", entity="orders")
+
+
+def landing_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records landed later take the positions after those before, and the schemas are merged."""
+    pages = _landed_twice(spark, sf_dir, "landing_append").pages()
+    position = F.col("page_no") * PAGE_SIZE + F.col("pos_in_page") + 1
+    return pages.select("o_orderkey", "o_totalprice", "o_orderpriority", position.alias("position"))
+
+
+def landing_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an earlier version of a landed entity held, beside what it holds now."""
+    reader = _landed_twice(spark, sf_dir, "landing_snapshot")
+    now = reader.load().select(F.lit("now").alias("at"), "o_orderkey", "o_orderpriority")
+    earlier = reader.option("version", 1).load()
+    priority = F.lit(None).cast("string") if "o_orderpriority" not in earlier.columns else F.col("o_orderpriority")
+    return now.unionByName(earlier.select(F.lit("before").alias("at"), "o_orderkey", priority.alias("o_orderpriority")))
+
+
+def sample_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first records of a landed entity, found by their page."""
+    return _landed_orders(spark, sf_dir, "sample_landed").sample(250).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 def landing_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One company is landed with a further field; later landings of others leave it its schema."""
     root = shared_dir(spark, "landing_two_schemas")
@@ -678,6 +712,9 @@ QUERIES: dict[str, Query] = {
     "entity_select": entity_select,
     "tenant_select": tenant_select,
     "landing_two_schemas": landing_two_schemas,
+    "landing_append": landing_append,
+    "landing_snapshot": landing_snapshot,
+    "sample_landed": sample_landed,
     "envelope_pages": envelope_pages,
     "envelope_distinct": envelope_distinct,
     "page_coverage": page_coverage,

@@ -26,7 +26,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from entityframe.functions.paths import FlatColumn, check_collisions, walk
 from entityframe.functions.typing import converted_type
 from entityframe.options import OptionError, ScanOptions
-from entityframe.sources.landing import manifest_path, sizes_from_manifest, tenant_path
+from entityframe.sources import log
+from entityframe.sources.landing import entity_path, sizes_from_manifest, tenant_path
 
 SHORT_NAME = "entity_pages"
 ROWS_PER_BATCH = 10_000
@@ -53,34 +54,46 @@ def data_files(path: str) -> list[str]:
     return sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", ".")))
 
 
-def read_manifest(options: ScanOptions) -> dict:
-    where = (options.path, options.entity, options.environment, options.company_id)
-    fs, _ = open_path(options.path)
-    for name in data_files(manifest_path(*where)):
-        with fs.open_input_stream(name) as stream:
-            lines = stream.read().decode().splitlines()
-        if lines:
-            return json.loads(lines[0])
-    raise OptionError(f"no pages of {options.table_name} are landed")
+def _read(fs: pyarrow.fs.FileSystem, name: str) -> str:
+    with fs.open_input_stream(name) as stream:
+        return stream.read().decode().strip()
 
 
-def array_sizes(options: ScanOptions, manifest: dict) -> dict:
+def read_state(options: ScanOptions) -> log.State:
+    """What counts of the company, as the reader finds it, through pyarrow: no session is at hand here."""
+    base, env = entity_path(options.path, options.entity), options.environment
+    fs, _ = open_path(base)
+    published = [log.read_entry(_read(fs, name)) for name in data_files(log.log_path(base, env))]
+    published = [e for e in published if options.version is None or e.version <= options.version]
+    manifests = {}
+    for entry in published:
+        for name in data_files(f"{log.manifest_root(base, env)}/landing={entry.landing}/company_id={options.company_id}"):
+            text = _read(fs, name)
+            if text:
+                manifests[entry.landing] = json.loads(text)
+    state = log.fold(published, manifests)
+    if state is None:
+        raise OptionError(f"no pages of {options.table_name} are landed")
+    return state
+
+
+def array_sizes(options: ScanOptions, manifest: log.State) -> dict:
     """Stated sizes, or the widths counted when the pages were landed."""
     if isinstance(options.array_sizes, dict):
         return options.array_sizes
     if options.array_sizes == "first" and options.order_by:
-        if ",".join(options.order_by) != manifest["order_by"]:
+        if ",".join(options.order_by) != manifest.order_by:
             raise OptionError(
                 "the format knows the widths of the first record by the landing order only; "
                 "EntityReader looks up the first by another key"
             )
-    return sizes_from_manifest(manifest[f"{options.array_sizes}_sizes"])
+    return sizes_from_manifest(getattr(manifest, f"{options.array_sizes}_sizes"))
 
 
-def output_columns(options: ScanOptions, manifest: dict) -> list[FlatColumn]:
-    if options.expand_arrays and json.loads(manifest.get("array_offsets") or "[]"):
+def output_columns(options: ScanOptions, manifest: log.State) -> list[FlatColumn]:
+    if options.expand_arrays and json.loads(manifest.array_offsets):
         raise OptionError("arrays were landed in parts; EntityReader knows their places in the whole array")
-    records = T.StructType.fromJson(json.loads(manifest["schema"]))
+    records = manifest.schema
     roots = [FlatColumn(f.name, (f.name,), f.dataType) for f in records.fields]
     if not options.expand_structs:
         return roots
@@ -119,13 +132,13 @@ class EntityPages(DataSource):
                     True,
                     {} if c.is_root else c.metadata,
                 )
-                for c in output_columns(options, read_manifest(options))
+                for c in output_columns(options, read_state(options))
             ]
         )
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         options = self._parsed()
-        known = {c.name: c for c in output_columns(options, read_manifest(options))}
+        known = {c.name: c for c in output_columns(options, read_state(options))}
         return PageReader(options, schema, [known.get(f.name) for f in schema.fields])
 
 
@@ -140,9 +153,11 @@ class PageReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         o = self.options
+        where = tenant_path(o.path, o.entity, o.environment, o.company_id)
         return [
             PageFile(name)
-            for name in data_files(tenant_path(o.path, o.entity, o.environment, o.company_id))
+            for landing in read_state(o).landings
+            for name in data_files(f"{where}/landing={landing}")
         ]
 
     def read(self, partition: PageFile):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from dataclasses import replace
 
 from pyspark.errors import AnalysisException
@@ -17,11 +18,11 @@ from entityframe.operators.flatten import flatten
 from entityframe.operators.infer import as_variant, infer_schema, parse_records
 from entityframe.options import OptionError, ScanOptions, parse_offsets
 from entityframe.sources import answers as api
-from entityframe.sources import paging, rejects
+from entityframe.sources import log, paging, rejects
 from entityframe.sources.landing import (
     PAGE_COLUMNS,
+    entity_path,
     landed_schema,
-    manifest_path,
     sizes_from_manifest,
     stage,
     tenant_path,
@@ -81,7 +82,7 @@ class EntityReader:
             if source not in self._inferred:
                 self._inferred[source] = self._infer_json()
             return self._inferred[source]
-        return T.StructType.fromJson(json.loads(self._manifest()["schema"]))
+        return self._state().schema
 
     def _infer_json(self) -> T.StructType:
         options, lines = self.scan_options, self._json_lines()
@@ -104,15 +105,13 @@ class EntityReader:
             lines.withColumns(keys), "value", options.sample_rows, list(keys), **how
         )
 
-    def _manifest(self):
-        fields = "schema string, order_by string, max_sizes string, first_sizes string, array_offsets string"
-        try:
-            row = self._spark.read.schema(fields).json(manifest_path(*self._tenant())).first()
-        except AnalysisException as error:
-            raise self._nothing_landed() from error
-        if row is None:
+    def _state(self) -> log.State:
+        root, entity, env, company_id = self._tenant()
+        tenant_path(root, entity, env, company_id)  # refuses names that cannot be directories
+        state = log.company_state(self._spark, entity_path(root, entity), env, company_id, self.scan_options.version)
+        if state is None:
             raise self._nothing_landed()
-        return row
+        return state
 
     def _nothing_landed(self) -> OptionError:
         return OptionError(
@@ -183,9 +182,14 @@ class EntityReader:
     def _page_schema(self) -> T.StructType:
         fields = landed_schema(self.record_schema()).fields
         paged = self.scan_options.file_format == "parquet" or self.scan_options.json_pages
-        return T.StructType(fields[:-2] if paged else self.record_schema().fields)
+        return T.StructType(fields[:-3] if paged else self.record_schema().fields)
 
     def _anything_landed(self) -> bool:
+        if self.scan_options.file_format == "parquet":
+            try:
+                return self._state() is not None
+            except OptionError:
+                return False
         try:
             self._spark.read.text(tenant_path(*self._tenant()))
         except AnalysisException:
@@ -205,11 +209,14 @@ class EntityReader:
             records = parse_records(lines, "value", schema, keep)
             own = [name for name in records.columns if name not in keep]
             return records.select(*map(column, own), *keep)
+        state = self._state()
+        where = tenant_path(root, entity, env, company_id)
+        schema = self.scan_options.schema or state.schema
         return (
-            self._spark.read.schema(landed_schema(self.record_schema()))
-            .option("basePath", f"{root.rstrip('/')}/{entity}")
-            .parquet(tenant_path(root, entity, env, company_id))
-            .drop("env", "company_id")
+            self._spark.read.schema(landed_schema(schema))
+            .option("basePath", entity_path(root, entity))
+            .parquet(*(f"{where}/landing={landing}" for landing in state.landings))
+            .drop("env", "company_id", "landing")
         )
 
     def load(self) -> DataFrame:
@@ -228,21 +235,21 @@ class EntityReader:
         if options.file_format != "parquet" or not paths:
             return options
         try:
-            manifest = self._manifest()
+            manifest = self._state()
         except OptionError:
             if options.schema is None:
                 raise
             return options if self._anything_landed() else replace(options, array_sizes={p: 0 for p in paths})
-        if policy == "first" and options.order_by and ",".join(options.order_by) != manifest["order_by"]:
+        if policy == "first" and options.order_by and ",".join(options.order_by) != manifest.order_by:
             return options
         # Without expandArrays the widths still tell which arrays never have an element.
-        landed = sizes_from_manifest(manifest[f"{policy}_sizes"])
+        landed = sizes_from_manifest(manifest.max_sizes if policy == "max" else manifest.first_sizes)
         return replace(options, array_sizes={path: landed.get(path, 0) for path in paths})
 
     def _landed_offsets(self, schema: T.StructType):
         """Arrays that were landed in parts; a stated schema may leave them out."""
         try:
-            offsets = parse_offsets(self._manifest()["array_offsets"] or "[]")
+            offsets = parse_offsets(self._state().array_offsets)
         except OptionError:  # nothing landed: ``pages`` has decided whether that is an error
             return ()
         known = set(array_paths(schema))
@@ -264,6 +271,17 @@ class EntityReader:
             self._spark, self.pages().count(), options.page_size, options.batch_size
         )
 
+    def sample(self, rows: int) -> DataFrame:
+        """The first ``rows`` landed records in page order.
+
+        Pages say where a record lies, so the scan skips all files and row groups of later pages.
+        """
+        state, options = self._state(), self.scan_options
+        if options.file_format != "parquet":
+            raise OptionError("samples in page order are taken from landed Parquet pages")
+        last = (rows - 1) // state.page_size
+        return self.pages().where(F.col("page_no") <= last).orderBy(*PAGE_COLUMNS).limit(rows)
+
     def load_view(self) -> str:
         """Register the load as a temporary view and return the view's name."""
         name = view_name(self.scan_options)
@@ -271,16 +289,24 @@ class EntityReader:
         return name
 
 
-def companies(spark: SparkSession, root: str, entity: str, schema: T.StructType) -> DataFrame:
-    """All companies of an entity at once; filters on ``env`` and ``company_id`` prune directories."""
-    return (
-        spark.read.schema(landed_schema(schema))
-        .parquet(f"{root.rstrip('/')}/{entity}")
-        .withColumn("table_name", F.concat_ws(":", "company_id", F.lit(entity)))
-    )
+def companies(spark: SparkSession, root: str, entity: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+    """All companies of an entity at once; filters on ``env`` and ``company_id`` prune directories.
+
+    What counts is joined on the directory columns, so Spark reads only those landings.
+    """
+    base = entity_path(root, entity)
+    pages = spark.read.schema(landed_schema(schema)).parquet(base)
+    counted = [
+        log.counted_landings(spark, base, env, version).select(F.lit(env).alias("env"), "company_id", "landing")
+        for env in ("production", "sandbox")
+    ]
+    kept = pages.join(counted[0].union(counted[1]), ["env", "company_id", "landing"], "left_semi")
+    return kept.drop("landing").withColumn("table_name", F.concat_ws(":", "company_id", F.lit(entity)))
 
 
 def view_name(options: ScanOptions) -> str:
-    """``companyId:entity`` as a plain SQL identifier."""
-    name = re.sub(r"\W", "_", options.table_name.replace(":", "_"))
+    """``companyId:entity`` as a plain SQL identifier; names of more than letters and digits end in a hash of them."""
+    name = re.sub(r"\W", "_", options.table_name)
+    if not options.table_name.replace(":", "", 1).isalnum():
+        name = f"{name}_{zlib.crc32(options.table_name.encode()):08x}"
     return name if not name[0].isdigit() else f"t_{name}"

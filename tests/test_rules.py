@@ -10,7 +10,8 @@ from entityframe.functions.numbering import number_rows
 from entityframe.operators.infer import SchemaConflict, infer_schema, union_entities
 from entityframe.options import OptionError
 from entityframe.sources import format as entity_format
-from entityframe.sources.landing import manifest_path, shared_dir, tenant_path
+from entityframe.sources import log
+from entityframe.sources.landing import entity_path, shared_dir, tenant_path
 
 
 def reader(spark, root, entity="e", company="C", **options):
@@ -32,8 +33,8 @@ def test_three_companies_two_landings_keep_their_own_schema(spark):
     assert reader(spark, root).load().columns == ["id", "secret"]
     assert reader(spark, root, company="A").load().columns == ["id", "other", "co"]
     for company, size, rows in (("C", 2, 5), ("A", 3, 5), ("B", 3, 5)):
-        (row,) = spark.read.json(manifest_path(root, "e", "sandbox", company)).collect()
-        assert (row.page_size, row.records) == (size, rows)
+        state = log.company_state(spark, entity_path(root, "e"), "sandbox", company)
+        assert (state.page_size, state.records) == (size, rows)
 
 
 def test_landing_no_rows_by_company_lands_nothing(spark):

@@ -331,12 +331,12 @@ print("rows", df.count() > 0, len(df.columns) > 20)
 def test_manifest_states_what_was_landed(spark, invoices):
     from entityframe.options import ScanOptions
 
-    manifest = entity_format.read_manifest(
+    state = entity_format.read_state(
         ScanOptions.from_options({"path": invoices, "companyId": "5", "entity": "invoice"})
     )
-    assert manifest["page_size"] == 100 and manifest["batch_size"] == 2
-    assert manifest["order_by"] == "o_orderkey,part_no"
-    assert {tuple(e["path"]) for e in json.loads(manifest["max_sizes"])} == {("line",), ("log", "e")}
+    assert state.page_size == 100 and state.batch_size == 2 and state.version == 1
+    assert state.order_by == "o_orderkey,part_no"
+    assert {tuple(e["path"]) for e in json.loads(state.max_sizes)} == {("line",), ("log", "e")}
 
 
 # --- JSON pages ----------------------------------------------------------------------------
