@@ -26,7 +26,6 @@ from entityframe.llm.store import shared_path, stage
 # Lists up to this size are copied to every node; larger ones are dealt out by digest.
 MAX_LOCAL_BYTES = 64 << 20
 ENTRIES_PER_SHARD = 500_000
-SALTS = 16
 
 RULES = (
     ("net", "/", "block"),
@@ -54,10 +53,10 @@ class DigestList:
 
     @classmethod
     def build(cls, rules: list[tuple[str, str, str]]) -> "DigestList":
-        """A rule twice with both verdicts blocks."""
+        """Hosts come with A-Z in lower case. A rule twice with both verdicts blocks."""
         verdicts: dict[bytes, bool] = {}
         for host, path, verdict in rules:
-            key = (host.lower() + path).encode()
+            key = (host + path).encode()
             verdicts[key] = verdicts.get(key, False) or verdict == "block"
         keys = sorted(verdicts, key=lambda k: (xxhash.xxh64_intdigest(k), k))
         digests = np.array([xxhash.xxh64_intdigest(k) for k in keys], np.uint64)
@@ -122,7 +121,7 @@ def filter_urls(
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``, replacing columns so named.
 
-    ``rules`` has host, path and verdict (``allow`` or ``block``). A rule fits
+    ``rules`` has host, path and verdict (``allow`` or ``block``); A-Z in hosts count as lower case. A rule fits
     its host and all subdomains if the URL's path starts with the rule's path;
     the longest string wins, and the longer host among equals. Without a rule,
     ``rule`` is null and the verdict is ``default``: the URL is not on the list.
@@ -133,11 +132,11 @@ def filter_urls(
 
     The list goes to every node as one memory-mapped file only while its
     measured size is at most ``max_local_bytes``. A larger one is cut into
-    shards by digest, and the distinct (host, path) pairs visit them.
+    shards by digest, and each distinct rule string that some URL asks for visits one of them once.
     """
     spark = pages.sparkSession
     rules = rules.select(
-        F.coalesce("host", F.lit("")).alias("host"),
+        ascii_lower(F.coalesce("host", F.lit(""))).alias("host"),
         F.coalesce("path", F.lit("")).alias("path"),
         "verdict",
     )
@@ -196,39 +195,37 @@ def _probe_local(spark: SparkSession, pages, rules, lengths, default) -> DataFra
     return pages.mapInArrow(probe, schema)
 
 
-def _probe_shards(pages, rules, n, lengths, default) -> DataFrame:
-    """Digest shards and distinct candidates meet by shard; a shard serves several salts."""
-    shards = max(1, -(-n // ENTRIES_PER_SHARD))
-    full = F.concat("host", "path")
-    entries = rules.select(
-        "host",
-        "path",
-        "verdict",
-        F.pmod(F.xxhash64(full), F.lit(shards)).alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+def _candidate_pairs(urls: DataFrame, lengths: list[int]) -> DataFrame:
+    """``host, path, h, p``: every rule that could fit a URL, as ``candidates`` gives them."""
+    labels = F.split("host", r"\.")
+    hosts = F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
+    fits = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path"))
+    return (
+        urls.select("host", "path", F.explode(F.filter(hosts, lambda h: h != "")).alias("h"))
+        .select("host", "path", "h", F.explode(fits).alias("n"))
+        .select("host", "path", "h", F.expr("left(path, n)").alias("p"))
     )
-    urls = pages.select("host", "path").distinct()
 
-    @F.udf("array<struct<h:string,p:string>>")
-    def expand(host, path):
-        return candidates(host, path, lengths)
 
-    asked = (
-        urls.select("host", "path", F.explode(expand("host", "path")).alias("c"))
-        .select("host", "path", F.col("c.h").alias("h"), F.col("c.p").alias("p"))
-        .withColumn("shard", F.pmod(F.xxhash64(F.concat("h", "p")), F.lit(shards)))
-        .withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int"))
-    )
+def _probe_shards(pages, rules, n, lengths, default) -> DataFrame:
+    """Digest shards meet the distinct strings asked for; what they hold is joined back to the URLs.
+
+    However many URLs ask for one string, it is looked up once.
+    """
+    shards = max(1, -(-n // ENTRIES_PER_SHARD))
+    shard = F.pmod(F.xxhash64(F.concat("host", "path")), F.lit(shards)).alias("shard")
+    entries = rules.select("host", "path", "verdict", shard)
+    pairs = _candidate_pairs(pages.select("host", "path").distinct(), lengths)
+    asked = pairs.select("h", "p").distinct()
+    asked = asked.withColumn("shard", F.pmod(F.xxhash64(F.concat("h", "p")), F.lit(shards)))
 
     def probe(left: pa.Table, right: pa.Table) -> pa.Table:
         listed = DigestList.build([tuple(r.values()) for r in left.select([0, 1, 2]).to_pylist()])
-        pairs = list(zip(right.column("h").to_pylist(), right.column("p").to_pylist()))
-        at = listed.probe([(h + p).encode() for h, p in pairs])
+        h, p = right.column("h").to_pylist(), right.column("p").to_pylist()
+        at = listed.probe([(a + b).encode() for a, b in zip(h, p)])
         hit = np.flatnonzero(at >= 0)
         return pa.table(
             {
-                "host": right.column("host").take(pa.array(hit)),
-                "path": right.column("path").take(pa.array(hit)),
                 "h": right.column("h").take(pa.array(hit)),
                 "p": right.column("p").take(pa.array(hit)),
                 "blocks": pa.array(listed.blocks[at[hit]].astype(bool)),
@@ -236,11 +233,11 @@ def _probe_shards(pages, rules, n, lengths, default) -> DataFrame:
         )
 
     hits = (
-        entries.groupBy("shard", "salt")
-        .cogroup(asked.groupBy("shard", "salt"))
-        .applyInArrow(probe, "host string, path string, h string, p string, blocks boolean")
+        entries.groupBy("shard")
+        .cogroup(asked.groupBy("shard"))
+        .applyInArrow(probe, "h string, p string, blocks boolean")
     )
-    best = hits.groupBy("host", "path").agg(
+    best = pairs.join(hits, ["h", "p"]).groupBy("host", "path").agg(
         F.max_by(
             F.struct(F.concat("h", "p").alias("rule"), "blocks"),
             F.struct(F.length(F.concat("h", "p")), F.length("h")),

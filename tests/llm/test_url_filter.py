@@ -35,6 +35,30 @@ def test_equals_brute_force_from_a_local_file_and_from_shards(spark, local_bytes
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == brute(url, RULES), url
 
 
+@pytest.mark.parametrize("local_bytes", [1 << 20, 0])
+def test_rule_hosts_in_upper_case_and_long_urls(spark, local_bytes):
+    rules = [(f"Host{i}.NET", "/", ("block", "allow")[i % 2]) for i in range(40)] + [("É.net", "/X", "block"), ("a..b", "/", "block")]
+    lower = [(h.translate({c: c + 32 for c in range(65, 91)}), p, v) for h, p, v in rules]
+    urls = [f"http://www.hOST{i}.net/a" for i in range(45)] + ["http://É.net/X", "http://é.net/X", "http://É.net/x", "http://a..b/", None]
+    urls += ["http://" + "a." * 300 + "host3.net/" + "p/" * 5000, "http://host1.net/" + "?" * 9999]
+    frame = spark.createDataFrame(rules, "host string, path string, verdict string")
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.page_id: r for r in filter_urls(pages, frame, max_local_bytes=local_bytes).collect()}
+    for i, url in enumerate(urls):
+        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == brute(url, lower), url
+
+
+def test_one_string_is_looked_up_once_for_many_urls(spark):
+    from entityframe.llm.url_filter import _candidate_pairs, candidates
+
+    urls = spark.createDataFrame([(f"w{i}.a.com", f"/p{i}/q") for i in range(200)] + [("", ""), (".", "/")], "host string, path string")
+    pairs = _candidate_pairs(urls, [3, 1])
+    want = {(h, p, *c) for h, p in map(tuple, urls.collect()) for c in candidates(h, p, [3, 1])}
+    assert sorted(map(tuple, pairs.collect())) == sorted(want)
+    assert pairs.where("h = 'com' and p = '/'").count() == 200
+    assert pairs.select("h", "p").distinct().where("h = 'com' and p = '/'").count() == 1
+
+
 def test_no_rules_and_no_pages(spark):
     rules = spark.createDataFrame([], "host string, path string, verdict string")
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id int, url string")
