@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entityframe.llm.store import stage
 from entityframe.llm.text import Words, byte_table, byte_view, chunks, gram_hashes, winnow
 
 WINDOW = 13
@@ -160,7 +161,7 @@ class Benchmark:
             where = np.searchsorted(pairs[:, 0], np.arange(b - a + 1))
             for k in range(b - a):
                 own = slice(words.first[k], words.first[k + 1])
-                names = sorted(self.ids[i] for i in pairs[where[k] : where[k + 1], 1])
+                names = sorted({self.ids[i] for i in pairs[where[k] : where[k + 1], 1]})
                 begin = base - off[a + k] + words.start[own][hit[own]]
                 end = base - off[a + k] + words.end[own][hit[own]]
                 out.append((int(counts[k]), int(hit[own].sum()), names, begin, end))
@@ -184,14 +185,16 @@ def find_contamination(
     the items with a window in the document, as strings, sorted.
 
     A null or empty text has no words. Rows are judged one by one, so repeated
-    rows get the same result; equal items are all named. An empty benchmark
+    rows get the same result; equal items are all named. Items of one id are named once, and
+    those without an id are named None. An empty benchmark
     hits nothing; empty documents give an empty result.
 
     The benchmark goes to every task only while its measured size is at most
     ``max_local_bytes``. A larger one is joined to the documents on
     fingerprints, and only the items found there are compared with a document.
     """
-    items = benchmark.select("item_id", "text")
+    name = F.coalesce(F.col("item_id").cast("string"), F.lit("None"))
+    items = benchmark.select(name.alias("item_id"), "text")
     size = items.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
     docs = docs.drop("n_words", "n_hit", "item_ids", "contaminated")
     judged = "n_words bigint, n_hit bigint, item_ids array<string>, contaminated boolean"
@@ -229,6 +232,8 @@ def _by_join(docs, items, text_col, window, gram, schema) -> DataFrame:
             F.least(F.size(_words(F.col("text"))), F.lit(window)).alias("n")
         ).where("n > 0").distinct().collect()  # at most as many as a window has words
     ]
+    # A key of its own for each item: ids may be repeated, or missing.
+    items = stage(items.withColumn("_item_key", F.monotonically_increasing_id()), "items")
     keyed = docs.withColumn("_text_key", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     texts = keyed.groupBy("_text_key").agg(F.first(F.col(text_col)).alias("_text"))
 
@@ -261,11 +266,11 @@ def _by_join(docs, items, text_col, window, gram, schema) -> DataFrame:
 
     found = (
         prints(texts, "_text_key", "_text", False)
-        .join(prints(items, "item_id", "text", True), ["rule", "print"])
-        .select("_text_key", "item_id")
+        .join(prints(items, "_item_key", "text", True), ["rule", "print"])
+        .select("_text_key", "_item_key")
         .distinct()
     )
-    pairs = found.join(texts, "_text_key").join(items, "item_id")
+    pairs = found.join(texts, "_text_key").join(items, "_item_key")
 
     def compare(batches):
         for batch in batches:
@@ -290,7 +295,7 @@ def _by_join(docs, items, text_col, window, gram, schema) -> DataFrame:
         .where("item is not null")
         .groupBy("_text_key")
         .agg(
-            F.array_sort(F.collect_list("item")).alias("item_ids"),
+            F.array_sort(F.collect_set("item")).alias("item_ids"),
             F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("n_hit"),
         )
     )
@@ -315,7 +320,6 @@ def _words(text):
     )
 
 
-
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

@@ -40,7 +40,7 @@ from docs left join counted using (doc_id)
 
 OP4_SQL = f"""
 with docs as (select doc_id, {_ALNUM_WORDS} as w from documents),
-items as (select item_id, {_ALNUM_WORDS} as w from benchmark),
+items as (select coalesce(item_id::varchar, 'None') as item_id, {_ALNUM_WORDS} as w from benchmark),
 wanted as (
   select distinct item_id, n, array_to_string(w[i : i + n - 1], ' ') as k
   from (select item_id, w, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i

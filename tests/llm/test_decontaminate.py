@@ -39,6 +39,18 @@ def test_equals_brute_force_in_memory_and_by_join(spark, docs_of, local_bytes):
     assert sorted((r.doc_id, r.n_words, r.n_hit, r.item_ids, r.contaminated) for r in got) == want
 
 
+@pytest.mark.parametrize("local_bytes", [1 << 20, 0])
+def test_items_without_an_id_and_ids_of_several_items(spark, docs_of, local_bytes):
+    text = " ".join(f"w{i}" for i in range(40))
+    items = [(None, text), (None, "other words " * 9), (7, text), (7, "w5 " + text), (8, text[:100]), (8, "none of it")]
+    docs = [(1, text), (2, "w1 w2 w3"), (3, "x " + text[20:]), (None, text), (None, "w")]
+    bench = spark.createDataFrame(items, "item_id int, text string").repartition(3)
+    got = find_contamination(docs_of(docs), bench, max_local_bytes=local_bytes).collect()
+    want = sorted(((i, *brute(t, items)) for i, t in docs), key=repr)
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids, r.contaminated) for r in got), key=repr) == want
+    assert want[0][3] == ["7", "8", "None"]
+
+
 def test_empty_tables(spark, docs_of):
     bench = spark.createDataFrame([], "item_id int, text string")
     rows = find_contamination(docs_of([(1, "a b c")]), bench).collect()
