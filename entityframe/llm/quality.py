@@ -256,9 +256,10 @@ def fit(
     inputs = _inputs(docs)
     # Tells the rows of one id apart where they differ.
     marked = inputs.withColumn("mark", F.xxhash64(*inputs.columns))
-    ids, label, words, meta = _taken(marked.join(F.broadcast(chosen), "doc_id"))
-    first = [i for i in range(len(ids)) if not i or ids[i][0] != ids[i - 1][0]]  # repeated rows train once
-    y = label[first]
+    # One row of each id, combined before it is shuffled: however often an id is repeated, no more reach the driver.
+    rows = marked.join(F.broadcast(chosen), "doc_id")
+    once = rows.groupBy("doc_id").agg(F.min_by(F.struct(*rows.columns), "mark").alias("row")).select("row.*")
+    _, y, words, meta = _taken(once)
     if len(y) < 10 or len(set(y[::5])) < 2 or len(set(y[4::5])) < 2:
         return None
     per_round = min(TAUGHT_PER_ROUND, max_unlabelled // (4 * ROUNDS))
@@ -266,7 +267,7 @@ def fit(
     def surest(t: TextClassifier, m: MetadataClassifier, taught: list[dict]) -> list[tuple]:
         return _surest(marked, known.select("doc_id"), t, m, taught, per_round)
 
-    return co_train([words[i] for i in first], meta[first], y, surest)
+    return co_train(words, meta, y, surest)
 
 
 def _surest(marked, known, t, m, taught, per_round) -> list[tuple]:
@@ -309,7 +310,8 @@ def _surest(marked, known, t, m, taught, per_round) -> list[tuple]:
     fields = [marked.schema["doc_id"], marked.schema["mark"]]
     wanted = marked.sparkSession.createDataFrame(keys, T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
     wanted = wanted.withColumn("label", F.lit(None).cast("double"))
-    ids, _, words, meta = _taken(marked.join(F.broadcast(wanted), ["doc_id", "mark"]))
+    alike = marked.join(F.broadcast(wanted), ["doc_id", "mark"])
+    ids, _, words, meta = _taken(alike.dropDuplicates(["doc_id", "mark"]))
     at = {key: i for i, key in enumerate(ids)}
     return [
         (view, key, label, words[at[key]], meta[at[key]]) for (view, label), group in picked.items() for key in group
