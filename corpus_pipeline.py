@@ -36,7 +36,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest id stays, once.
 
-    Documents without words are in no group.
+    Documents without words are in no group. Rows of one id go together; of those that stay, each
+    different text stays once.
     """
     linked = stage(link_components(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_PERCENT), "linked")
     # Written, so that Spark knows their size when it chooses the joins with the texts.
@@ -47,7 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
     left = docs.join(gone, "doc_id", "left_anti")
     once = left.join(repeated, "doc_id", "left_anti")
-    again = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    again = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return once.select(docs.columns).unionByName(again.select(docs.columns))
 
 
