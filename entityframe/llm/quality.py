@@ -391,11 +391,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
             sizes = [n if s < 0 else s for s, n in zip(sizes, lengths)]
             view = {"text": texts, "lang": batch.column("lang"), "source": batch.column("source")}
             view = pa.table(view | {"n_chars": pa.array(sizes, pa.int64())})
-            parts = [model.scores(words, meta) for _, words, meta in _views(view)]
-            scores = np.concatenate([np.zeros((0, 3)), *parts])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(scores[:, k]) for k in range(3))], names=schema.names
-            )
+            for rows, words, meta in _views(view):  # about a megabyte of text each
+                scores = model.scores(words, meta)
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *(pa.array(scores[:, k]) for k in range(3))], names=schema.names
+                )
 
     return docs.mapInArrow(run, schema).withColumn("keep", F.col("quality_score") >= KEEP_FROM)
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def byte_view(column) -> tuple[np.ndarray, np.ndarray]:
