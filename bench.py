@@ -41,6 +41,10 @@ HEADLINE = [
     "json_entity",
     "landing_two_schemas",
     "envelope_pages",
+    "page_coverage",
+    "landing_append",
+    "infer_number_profile",
+    "unflatten_round_trip",
     "sql_over_landed",
 ]
 # Input rows a query has to read, for the throughput figures.

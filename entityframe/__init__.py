@@ -5,9 +5,12 @@ from entityframe.operators.flatten import array_profile, flatten, lineage
 from entityframe.operators.infer import (
     infer_schema,
     merge_schemas,
+    number_profile,
     parse_records,
     union_entities,
 )
+from entityframe.operators.parts import elements, with_offsets
+from entityframe.operators.unflatten import unflatten
 from entityframe.options import OptionError, ScanOptions
 from entityframe.sources.landing import write_landing
 from entityframe.sources.reader import EntityReader
@@ -18,12 +21,16 @@ __all__ = [
     "ScanOptions",
     "array_profile",
     "coerce",
+    "elements",
     "flatten",
     "infer_schema",
     "lineage",
     "merge_schemas",
+    "number_profile",
     "parse_records",
     "project",
+    "unflatten",
     "union_entities",
+    "with_offsets",
     "write_landing",
 ]

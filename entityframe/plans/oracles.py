@@ -236,6 +236,11 @@ ORACLES: dict[str, str] = {
         f"select '{name}' as flat_name, '{path}' as source_path, count({value}) as filled from inv"
         for name, path, value in _SOURCES
     ),
+    "unflatten_round_trip": _INVOICES
+    + """select o_orderkey, o_totalprice, customer_ref_value as customer, customer_ref_nation_name as nation,
+        cast(case when n is not null then least(n, 3) end as integer) as lines,
+        array_to_string(list_transform(line[1:3], lambda x: x.l_partkey), ',') as parts
+        from inv where part_no = 0""",
     "flatten_null_parent": """select o_orderkey,
         case when o_orderkey % 3 <> 0 then o_custkey end as ref_value,
         case when o_orderkey % 3 <> 0 and o_orderkey % 5 <> 0 then o_orderpriority end

@@ -19,6 +19,7 @@ from entityframe.operators.infer import (
     union_entities,
 )
 from entityframe.operators.parts import elements, with_offsets
+from entityframe.operators.unflatten import unflatten
 from entityframe.options import ScanOptions
 from entityframe.plans.records import (
     LINE_FIELDS,
@@ -590,6 +591,20 @@ def flatten_default_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select(*HEADER, *REF, F.array_size("line").alias("part_lines"), "line_size")
 
 
+def unflatten_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices flattened to columns and built again: the first three lines of each."""
+    flat = flatten(invoices(spark, sf_dir).where("part_no = 0"), expand_arrays=True, array_sizes={"line": 3}, keep_nested=False)
+    back = unflatten(flat)
+    return back.select(
+        "o_orderkey",
+        "o_totalprice",
+        F.col("customer_ref.value").alias("customer"),
+        F.col("customer_ref.nation.name").alias("nation"),
+        F.array_size("line").alias("lines"),
+        F.array_join(F.transform("line", lambda x: x["l_partkey"].cast("string")), ",").alias("parts"),
+    )
+
+
 def flat_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each flat column comes from, and in how many records it has a value."""
     flat = flatten(
@@ -752,6 +767,7 @@ QUERIES: dict[str, Query] = {
     "nested_passthrough": nested_passthrough,
     "flatten_default_options": flatten_default_options,
     "flat_lineage": flat_lineage,
+    "unflatten_round_trip": unflatten_round_trip,
     "flatten_null_parent": flatten_null_parent,
     "coerce_types": coerce_types,
     "coerce_nested": coerce_nested,
