@@ -155,6 +155,80 @@ def test_an_edited_passage_is_found_and_a_different_one_is_not(docs_of):
     assert got[1].spans == got[3].spans == []
 
 
+@pytest.mark.parametrize("holders", [0, 2, 4, 20])
+@pytest.mark.parametrize("part", [49, 40, 30])
+def test_an_exact_repeat_is_found_behind_documents_that_hold_parts_of_it(docs_of, holders, part):
+    rng = random.Random(holders * 100 + part)
+    rows, last = [], []
+    for _ in range(20):
+        passage = prose(rng, 60, 5000).split()
+        for k in range(2 + holders):
+            begin = rng.randint(0, 60 - part)
+            held = passage if k in (1, 1 + holders) else passage[begin : begin + part]
+            text = [prose(rng, 80, 5000), " ".join(held), prose(rng, 80, 5000)]
+            rows.append((len(rows), " ".join(text)))
+        last.append(len(rows) - 1)
+    # The first document of each passage holds a part; the whole lies in the second and in the last.
+    rows = [(i, t) for i, t in rows if holders or i % 2 == 0 or i in last]
+    if not holders:
+        rows = [(i, rows[i | 1][1] if i % 2 == 0 else t) for i, t in rows]
+    got = {r.doc_id: sum(e - s for s, e in map(tuple, r.spans)) for r in find_passages(docs_of(rows, 3)).collect()}
+    found = [got[i] for i in last]
+    assert all(n >= 40 for n in found), found
+    if part < 49:
+        assert sum(n > 0 for n in got.values()) == 20
+
+
+@pytest.mark.parametrize("place", [0, 25, 49])
+def test_a_passage_with_one_word_changed_is_found(docs_of, place):
+    rng, rows = random.Random(place), []
+    for i in range(20):
+        passage = prose(rng, 50, 5000).split()
+        rows.append((2 * i, " ".join(passage)))
+        passage[place] = "changed"
+        rows.append((2 * i + 1, " ".join(passage)))
+    got = {r.doc_id: r.spans for r in find_passages(docs_of(rows, 3)).collect()}
+    assert not any(got[i] for i in range(0, 40, 2))
+    assert sum(bool(got[i]) for i in range(1, 40, 2)) >= (19 if place in (0, 49) else 17)
+
+
+def similar_by_brute_force(rows, length=46, percent=80):
+    """(document, passage) of ``length`` shingles that are similar to one of an earlier document."""
+    grams = {}
+    for i, text in rows:
+        w = words(text)
+        grams[i] = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+    out = []
+    for b in sorted(grams):
+        for p in range(len(grams[b]) - length + 1):
+            two = set(grams[b][p : p + length])
+            for a in sorted(grams):
+                if a >= b or len(two.intersection(grams[a])) * 100 < percent * len(two):
+                    continue
+                passages = (set(grams[a][q : q + length]) for q in range(len(grams[a]) - length + 1))
+                if any(100 * len(one & two) >= percent * len(one | two) for one in passages):
+                    out.append((b, p))
+                    break
+    return out
+
+
+def test_similar_passages_against_brute_force(docs_of):
+    rng, rows = random.Random(4), []
+    for _ in range(12):
+        passage = prose(rng, rng.randint(50, 90), 5000).split()
+        for k in range(5):
+            held = passage[:]
+            for _ in range(k % 3):
+                held[rng.randrange(len(held))] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join([prose(rng, 40, 5000), *held, prose(rng, 40, 5000)])))
+    want = similar_by_brute_force(rows)
+    got = {r.doc_id: {k for s, e in map(tuple, r.spans) for k in range(s, e)} for r in find_passages(docs_of(rows, 3)).collect()}
+    # A passage is caught if nine tenths of its words go.
+    caught = [len(got[b] & set(range(p, p + 50))) >= 45 for b, p in want]
+    assert len(want) > 300 and sum(caught) >= 0.9 * len(want), (sum(caught), len(want))
+    assert not any(got[i] for i in range(0, len(rows), 5))
+
+
 def links(rows, n, percent):
     sets = {}
     for i, text in rows:
