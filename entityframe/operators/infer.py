@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,19 +33,26 @@ class SchemaConflict(ValueError):
 Steps = tuple[str | None, ...]  # field names; None stands for the elements of an array
 
 
+class Digits(NamedTuple):
+    """The most digits of any number of a field: before the point, after it, and both without zeros at the ends."""
+
+    whole: int = 0
+    fraction: int = 0
+    significant: int = 0
+
+
 def variant_type(
     text: str,
     on_conflict: str = "fail",
     decimals: bool = False,
     digits: Mapping[Steps, T.DecimalType | None] | None = None,
 ) -> T.DataType:
-    """The Spark type for a variant schema such as ``OBJECT<a: BIGINT, b: ARRAY<VOID>>``.
+    """The Spark type for a variant schema such as ``OBJECT<a: BIGINT, b: ARRAY<VOID>>``; see ``resolved``."""
+    return resolved(observed_type(text), on_conflict, decimals, digits)
 
-    ``digits`` tells of fields whose numbers may need more digits than a double
-    holds which decimal takes them, or None where a double does; the
-    schema alone cannot tell, as whole numbers beside fractions widen it.
-    """
-    digits = digits or {}
+
+def observed_type(text: str) -> T.DataType:
+    """A variant schema as a type: unknown is void, values of different kinds are a variant."""
     tokens = [(m[1], m[2], m[3]) for m in _TOKEN.finditer(text)]
     at = 0
 
@@ -59,22 +67,22 @@ def variant_type(
     def peek():
         return tokens[at][2] if at < len(tokens) else None
 
-    def parse(steps):
-        word, path = take(), steps_text(steps)
+    def parse():
+        word = take()
         if word == "OBJECT":
             fields = []
             take("<")
             while peek() != ">":
                 name = take()
                 take(":")
-                fields.append(T.StructField(name, parse((*steps, name))))
+                fields.append(T.StructField(name, parse()))
                 if peek() == ",":
                     take()
             take(">")
             return T.StructType(fields)
         if word == "ARRAY":
             take("<")
-            inner = parse((*steps, None))
+            inner = parse()
             take(">")
             return T.ArrayType(inner)
         if word == "DECIMAL":
@@ -83,16 +91,69 @@ def variant_type(
             take(",")
             scale = int(take())
             take(")")
-            if decimals or (precision > DOUBLE_DIGITS and steps not in digits):
-                return T.DecimalType(precision, scale)
-            return digits.get(steps) or T.DoubleType()
-        if word == "VARIANT":
-            if on_conflict == "string":
-                return T.StringType()
-            raise SchemaConflict(f"{path or 'the root'} has values of different kinds")
+            return T.DecimalType(precision, scale)
         return _VARIANT_SCALARS[word]
 
-    return parse(())
+    return parse()
+
+
+def resolved(
+    dtype: T.DataType,
+    on_conflict: str = "fail",
+    decimals: bool = False,
+    digits: Mapping[Steps, T.DecimalType | None] | None = None,
+    steps: Steps = (),
+) -> T.DataType:
+    """The type that an observed one is read as.
+
+    ``digits`` tells of fields whose numbers may need more digits than a double
+    holds which decimal takes them, or None where a double does; the
+    schema alone cannot tell, as whole numbers beside fractions widen it.
+    """
+    digits = digits or {}
+    if isinstance(dtype, T.StructType):
+        return T.StructType(
+            [
+                T.StructField(f.name, resolved(f.dataType, on_conflict, decimals, digits, (*steps, f.name)))
+                for f in dtype.fields
+            ]
+        )
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(resolved(dtype.elementType, on_conflict, decimals, digits, (*steps, None)))
+    if isinstance(dtype, T.DecimalType):
+        if decimals or (dtype.precision > DOUBLE_DIGITS and steps not in digits):
+            return dtype
+        return digits.get(steps) or T.DoubleType()
+    if isinstance(dtype, T.VariantType):
+        if on_conflict == "string":
+            return T.StringType()
+        raise SchemaConflict(f"{steps_text(steps) or 'the root'} has values of different kinds")
+    return dtype
+
+
+def merge_observed(left: T.DataType, right: T.DataType) -> T.DataType:
+    """What all rows have together, from what two sets of rows have: as the variant aggregate merges its parts."""
+    if isinstance(left, T.NullType) or left == right:
+        return right
+    if isinstance(right, T.NullType):
+        return left
+    if isinstance(left, T.StructType) and isinstance(right, T.StructType):
+        fields = {f.name: f.dataType for f in left.fields}
+        for f in right.fields:
+            fields[f.name] = merge_observed(fields.get(f.name, T.NullType()), f.dataType)
+        names = sorted(fields, key=lambda name: name.encode("utf-16-be"))
+        return T.StructType([T.StructField(name, fields[name]) for name in names])
+    if isinstance(left, T.ArrayType) and isinstance(right, T.ArrayType):
+        return T.ArrayType(merge_observed(left.elementType, right.elementType))
+    numbers = [t for t in (left, right) if isinstance(t, (T.LongType, T.DecimalType, T.DoubleType))]
+    if len(numbers) < 2:
+        return T.VariantType()
+    one, two = (T.DecimalType(20, 0) if isinstance(t, T.LongType) else t for t in numbers)
+    if isinstance(one, T.DoubleType) or isinstance(two, T.DoubleType):
+        return T.DoubleType()
+    scale = max(one.scale, two.scale)
+    whole = max(one.precision - one.scale, two.precision - two.scale)
+    return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
 
 
 _VARIANT_SCALARS = {
@@ -106,6 +167,7 @@ _VARIANT_SCALARS = {
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "VARIANT": T.VariantType(),
 }
 
 
@@ -138,7 +200,7 @@ def as_variant(df: DataFrame, name: str, skip_unreadable: bool = False) -> Colum
     return F.try_parse_json(column(name)) if skip_unreadable else F.parse_json(column(name))
 
 
-def _addressable(steps: Steps) -> bool:
+def addressable(steps: Steps) -> bool:
     return not any(s is not None and "'" in s and '"' in s for s in steps)
 
 
@@ -205,9 +267,9 @@ def number_profile(df: DataFrame, text: str) -> DataFrame:
     field of the JSON in ``text``. Zeros at either end do not count. What one field holds says nothing about
     another.
     """
-    with _case_sensitive(df):
+    with by_case(df):
         found = df.select(F.schema_of_variant_agg(as_variant(df, text))).first()[0]
-    paths = [p for p in _numeric_leaves(variant_type(found, "string", True)) if _addressable(p)]
+    paths = [p for p in _numeric_leaves(variant_type(found, "string", True)) if addressable(p)]
     names = ["numbers", "whole_digits", "fraction_digits", "significant_digits", "negative"]
     if not paths:
         kinds = "path string, numbers bigint, whole_digits int, fraction_digits int, significant_digits int, negative boolean"
@@ -219,26 +281,56 @@ def number_profile(df: DataFrame, text: str) -> DataFrame:
     return _profile(df, text, paths).select(F.inline(F.array(*rows)))
 
 
-def _needed_decimals(
-    df: DataFrame, text: str, paths: list[Steps], skip_unreadable: bool
-) -> dict[Steps, T.DecimalType | None]:
-    """The decimal that holds a field's numbers, or None where a double does; one more pass."""
-    paths = [p for p in paths if _addressable(p)]
+def most_digits(df: DataFrame, text: str, paths: list[Steps], skip_unreadable: bool = False) -> dict[Steps, Digits]:
+    """The most digits that the numbers of each field have; one pass, one row. Mergeable field by field by ``max``."""
+    paths = [p for p in paths if addressable(p)]
     if not paths:
         return {}
     row = _profile(df, text, paths, skip_unreadable).first()
+    return {
+        path: Digits(*(row[f"{name}{i}"] or 0 for name in ("whole_digits", "fraction_digits", "significant_digits")))
+        for i, path in enumerate(paths)
+    }
+
+
+def decimals_for(digits: Mapping[Steps, Digits]) -> dict[Steps, T.DecimalType | None]:
+    """The decimal that holds a field's numbers, or None where a double does."""
     needed: dict[Steps, T.DecimalType | None] = {}
-    for i, path in enumerate(paths):
-        if row[f"significant_digits{i}"] <= DOUBLE_DIGITS:
+    for path, most in digits.items():
+        precision = max(1, most.whole + most.fraction)
+        if most.significant <= DOUBLE_DIGITS:
             needed[path] = None
-            continue
-        scale = row[f"fraction_digits{i}"]
-        precision = max(1, row[f"whole_digits{i}"] + scale)
-        if precision <= 38:
-            needed[path] = T.DecimalType(precision, scale)
+        elif precision <= 38:
+            needed[path] = T.DecimalType(precision, most.fraction)
     return needed
 
 
+def observe(df: DataFrame, text: str, skip_unreadable: bool = False) -> T.DataType:
+    """What the values of all rows have together, before it is decided how to read them."""
+    with by_case(df):  # else the aggregate itself takes such names for one
+        found = df.select(F.schema_of_variant_agg(as_variant(df, text, skip_unreadable))).first()[0]
+    return observed_type(found) if found is not None else T.NullType()
+
+
+def wide_numbers(dtype: T.DataType, on_conflict: str = "fail") -> list[Steps]:
+    """Fields whose numbers have to be looked at, as an observed type alone does not tell what holds them."""
+    return _wide_numbers(resolved(dtype, on_conflict, decimals=True))
+
+
+def record_schema(
+    observed: T.DataType, on_conflict: str, decimals: bool, digits: Mapping[Steps, Digits], both_cases: bool
+) -> T.StructType:
+    """The schema that records of an observed type are read with."""
+    schema = resolved(observed, on_conflict, decimals, None if decimals else decimals_for(digits))
+    if not both_cases:
+        check_case(schema)
+    if isinstance(schema, T.NullType):
+        raise SchemaConflict("no rows to infer a schema from; give an explicit schema")
+    if not isinstance(schema, T.StructType):
+        raise SchemaConflict(f"records must be JSON objects, not {observed.simpleString()}")
+    return schema
+
+
 def infer_schema(
     df: DataFrame,
     text: str,
@@ -259,24 +351,15 @@ def infer_schema(
         raise ValueError(f"on_conflict must be fail or string, not {on_conflict!r}")
     if sample_rows != "all":
         df = first_rows(df, order_by, int(sample_rows))
-    with _case_sensitive(df):  # else the aggregate itself takes such names for one
-        found = df.select(F.schema_of_variant_agg(as_variant(df, text, skip_unreadable))).first()[0]
-        digits = None
-        if not decimals:
-            wide = _wide_numbers(variant_type(found, on_conflict, decimals=True))
-            digits = _needed_decimals(df, text, wide, skip_unreadable)
-    schema = variant_type(found, on_conflict, decimals, digits)
-    if not case_sensitive(df):
-        check_case(schema)
-    if isinstance(schema, T.NullType):
-        raise SchemaConflict("no rows to infer a schema from; give an explicit schema")
-    if not isinstance(schema, T.StructType):
-        raise SchemaConflict(f"records must be JSON objects, not {found}")
-    return schema
+    observed, digits = observe(df, text, skip_unreadable), {}
+    if not decimals:
+        with by_case(df):
+            digits = most_digits(df, text, wide_numbers(observed, on_conflict), skip_unreadable)
+    return record_schema(observed, on_conflict, decimals, digits, case_sensitive(df))
 
 
 @contextmanager
-def _case_sensitive(df: DataFrame):
+def by_case(df: DataFrame):
     conf, key = df.sparkSession.conf, "spark.sql.caseSensitive"
     before = conf.get(key)
     conf.set(key, "true")

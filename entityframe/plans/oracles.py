@@ -97,6 +97,13 @@ ORACLES: dict[str, str] = {
           union all select 'overlap', f, again - 1 from fresh
           union all select 'short', max(e), any_value(rows) + 250 from fresh)
         select kind, first, last, last - first + 1 as records from found where first <= last""",
+    "infer_increments": """select o_orderkey as id,
+        case o_orderstatus when 'F' then o_totalprice::decimal(38,2) end as total,
+        case o_orderstatus when 'P' then o_orderpriority end as priority_name,
+        case o_orderstatus when 'O' then o_custkey end as priority_customer,
+        case o_orderstatus when 'F' then o_orderkey::varchar || '.00'
+            when 'O' then '1234567' || lpad(o_orderkey::varchar, 10, '0') || '.25' end as code
+        from orders where o_orderstatus in ('F', 'P', 'O')""",
     "json_rejects": """select case when o_orderkey % 10 = 3 then 'not JSON'
           when o_orderkey % 10 = 7 then 'not a record of the schema' end as problem,
         case when o_orderkey % 10 = 3 then substr(printf('{"id": %d, "note": "%s"}', o_orderkey, o_orderpriority), 1, 12)

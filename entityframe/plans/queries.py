@@ -381,6 +381,29 @@ def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.rejects().select("problem", "text").unionByName(loaded)
 
 
+def infer_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that arrive state by state, each with fields of its own, read by a new reader every time."""
+    root = shared_dir(spark, "infer_increments")
+    where = tenant_path(root, "orders", "sandbox", COMPANY)
+    orders = table(spark, sf_dir, "orders")
+    cents = F.format_string("1234567%010d.25", "o_orderkey").cast("decimal(38,2)")
+    fields = {
+        "F": {"total": F.col("o_totalprice"), "code": F.col("o_orderkey")},
+        "P": {"priority": F.struct(F.col("o_orderpriority").alias("name"))},
+        "O": {"priority": F.struct(F.col("o_custkey").alias("customer")), "code": cents},
+    }
+    for state, own in fields.items():
+        record = F.struct(F.col("o_orderkey").alias("id"), *(value.alias(name) for name, value in own.items()))
+        lines = orders.where(F.col("o_orderstatus") == state).select(F.to_json(record).alias("value"))
+        lines.write.mode("append").text(where)
+        reader = EntityReader(spark).options(
+            path=root, companyId=COMPANY, entity="orders", fileFormat="json", decimalType="source", keepNested=False
+        )
+        schema = reader.record_schema()
+    loaded = reader.schema(schema).load()
+    return loaded.select("id", "total", "priority_name", "priority_customer", F.col("code").cast("string").alias("code"))
+
+
 def infer_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A field that is a number in some records and text in others is read as text."""
     root = shared_dir(spark, "infer_conflict")
@@ -734,6 +757,7 @@ QUERIES: dict[str, Query] = {
     "envelope_distinct": envelope_distinct,
     "page_coverage": page_coverage,
     "json_rejects": json_rejects,
+    "infer_increments": infer_increments,
     "entity_count": entity_count,
     "page_manifest": page_manifest,
     "page_assign": page_assign,

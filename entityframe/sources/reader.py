@@ -27,6 +27,7 @@ from entityframe.sources.landing import (
     stage,
     tenant_path,
 )
+from entityframe.sources.observed import Observations
 
 
 class EntityReader:
@@ -85,12 +86,22 @@ class EntityReader:
         return self._state().schema
 
     def _infer_json(self) -> T.StructType:
-        options, lines = self.scan_options, self._json_lines()
+        options = self.scan_options
         how = {
             "decimals": options.decimal_forced,  # a stated decimalType keeps fractions exact
             "on_conflict": options.on_conflict,
-            "skip_unreadable": options.on_unreadable == "reject",
         }
+        skip = options.on_unreadable == "reject"
+        if options.sample_rows == "all" and not options.json_pages:
+            where = self._tenant()
+            try:
+                return Observations(self._spark, entity_path(*where[:2]), tenant_path(*where), skip).schema(**how)
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                raise self._nothing_landed() from error
+        lines = self._json_lines()
+        how["skip_unreadable"] = skip
         if options.sample_rows == "all":
             return infer_schema(lines, "value", **how)
         record = as_variant(lines, "value", options.on_unreadable == "reject")
