@@ -5,7 +5,7 @@ time of change, the type their values have together, and the most digits of its
 reader lists the files, drops increments of which a file has changed or gone, and looks at the records
 of the files that are left over. Increments merge into the schema that one pass over all files
 would give, so a new file costs a pass over itself. The list is published like a landing: a file
-under the next number, which appears whole or not at all. It only saves work: where another reader was
+under the next number, which appears whole or not at all; the last ``KEPT`` stay. It only saves work: where another reader was
 faster, or the folder takes no files, the next reader looks again.
 """
 
@@ -27,6 +27,7 @@ from entityframe.operators import infer
 from entityframe.sources import log
 
 OBSERVED = "_observed"
+KEPT = 8  # versions, for readers that have listed them and not read them yet
 Print = tuple[str, int, int]  # path, length, time of change in microseconds
 
 
@@ -100,13 +101,20 @@ class Observations:
         names = self._files.names(f"{self._folder}/*.json")
         if not names:
             return 0, []
-        found = json.loads(self._files.read(names[-1]))
+        try:
+            found = json.loads(self._files.read(names[-1]))
+        except Py4JJavaError as error:
+            if "FileNotFound" not in str(error.java_exception):
+                raise
+            return self._latest()  # removed since it was listed, so there are later ones
         return found["version"], [Increment.from_json(one) for one in found["increments"]]
 
     def _publish(self, version: int, increments: list[Increment]) -> None:
         text = {"version": version, "landing": uuid.uuid4().hex, "increments": [one.to_json() for one in increments]}
         try:
             self._files.publish(f"{self._folder}/{log.entry_name(version)}", json.dumps(text))
+            for name in self._files.names(f"{self._folder}/*.json")[:-KEPT]:
+                self._files.remove(name)
         except log.LandingConflict:
             pass  # what another reader has seen will do as well
         except Py4JJavaError as error:

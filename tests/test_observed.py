@@ -153,6 +153,18 @@ def test_two_readers_at_once(spark, landed):
     assert len(log.Files(spark, base).names(f"{one._folder}/*")) == 1
 
 
+def test_the_last_versions_stay(spark, landed, monkeypatch):
+    monkeypatch.setattr(observed, "KEPT", 2)
+    for i in range(4):
+        landed.write(f"{i}.json", {f"f{i}": i})
+        assert landed.reader().record_schema() == landed.one_pass()
+    base = entity_path(landed.root, "item")
+    one = Observations(spark, base, landed.where, False)
+    assert len(log.Files(spark, base).names(f"{one._folder}/*")) == 2
+    version, known = one._latest()
+    assert version == 4 and len(known) == 4
+
+
 def test_file_names_are_no_patterns(landed):
     landed.write("a.json", {"v": 1})
     landed.reader().record_schema()
