@@ -272,3 +272,22 @@ def test_components_of_paths_stars_and_cycles(spark):
 def test_empty_tables(docs_of):
     none = docs_of([])
     assert find_repeats(none).collect() == find_passages(none).collect() == link_components(none).collect() == []
+
+
+def test_an_edited_passage_is_found_behind_documents_that_hold_parts_of_it(docs_of):
+    rng, rows, edited = random.Random(5), [], []
+    for _ in range(10):
+        passage = prose(rng, 60, 5000).split()
+        for k in range(12):
+            begin = rng.randint(0, 20)
+            held = passage if k == 6 else passage[begin : begin + 40]
+            if k == 11:
+                held = passage[:]
+                held[30] = "changed"
+                edited.append(len(rows))
+            rows.append((len(rows), " ".join([prose(rng, 80, 5000), *held, prose(rng, 80, 5000)])))
+    # The whole passage lies only in the middle document; those around it hold 40 of its words.
+    got = {r.doc_id: r for r in find_passages(docs_of(rows, 3)).collect()}
+    found = [sum(e - s for s, e in map(tuple, got[i].spans)) for i in edited]
+    assert all(n >= 55 for n in found), found
+    assert all(i - 5 in got[i].sources for i in edited)
