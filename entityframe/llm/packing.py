@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from entityframe.llm.text import range_hashes
 SEQUENCE = 1024
 END_ID = 2
 PIECES_PER_GROUP = 20_000
-CHUNK_CHARS = 2 << 20
+CHUNK_CHARS = 1 << 19
 CACHED_PIECES = 300_000
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -196,16 +197,16 @@ def batch_tokenizer(path: str) -> BatchTokenizer:
     return _TOKENIZERS[path]
 
 
-def _text_chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    first, part, size = 0, [], 0
-    for i, text in enumerate(texts):
-        part.append(text or "")
-        size += len(part[-1])
-        if size >= CHUNK_CHARS:
-            yield first, part
-            first, part, size = i + 1, [], 0
-    if part:
-        yield first, part
+def _text_chunks(texts: pa.Array, limit: int | None = None) -> Iterator[tuple[int, list[str]]]:
+    """Rows of ``texts`` in turn, about ``limit`` characters at a time: only those become Python strings."""
+    limit = limit or CHUNK_CHARS
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).tolist()
+    first, size = 0, 0
+    for i, length in enumerate(sizes):
+        size += length
+        if size >= limit or i + 1 == len(sizes):
+            yield first, [t or "" for t in texts.slice(first, i + 1 - first).to_pylist()]
+            first, size = i + 1, 0
 
 
 def cut_lengths(total: int, size: int) -> list[int]:
@@ -230,7 +231,7 @@ def tokenize_pieces(
         tokenizer = batch_tokenizer(path)
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
-            for first, texts in _text_chunks(batch.column(1).to_pylist()):
+            for first, texts in _text_chunks(batch.column(1)):
                 ids, off = tokenizer.encode(texts)
                 rows: list[tuple] = []
                 for i in range(len(texts)):

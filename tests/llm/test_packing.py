@@ -107,3 +107,25 @@ def test_bins_are_few(seed):
 def test_perfect_fits_leave_no_gap():
     lengths = np.array([600, 424, 1024, 512, 512, 1, 1023, 700, 324])
     assert pack_lengths(lengths)[2] == 5
+
+
+def test_text_chunks_hold_only_a_chunk_of_a_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from entityframe.llm.packing import _text_chunks
+
+    limit = 1 << 16
+    texts = pa.array([None if i % 7 == 0 else f"{i} " * 300 for i in range(4000)])  # about 16 limits
+    tracemalloc.start()
+    seen = []
+    for first, part in _text_chunks(texts, limit):
+        seen.append((first, len(part), hash(part[0]), hash(part[-1])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rows = [t or "" for t in texts.to_pylist()]
+    assert peak < sum(map(len, rows)) / 4
+    assert [f for f, _, _, _ in seen] == [0, *np.cumsum([n for _, n, _, _ in seen])[:-1].tolist()]
+    assert sum(n for _, n, _, _ in seen) == len(rows)
+    assert all(hash(rows[f]) == a and hash(rows[f + n - 1]) == b for f, n, a, b in seen)
