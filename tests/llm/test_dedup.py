@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -291,3 +292,44 @@ def test_an_edited_passage_is_found_behind_documents_that_hold_parts_of_it(docs_
     found = [sum(e - s for s, e in map(tuple, got[i].spans)) for i in edited]
     assert all(n >= 55 for n in found), found
     assert all(i - 5 in got[i].sources for i in edited)
+
+
+def windows_of_a_crowd(rng, n_docs, functions, keys):
+    """Windows of documents under shared keys, some of a few neighbouring keys in the same order."""
+    rows = []
+    for doc in range(n_docs):
+        for h in range(functions):
+            for k in rng.sample(range(keys), rng.randint(1, keys)):
+                at = 60 * k + rng.randint(0, 3)
+                rows.append((h * keys + k + 1, doc, h, at, at + 20, at + 50 + rng.randint(0, 9)))
+    return np.array(rows, compact_windows.WINDOW)
+
+
+def requests_by_part(windows, parts):
+    given = {}
+    for part, *crowds in compact_windows.crowds_of(windows, windows["doc"] % parts):
+        given[part] = compact_windows.requests_of(*crowds)
+    return sorted(tuple(q)[:6] for found in given.values() for q in found.tolist())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_requests_do_not_depend_on_parts_or_on_what_else_meets(seed):
+    windows = windows_of_a_crowd(random.Random(seed), 12, 6, 4)
+    got = requests_by_part(windows, 1)
+    assert got and got == requests_by_part(windows, 5)
+    alone = []
+    for b in range(12):
+        for a in range(b):
+            alone += requests_by_part(windows[np.isin(windows["doc"], (a, b))], 1)
+    assert got == sorted(alone)
+
+
+def test_documents_that_meet_by_chance_take_no_memory_a_pair():
+    # All documents share one key of each of three functions, too few for a passage: 13 million meetings.
+    n = 3000
+    windows = np.concatenate([np.array([(h + 1, doc, h, 0, 9, 60) for doc in range(n)], compact_windows.WINDOW) for h in range(3)])
+    tracemalloc.start()
+    assert requests_by_part(windows, 4) == []
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6, peak
